@@ -30,6 +30,17 @@ FROM (SELECT o_custkey AS customerseqid,
              min(o_orderstatus) AS st
       FROM orders GROUP BY o_custkey, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INT)) m
 JOIN customer c ON c.c_custkey = m.customerseqid""",
+    # The panel with a column that holds infinities and NaN.
+    "raw_panel": """
+SELECT p.*, CASE WHEN n_orders > 2 THEN CAST('inf' AS DOUBLE) WHEN n_orders = 2 THEN CAST('-inf' AS DOUBLE)
+                 WHEN days_since_prev IS NULL THEN CAST('nan' AS DOUBLE)
+                 ELSE round(sum_price / CAST(1000.0 AS DOUBLE), 3) END AS scaled_price
+FROM panel p""",
+    # One score per customer.
+    "customer_scores": """
+SELECT o_custkey AS customerseqid, max(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS label,
+       round(max(o_totalprice) / CAST(1000000.0 AS DOUBLE), 3) AS prob_1
+FROM orders GROUP BY o_custkey""",
     # Scored set with many tied scores; row_id is unique.
     "scored": """
 SELECT o_orderkey AS row_id, CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS label,
