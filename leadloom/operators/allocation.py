@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.functions.scalars import differs
-from leadloom.operators.domains import A, C, P, Domains, attached_orphan_sizes, contains, customers_per_agent
+from leadloom.operators.domains import A, C, P, Domains, attached_orphan_sizes, contains, customers_per_agent, warm_sizes
 from leadloom.operators.ranks import top_rows
 from leadloom.operators.relate import union_all
 from leadloom.session import cut_lineage
@@ -251,6 +251,18 @@ def allocated_counts(chosen: DataFrame, d: Domains) -> DataFrame:
         F.coalesce("allocated_warm", F.lit(0)).alias("allocated_warm"))
 
 
+def not_allocated_sizes(chosen: DataFrame, d: Domains) -> DataFrame:
+    """Per agent, the warm (customer, use case) choices that hold no allocated row; agents without any are left out.
+
+    Allocated rows lie inside the domain, so a difference of counts equals the anti join over all choices.
+    """
+    taken = contains(d, chosen.select(C, A, P)).filter("in_domain = 1").join(d.warm, C, "left_semi").groupBy(A).agg(
+        F.count(F.lit(1)).alias("_taken"))
+    left = F.col("n_choices") - F.coalesce("_taken", F.lit(0))
+    return warm_sizes(d, "agent").join(taken, A, "left").select(A, left.alias("n_not_allocated")).filter(
+        "n_not_allocated > 0")
+
+
 def warming_candidates(chosen: DataFrame, d: Domains, warming_scores: DataFrame, agents: DataFrame) -> DataFrame:
     """Allocated rows of warm customers with channel, agent flags and objective coefficient.
 

@@ -177,7 +177,7 @@ def best_agent(d: Domains, customers: DataFrame, agents: DataFrame, age_rule: st
 # Warming score
 
 
-def _warming_bins(leads: DataFrame, digits: int | None) -> DataFrame:
+def warming_bins(leads: DataFrame, digits: int | None) -> DataFrame:
     """Decile of premium and of days underserved per (customer, agent) pair of the lead table."""
     filled = leads.select(C, A, F.coalesce("wpi", F.lit(0.0)).alias("wpi"),
                           F.coalesce("days_underserved", F.lit(float(MISSING_DAYS))).alias("days"))
@@ -192,7 +192,7 @@ def warming_score(leads: DataFrame, rows: DataFrame, priorities: DataFrame, digi
 
     Premium decile x days decile x (10 - priority). A row without a lead has premium decile 0, hence score 0.
     """
-    bins = _warming_bins(leads, digits)
+    bins = warming_bins(leads, digits)
     scored = rows.join(bins, [C, A], "left").join(small_side(priorities), P)
     return scored.select(
         *rows.columns,
