@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("columns_q", "metrics_q", "leads_q")
+FAMILIES = ("columns_q", "metrics_q", "leads_q", "models_q")
 
 
 def load_all() -> None:

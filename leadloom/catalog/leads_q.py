@@ -505,7 +505,7 @@ FROM chosen c LEFT JOIN done d ON d.customerseqid = c.customerseqid AND d.agents
 
 
 _warm_query("o4_warm", 10000, 5000)
-_warm_query("o4_warm_tight", 40, 70)
+_warm_query("o4_warm_tight", 40, 100)
 _warm_query("o6_run_allocation", 60, 5000)
 
 
@@ -517,11 +517,11 @@ def o4_infeasible(src: Source) -> DataFrame:
 
 
 @query("j11_join_warming_result", f"""
-WITH {sqlf.warming(40, 70)}
+WITH {sqlf.warming(40, 100)}
 SELECT CASE WHEN d.customerseqid IS NULL THEN 0 ELSE 1 END AS warming, count(*) AS n
 FROM chosen c LEFT JOIN done d ON d.customerseqid = c.customerseqid GROUP BY 1""")
 def j11(src: Source) -> DataFrame:
-    result = run(src, {"rfs": 40, "agency": 70}).result
+    result = run(src, {"rfs": 40, "agency": 100}).result
     return result.groupBy("warming").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -529,6 +529,6 @@ def j11(src: Source) -> DataFrame:
 SELECT * FROM (VALUES ('one_per_customer', 0), ('channel_cap', 0), ('opted_out', 0), ('compulsory', 0),
   ('warm_customers', 0)) AS t(rule, violations)""")
 def o5(src: Source) -> DataFrame:
-    capacity = {"rfs": 40, "agency": 70}
+    capacity = {"rfs": 40, "agency": 100}
     made = run(src, capacity)
     return al.check_warming(cut_lineage(made.result), made.candidates, made.domains, src("agent_warming"), capacity)
