@@ -137,7 +137,7 @@ def m12_fit(src: Source) -> DataFrame:
 def m13(src: Source) -> DataFrame:
     train, test = split_table(src)
     models = {name: learners.fit(train, name, FEATURES, LABEL) for name in ("forest_small", "logit")}
-    return selection.stack_check(models, test, LABEL, KEY)
+    return selection.stack_check(models, test, LABEL)
 
 
 def auto_model(src: Source) -> tuple[AutoModel, DataFrame]:
@@ -160,7 +160,7 @@ def m23(src: Source) -> DataFrame:
 @query("m24_leaderboard")
 def m24(src: Source) -> DataFrame:
     model, test = auto_model(src)
-    return model.leaderboard(test, KEY).select("model", "kind", "stack_level", "score_val", "score_test")
+    return model.leaderboard(test).select("model", "kind", "stack_level", "score_val", "score_test")
 
 
 @query("m25_permutation_importance")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from leadloom.functions.scalars import flag, one_value, ratio, ratio_or
-from leadloom.operators.ranks import QuantileBins, cumulative_by_score, cut_counts
+from leadloom.operators.ranks import QuantileBins, cumulative_by_scores, cut_counts
 
 
 @dataclass(frozen=True)
@@ -92,26 +92,39 @@ def lift_top(df: DataFrame, percents: list[int], cols: Scored = Scored()) -> Dat
     return table.select(F.col("pct").alias("top_n"), "hit_rate", "coverage", "lift")
 
 
-def roc_points(df: DataFrame, cols: Scored = Scored()) -> DataFrame:
-    """False and true positive rate at each distinct score, best score first."""
-    steps = cumulative_by_score(df.filter(F.col(cols.label).isNotNull()), cols.score, cols.label)
-    totals = df.filter(F.col(cols.label).isNotNull() & F.col(cols.score).isNotNull()).agg(
-        F.sum(F.col(cols.label).cast("bigint")).alias("p"), F.count(F.lit(1)).alias("n"))
-    positives, total = one_value(totals, "p"), one_value(totals, "n")
-    return steps.select(
-        "threshold", "n", "pos",
-        ratio(F.col("cum_n") - F.col("cum_pos"), total - positives).alias("fpr"),
+def roc_points_of(df: DataFrame, scores: dict[str, str], label: str) -> DataFrame:
+    """False and true positive rate of every model at each of its distinct scores; one pass for all models."""
+    steps = cumulative_by_scores(df.filter(F.col(label).isNotNull()), scores, label)
+    # One row per model.
+    totals = F.broadcast(steps.groupBy("model").agg(F.sum("n").alias("_total"), F.sum("pos").alias("_p")))
+    positives, negatives = F.col("_p"), F.col("_total") - F.col("_p")
+    return steps.join(totals, "model").select(
+        "model", "threshold", "n", "pos",
+        ratio(F.col("cum_n") - F.col("cum_pos"), negatives).alias("fpr"),
         ratio(F.col("cum_pos"), positives).alias("tpr"),
-        ratio(F.col("n") - F.col("pos"), total - positives).alias("fpr_step"),
+        ratio(F.col("n") - F.col("pos"), negatives).alias("fpr_step"),
         ratio(F.col("pos"), positives).alias("tpr_step"),
-        ratio(F.col("cum_n"), total).alias("ppr"),
+        ratio(F.col("cum_n"), F.col("_total")).alias("ppr"),
     )
 
 
+def roc_points(df: DataFrame, cols: Scored = Scored()) -> DataFrame:
+    """False and true positive rate at each distinct score."""
+    return roc_points_of(df, {"": cols.score}, cols.label).drop("model")
+
+
+def roc_auc_of(df: DataFrame, scores: dict[str, str], label: str) -> DataFrame:
+    """Exact area under the curve of every model by the trapezoid rule; null when one class is missing."""
+    steps = cumulative_by_scores(df.filter(F.col(label).isNotNull()), scores, label)
+    pos, neg = F.col("pos").cast("double"), (F.col("n") - F.col("pos")).cast("double")
+    area = neg * (F.col("cum_pos").cast("double") - pos / 2)
+    return steps.groupBy("model").agg(
+        F.try_divide(F.sum(area), F.sum(pos) * F.sum(neg)).alias("roc_auc"))
+
+
 def roc_auc(df: DataFrame, cols: Scored = Scored()) -> DataFrame:
-    """Exact area under the curve by the trapezoid rule; null when one class is missing."""
-    area = F.col("fpr_step") * (F.col("tpr") - F.col("tpr_step") / 2)
-    return roc_points(df, cols).agg(F.sum(area).alias("roc_auc"))
+    """Exact area under the curve of one score column, in one row."""
+    return roc_auc_of(df, {"": cols.score}, cols.label).agg(F.max("roc_auc").alias("roc_auc"))
 
 
 def gains_curve(df: DataFrame, cols: Scored = Scored()) -> DataFrame:

@@ -181,63 +181,85 @@ def cut_counts(df: DataFrame, score: str, label: str, key: str, percents: list[i
     )
 
 
-def cumulative_by_score(df: DataFrame, score: str, label: str | None = None, descending: bool = True,
-                        buckets: int | None = None) -> DataFrame:
-    """One row per distinct score with running counts.
+def _clean(column: str) -> Column:
+    """The value as DOUBLE, null where it is not a number."""
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def cumulative_by_scores(df: DataFrame, scores: dict[str, str], label: str | None = None, descending: bool = True,
+                         buckets: int | None = None) -> DataFrame:
+    """One row per model and distinct score with running counts, for all models in one pass.
 
-    Columns ``threshold, n, pos, cum_n, cum_pos``. Equal scores collapse before any ordering, so a score shared by
-    many rows costs one row.
+    ``scores`` maps a model name to its score column. Columns ``model, threshold, n, pos, cum_n, cum_pos``. Equal
+    scores collapse before any ordering, so a score shared by many rows costs one row.
     """
-    positive = F.sum(F.col(label).cast("bigint")) if label else F.sum(F.lit(0).cast("bigint"))
-    value = F.col(score).cast("double")
-    counted = (
-        df.filter(value.isNotNull() & ~F.isnan(value))
-        .groupBy(value.alias("threshold"))
-        .agg(F.count(F.lit(1)).alias("n"), positive.alias("pos"))
-    )
     buckets = buckets or bucket_count(df.sparkSession)
-    placed = _bucketize(counted, "threshold", _edges(counted.select("threshold"), "threshold", buckets), "_b")
+    names = list(scores)
+    hit = F.col(label).cast("bigint") if label else F.lit(0).cast("bigint")
+    values = [f"_v{i}" for i in range(len(names))]
+    base = df.select(hit.alias("_hit"), *[_clean(scores[m]).alias(v) for m, v in zip(names, values)])
+    shares = [i / buckets for i in range(1, buckets)]
+    edges = base.approxQuantile(values, shares, 1.0 / (4 * buckets))
     sign = -1 if descending else 1
-    placed = placed.withColumn("_slot", (F.col("_b") * sign).cast("bigint")).drop("_b")
-    offsets = _with_offsets(placed.groupBy("_slot").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")), "n", "pos")
+    rows = []
+    for i, (name, value) in enumerate(zip(names, values)):
+        base = _bucketize(base.withColumn(f"_x{i}", F.coalesce(value, F.lit(0.0))), f"_x{i}", edges[i], f"_b{i}")
+        rows.append(F.struct(F.lit(name).alias("model"), F.col(value).alias("threshold"),
+                             (F.col(f"_b{i}") * sign).alias("_slot")))
+    counted = (
+        base.select("_hit", F.inline(F.array(*rows))).filter(F.col("threshold").isNotNull())
+        .groupBy("model", "_slot", "threshold").agg(F.count(F.lit(1)).alias("n"), F.sum("_hit").alias("pos"))
+    )
+    # One row per model and bucket.
+    sizes = counted.groupBy("model", "_slot").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    before = Window.partitionBy("model").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("model", "_slot", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}_before")
+                                              for c in ("n", "pos")])
     order = F.col("threshold").desc() if descending else F.col("threshold").asc()
-    inside = Window.partitionBy("_slot").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("model", "_slot").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        placed.withColumn("_n", F.sum("n").over(inside)).withColumn("_pos", F.sum("pos").over(inside))
-        .join(F.broadcast(offsets.select("_slot", "_n_before", "_pos_before")), "_slot")
-        .select("threshold", "n", "pos", (F.col("_n") + F.col("_n_before")).alias("cum_n"),
+        counted.withColumn("_n", F.sum("n").over(inside)).withColumn("_pos", F.sum("pos").over(inside))
+        .join(F.broadcast(offsets), ["model", "_slot"])
+        .select("model", "threshold", "n", "pos", (F.col("_n") + F.col("_n_before")).alias("cum_n"),
                 (F.col("_pos") + F.col("_pos_before")).alias("cum_pos"))
     )
 
 
+def cumulative_by_score(df: DataFrame, score: str, label: str | None = None, descending: bool = True,
+                        buckets: int | None = None) -> DataFrame:
+    """:func:`cumulative_by_scores` for one score column."""
+    return cumulative_by_scores(df, {"": score}, label, descending, buckets).drop("model")
+
+
 def exact_quantiles(df: DataFrame, column: str, parts: int, digits: int | None = None) -> list[float]:
     """The ``parts + 1`` linear-interpolation quantiles of a column; empty when it has no values.
 
     Only the order statistics next to a quantile (at most two per quantile) reach the driver.
     """
-    ordered = cumulative_by_score(df, column, descending=False)
-    total = ordered.agg(F.sum("n").alias("n")).first()["n"] or 0
+    known = df.select(_clean(column).alias("value")).filter("value is not null")
+    total = known.count()
     if total == 0:
         return []
     span = total - 1
     if span == 0:
-        only = ordered.first()["threshold"]
-        return [only] * (parts + 1)
-    before = F.col("cum_n") - F.col("n")
-    last = F.col("cum_n") - 1
+        return [known.first()["value"]] * (parts + 1)
+    ordered = cumulative_by_score(known, "value", descending=False)
+    before, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
 
-    def index_range(side: str, first: Column, final: Column) -> DataFrame:
-        return ordered.withColumn("_a", first.cast("bigint")).withColumn("_z", final.cast("bigint")).filter(
-            "_a <= _z").select(F.lit(side).alias("side"), F.explode(F.sequence("_a", "_z")).alias("i"),
-                               F.col("threshold").alias("value"))
+    def covered(side: str, first: Column, final: Column) -> Column:
+        first, final = first.cast("bigint"), final.cast("bigint")
+        entries = F.transform(F.sequence(first, final), lambda i: F.struct(F.lit(side).alias("side"), i.alias("i")))
+        return F.when(first <= final, entries).otherwise(F.array().cast("array<struct<side:string,i:bigint>>"))
 
     # A row of equal values covers positions before..last; quantile i sits at position span * i / parts.
-    low_side = index_range("low", F.expr(f"((cum_n - n) * {parts} + {span - 1}) div {span}"),
-                           F.least(F.lit(parts), F.expr(f"(cum_n * {parts} + {span - 1}) div {span} - 1")))
-    high_side = index_range(
+    low_side = covered("low", F.expr(f"((cum_n - n) * {parts} + {span - 1}) div {span}"),
+                       F.least(F.lit(parts), F.expr(f"(cum_n * {parts} + {span - 1}) div {span} - 1")))
+    high_side = covered(
         "high", F.when(before == 0, F.lit(0)).otherwise(F.expr(f"((cum_n - n - 1) * {parts}) div {span} + 1")),
         F.when(last == span, F.lit(parts)).otherwise(F.expr(f"((cum_n - 1) * {parts}) div {span}")))
-    found = {(row["side"], row["i"]): row["value"] for row in low_side.unionByName(high_side).collect()}
+    rows = ordered.select("threshold", F.inline(F.concat(low_side, high_side))).collect()
+    found = {(row["side"], row["i"]): row["threshold"] for row in rows}
     edges = []
     for i in range(parts + 1):
         low, high = found["low", i], found["high", i]
@@ -260,8 +282,8 @@ class QuantileBins:
 
     def transform(self, df: DataFrame, out: str = "bin") -> DataFrame:
         """Bin number from 0 (lowest); null where the value is null or all values are the same."""
-        value = F.col(self.column).cast("double")
-        known = value.isNotNull() & ~F.isnan(value)
+        value = _clean(self.column)
+        known = value.isNotNull()
         if len(self.edges) < 2:
             return df.withColumn(out, F.lit(None).cast("int"))
         inner = list(self.edges[1:-1])
