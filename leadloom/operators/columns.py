@@ -88,18 +88,19 @@ def bool_to_flag(df: DataFrame, source: str, out: str) -> DataFrame:
     return df.withColumn(out, flag(F.col(source))).drop(source)
 
 
+def without_sentinels(df: DataFrame, name: str, words: Iterable[str] = TEXT_SENTINELS) -> Column:
+    """The column with infinities, NaN and text sentinels read as null."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(~(F.isnan(name) | F.abs(name).eqNullSafe(F.lit(float("inf")))), F.col(name))
+    if isinstance(kind, T.StringType):
+        return F.when(~F.col(name).isin(list(words)), F.col(name))
+    return F.col(name)
+
+
 def null_sentinels(df: DataFrame, words: Iterable[str] = TEXT_SENTINELS) -> DataFrame:
     """Infinities, NaN and text sentinels become null."""
-    words = list(words)
-    out = []
-    for f in df.schema.fields:
-        column = F.col(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            column = F.when(~(F.isnan(f.name) | F.abs(f.name).eqNullSafe(F.lit(float("inf")))), column)
-        elif isinstance(f.dataType, T.StringType):
-            column = F.when(~column.isin(words), column)
-        out.append(column.alias(f.name))
-    return df.select(*out)
+    return df.select(*[without_sentinels(df, c, words).alias(c) for c in df.columns])
 
 
 def fill_constants(df: DataFrame, values: dict[str, object]) -> DataFrame:
@@ -111,6 +112,13 @@ def fill_zero(df: DataFrame) -> DataFrame:
     return df.fillna(0).fillna("0")
 
 
+def fill_statistic(column: Column, strategy: str) -> Column:
+    measures = {"max": F.max, "min": F.min, "mean": F.avg}
+    if strategy not in measures:
+        raise ValueError(f"unknown strategy {strategy!r}")
+    return measures[strategy](column)
+
+
 @dataclass(frozen=True)
 class StatFill:
     """Fill nulls with a statistic of the whole column."""
@@ -119,14 +127,9 @@ class StatFill:
 
     @classmethod
     def fit(cls, df: DataFrame, columns: list[str], strategy: str = "max") -> StatFill:
-        measures = {"max": F.max, "min": F.min, "mean": F.avg}
         if strategy == "zeroes":
             return cls({c: 0 for c in columns})
-        if strategy not in measures:
-            raise ValueError(f"unknown strategy {strategy!r}")
-        if not columns:
-            return cls({})
-        found = one_row(df, [measures[strategy](_clean_float(df, c)).alias(c) for c in columns])
+        found = one_row(df, [fill_statistic(_clean_float(df, c), strategy).alias(c) for c in columns])
         return cls({c: v for c, v in found.items() if v is not None})
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -173,6 +176,12 @@ def low_cardinality(df: DataFrame, columns: list[str], limit: int) -> dict[str,
     return {c: n for c, n in exact.items() if n <= limit}
 
 
+def is_constant(df: DataFrame, name: str) -> Column:
+    """An aggregate that holds when a column has at most one distinct value."""
+    value = _clean_float(df, name)
+    return F.min(value).eqNullSafe(F.max(value))
+
+
 def constant_columns(df: DataFrame, cutoff: int = 1, protect: Iterable[str] = ()) -> list[str]:
     """Columns with at most ``cutoff`` distinct values, the protected ones left out.
 
@@ -184,7 +193,7 @@ def constant_columns(df: DataFrame, cutoff: int = 1, protect: Iterable[str] = ()
     if cutoff > 1:
         low = low_cardinality(df, columns, cutoff)
         return [c for c in columns if c in low]
-    same = one_row(df, [F.min(_clean_float(df, c)).eqNullSafe(F.max(_clean_float(df, c))).alias(c) for c in columns])
+    same = one_row(df, [is_constant(df, c).alias(c) for c in columns])
     return [c for c in columns if same[c]]
 
 
@@ -222,9 +231,15 @@ class OneHot:
 
     @classmethod
     def fit(cls, df: DataFrame, columns: list[str], max_levels: int = 1000) -> OneHot:
+        rough = one_row(df, [F.approx_count_distinct(c).alias(c) for c in columns])
+        return cls.from_counts(df, rough, max_levels)
+
+    @classmethod
+    def from_counts(cls, df: DataFrame, rough: dict[str, int], max_levels: int = 1000) -> OneHot:
+        """Read the levels of columns whose approximate number of levels is known."""
+        columns = list(rough)
         if not columns:
             return cls({})
-        rough = one_row(df, [F.approx_count_distinct(c).alias(c) for c in columns])
         wide = {c: n for c, n in rough.items() if n > 1.2 * max_levels}
         if wide:
             raise ValueError(f"too many levels to encode: {wide}")

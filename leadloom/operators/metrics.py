@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from leadloom.functions.scalars import flag, one_value, ratio, ratio_or
-from leadloom.operators.ranks import QuantileBins, cumulative_by_scores, cut_counts
+from leadloom.operators.ranks import QuantileBins, cumulative_by_scores, cut_counts, cut_counts_of
 
 
 @dataclass(frozen=True)
@@ -52,10 +52,10 @@ def with_hit_coverage_lift(counts: DataFrame) -> DataFrame:
     )
 
 
-def _cut_confusion(cuts: DataFrame) -> DataFrame:
+def _cut_confusion(cuts: DataFrame, *keep: str) -> DataFrame:
     hits, selected, n, positives = (F.col(c) for c in ("hits", "selected", "n", "positives"))
     return cuts.select(
-        "pct",
+        *keep, "pct",
         (n - selected - positives + hits).alias("tn"),
         (selected - hits).alias("fp"),
         (positives - hits).alias("fn"),
@@ -209,14 +209,8 @@ def feature_direction(df: DataFrame, ranked: list[str], top_n: int | None = 200,
 def compare_holdout(scored: DataFrame, models: dict[str, str], label: str = "label", key: str = "row_id",
                     percents: tuple[int, ...] = (1, 2, 3, 4, 5)) -> DataFrame:
     """Hit rate, coverage and lift at each top percentage for every model; ``models`` maps name to score column."""
-    out = None
-    for name, score in models.items():
-        part = lift_top(scored, list(percents), Scored(label=label, score=score, key=key)).select(
-            F.lit(name).alias("model_name"), "top_n", "hit_rate", "coverage", "lift")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        raise ValueError("no model to compare")
-    return out
+    table = with_hit_coverage_lift(_cut_confusion(cut_counts_of(scored, models, label, key, list(percents)), "model"))
+    return table.select(F.col("model").alias("model_name"), F.col("pct").alias("top_n"), "hit_rate", "coverage", "lift")
 
 
 def best_model(comparison: DataFrame, reference_percentile: int = 3) -> DataFrame:

@@ -27,11 +27,6 @@ def bucket_count(spark: SparkSession) -> int:
     return max(16, min(MAX_BUCKETS, 4 * partitions))
 
 
-def _edges(df: DataFrame, column: str, buckets: int) -> list[float]:
-    shares = [i / buckets for i in range(1, buckets)]
-    return sorted(df.approxQuantile(column, shares, 1.0 / (4 * buckets)))
-
-
 def _bucketize(df: DataFrame, column: str, edges: list[float], out: str) -> DataFrame:
     """Number of edges at or below the value."""
     inner = sorted({e + 0.0 for e in edges if math.isfinite(e)})
@@ -56,24 +51,45 @@ class OrderedBuckets:
 
     @classmethod
     def fit(cls, df: DataFrame, score: str, key: str, buckets: int | None = None) -> OrderedBuckets:
+        return cls.fit_many(df, [score], key, buckets)[score]
+
+    @classmethod
+    def fit_many(cls, df: DataFrame, scores: list[str], key: str,
+                 buckets: int | None = None) -> dict[str, OrderedBuckets]:
+        """Edges of several score columns from one pass, and one more for the columns with hot scores."""
         buckets = buckets or bucket_count(df.sparkSession)
-        scored = df.select(F.col(score).cast("double").alias("s"), F.col(key).cast("double").alias("k"))
-        edges = _edges(scored.select("s"), "s", buckets)
-        shares = Counter(edges)
-        hot = sorted(s for s, times in shares.items() if times > 1)
-        key_edges: list[float] = []
-        if hot:
-            pieces = max(2, max(shares[s] for s in hot) + 1)
-            fractions = [i / pieces for i in range(1, pieces)]
-            rows = (
-                scored.filter(F.col("s").isin(hot))
-                .groupBy("s")
-                .agg(F.percentile_approx("k", fractions, F.lit(10_000)).alias("cuts"))
-                .collect()
-            )
-            key_edges = sorted({cut for row in rows for cut in row["cuts"]})
-        all_edges = set(edges) | {math.nextafter(s, math.inf) for s in hot}
-        return cls(score, key, tuple(sorted(all_edges)), tuple(hot), tuple(key_edges))
+        values = {score: f"_s{i}" for i, score in enumerate(scores)}
+        table = df.select(F.col(key).cast("double").alias("_k"),
+                          *[F.col(score).cast("double").alias(v) for score, v in values.items()])
+        shares = [i / buckets for i in range(1, buckets)]
+        found = table.approxQuantile(list(values.values()), shares, 1.0 / (4 * buckets))
+        edges = {score: Counter(sorted(e + 0.0 for e in row)) for score, row in zip(values, found)}
+        hot = {score: sorted(s for s, times in counted.items() if times > 1) for score, counted in edges.items()}
+        key_edges = cls._hot_key_edges(table, values, edges, hot)
+        return {
+            score: cls(score, key, tuple(sorted(set(edges[score]) | {math.nextafter(s, math.inf) for s in hot[score]})),
+                       tuple(hot[score]), tuple(key_edges.get(score, ())))
+            for score in scores
+        }
+
+    @staticmethod
+    def _hot_key_edges(table: DataFrame, values: dict[str, str], edges: dict[str, Counter],
+                       hot: dict[str, list[float]]) -> dict[str, list[float]]:
+        """Key quantiles inside each hot score, as many as the score holds buckets."""
+        most = max((edges[score][s] for score in hot for s in hot[score]), default=0)
+        if not most:
+            return {}
+        rows = [F.struct(F.lit(score).alias("score"), F.when(F.col(values[score]).isin(shared), F.col(values[score]))
+                         .alias("value")) for score, shared in hot.items() if shared]
+        fractions = [i / (most + 1) for i in range(1, most + 1)]
+        cuts = (
+            table.select("_k", F.inline(F.array(*rows))).filter("value is not null")
+            .groupBy("score", "value").agg(F.percentile_approx("_k", fractions, F.lit(10_000)).alias("cuts")).collect()
+        )
+        found: dict[str, set[float]] = {}
+        for row in cuts:
+            found.setdefault(row["score"], set()).update(row["cuts"])
+        return {score: sorted(keys) for score, keys in found.items()}
 
     def place(self, df: DataFrame, out: str = "_slot") -> DataFrame:
         """Add the bucket number; lower numbers come first in the order."""
@@ -142,43 +158,51 @@ def top_rows(df: DataFrame, score: str, key: str, k: Column | int, buckets: int
     return flag_top(df, score, key, k, "_in_top", buckets).filter("_in_top").drop("_in_top")
 
 
-def cut_counts(df: DataFrame, score: str, label: str, key: str, percents: list[int],
-               buckets: int | None = None) -> DataFrame:
-    """Per top percentage: rows selected and positives among them, with the totals.
+def cut_counts_of(df: DataFrame, scores: dict[str, str], label: str, key: str, percents: list[int],
+                  buckets: int | None = None) -> DataFrame:
+    """Per model and top percentage: rows selected and positives among them, with the totals.
 
-    Columns ``pct, selected, hits, n, positives``. Only the buckets that hold a cut are sorted.
+    Columns ``model, pct, selected, hits, n, positives``; ``scores`` maps a model name to its score column. All models
+    share one pass, and only the buckets that hold a cut are sorted.
     """
-    layout = OrderedBuckets.fit(df, score, key, buckets)
-    placed = layout.place(df.select(score, F.col(label).cast("bigint").alias("_label"), key))
-    stats = placed.groupBy("_slot").agg(F.count(F.lit(1)).alias("n"), F.sum("_label").alias("hits"))
-    totals = stats.agg(F.sum("n").alias("n"), F.sum("hits").alias("positives"))
-    wanted = F.explode(F.array(*[F.lit(int(p)) for p in percents])).alias("pct")
+    layouts = OrderedBuckets.fit_many(df, list(dict.fromkeys(scores.values())), key, buckets)
+    base = df.select(F.col(key), F.col(label).cast("bigint").alias("_label"), *layouts)
+    rows = []
+    for i, (model, score) in enumerate(scores.items()):
+        base = layouts[score].place(base, f"_slot{i}")
+        rows.append(F.struct(F.lit(model).alias("model"), F.col(score).cast("double").alias("_score"),
+                             F.col(f"_slot{i}").alias("_slot")))
+    placed = base.select(F.col(key).alias("_key"), "_label", F.inline(F.array(*rows)))
+    stats = placed.groupBy("model", "_slot").agg(F.count(F.lit(1)).alias("n"), F.sum("_label").alias("hits"))
+    # One row per model and bucket.
+    before = Window.partitionBy("model").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("model")
     cuts = (
-        _with_offsets(stats, "n", "hits")
-        .select("*", wanted)
-        .withColumn("_total", one_value(totals, "n"))
+        stats.withColumn("_n_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .withColumn("_total", F.sum("n").over(whole)).withColumn("positives", F.sum("hits").over(whole))
+        .withColumn("pct", F.explode(F.array(*[F.lit(int(p)) for p in percents])))
         .withColumn("selected", F.floor(F.col("_total") * F.col("pct") / F.lit(100)).cast("bigint"))
         .withColumn("_room", F.col("selected") - F.col("_n_before"))
     )
-    full = cuts.select("pct", "selected", F.when(F.col("_room") >= F.col("n"), F.col("hits")).otherwise(0)
-                       .alias("hits"))
-    border = cuts.filter((F.col("_room") > 0) & (F.col("_room") < F.col("n"))).select("_slot", "pct", "selected",
-                                                                                     "_room")
-    slots = border.select("_slot").distinct()
-    inside = Window.partitionBy("_slot").orderBy(*layout.order())
+    full = cuts.groupBy("model", "pct", "selected", F.col("_total").alias("n"), "positives").agg(
+        F.sum(F.when(F.col("_room") >= F.col("n"), F.col("hits")).otherwise(0)).alias("hits"))
+    border = cuts.filter((F.col("_room") > 0) & (F.col("_room") < F.col("n"))).select("model", "_slot", "pct", "_room")
+    inside = Window.partitionBy("model", "_slot").orderBy(F.col("_score").desc(), "_key")
     part = (
-        placed.join(F.broadcast(slots), "_slot", "left_semi")
+        placed.join(F.broadcast(border.select("model", "_slot").distinct()), ["model", "_slot"], "left_semi")
         .withColumn("_inside", F.row_number().over(inside))
-        .join(F.broadcast(border), "_slot")
+        .join(F.broadcast(border), ["model", "_slot"])
         .filter(F.col("_inside") <= F.col("_room"))
-        .select("pct", "selected", F.col("_label").alias("hits"))
-    )
-    return (
-        full.unionByName(part)
-        .groupBy("pct").agg(F.max("selected").alias("selected"), F.sum("hits").alias("hits"))
-        .withColumn("n", one_value(totals, "n"))
-        .withColumn("positives", one_value(totals, "positives"))
+        .groupBy("model", "pct").agg(F.sum("_label").alias("_more"))
     )
+    return full.join(F.broadcast(part), ["model", "pct"], "left").select(
+        "model", "pct", "selected", (F.col("hits") + F.coalesce("_more", F.lit(0))).alias("hits"), "n", "positives")
+
+
+def cut_counts(df: DataFrame, score: str, label: str, key: str, percents: list[int],
+               buckets: int | None = None) -> DataFrame:
+    """:func:`cut_counts_of` for one score column."""
+    return cut_counts_of(df, {"": score}, label, key, percents, buckets).drop("model")
 
 
 def _clean(column: str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from leadloom.functions.names import UNEXPLAINED_PARTS
 from leadloom.operators import columns as cols
@@ -37,13 +38,25 @@ class PanelPrep:
     @classmethod
     def fit(cls, panel: DataFrame, roles: Roles = Roles(), holdout_periods: int = 2, date_part: str = "days_",
             strategy: str = "max", max_levels: int = 1000) -> PanelPrep:
+        """Two passes: one for all statistics, one for the levels of the text columns."""
         panel = panel.drop("hid")
-        constant = tuple(cols.constant_columns(panel, protect=roles.protected))
-        clean = cols.drop_timestamps(cols.null_sentinels(panel.drop(*constant)))
-        text = [c for c in cols.text_columns(clean) if c not in roles.ids]
-        encoder = cols.OneHot.fit(clean.fillna(cols.MISSING_LEVEL, subset=text) if text else clean, text, max_levels)
-        dated = [c for c in cols.numeric_columns(clean) if date_part in c]
-        return cls(roles, holdout_periods, constant, encoder, cols.StatFill.fit(clean, dated, strategy))
+        kept = cols.drop_timestamps(panel).columns
+        text = [c for c in cols.text_columns(panel) if c not in roles.ids]
+        dated = [c for c in cols.numeric_columns(panel) if date_part in c]
+        candidates = [c for c in panel.columns if c not in roles.protected]
+        wanted = [cols.is_constant(panel, c).alias(f"constant {c}") for c in candidates]
+        wanted += [F.approx_count_distinct(cols.without_sentinels(panel, c)).alias(f"levels {c}") for c in text]
+        if strategy != "zeroes":
+            wanted += [cols.fill_statistic(cols.without_sentinels(panel, c), strategy).alias(f"fill {c}") for c in dated]
+        found = cols.one_row(panel, wanted)
+        constant = tuple(c for c in candidates if found[f"constant {c}"])
+        text = [c for c in text if c not in constant]
+        dated = [c for c in dated if c not in constant and c in kept]
+        filled = cols.null_sentinels(panel.select(*text)).fillna(cols.MISSING_LEVEL) if text else panel
+        encoder = cols.OneHot.from_counts(filled, {c: found[f"levels {c}"] for c in text}, max_levels)
+        values = {c: 0 if strategy == "zeroes" else found[f"fill {c}"] for c in dated}
+        fill = cols.StatFill({c: v for c, v in values.items() if v is not None})
+        return cls(roles, holdout_periods, constant, encoder, fill)
 
     def transform(self, panel: DataFrame) -> DataFrame:
         tagged = cols.tag_latest_periods(panel.drop("hid"), self.roles.time, self.holdout_periods)
