@@ -6,7 +6,11 @@ from leadloom.operators.scores import EXPECTED_VALUE_RATES, USECASE_PRIORITIES
 
 
 def h(key: str, seed: int) -> str:
-    return f"(({key}) % 2147483648 * 2654435761 + {seed * 97}) % 4294967296"
+    """The portable hash of a non-negative integer key."""
+    a = f"((({key}) % 2147483648 * 2654435761 + {seed * 1000003}) % 4294967296)"
+    b = f"xor({a}, {a} >> 15)"
+    c = f"(({b} * 99338871 + {seed}) % 4294967296)"
+    return f"xor({c}, {c} >> 13)"
 
 
 def fractions(parts: int) -> str:

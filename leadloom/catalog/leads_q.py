@@ -404,7 +404,7 @@ def d15(src: Source) -> DataFrame:
 
 
 def run(src: Source, capacity: dict[str, int] | None = None, limits: al.Limits | None = None) -> LeadRun:
-    return run_allocation(src("leads_master"), src("cust_master"), src("agent_master"), src("agent_warming"),
+    return run_allocation(cut_lineage(src("leads_master")), src("cust_master"), src("agent_master"), src("agent_warming"),
                           limits=limits, capacity=capacity, digits=DIGITS)
 
 

@@ -6,19 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HASH_RANGE = 2**32
+FOLD = 2**31
+# Two multiply and shift rounds; every product stays inside BIGINT.
+FIRST_FACTOR, FIRST_SHIFT = 2654435761, 15
+SECOND_FACTOR, SECOND_SHIFT = 99338871, 13
+SEED_STEP = 1000003
 
 
-def portable_hash(key: Column | str, seed: int = 0) -> Column:
-    """A seeded number in [0, 2^32) for an integer key; plain SQL can compute the same.
-
-    The key is folded to 31 bits first, so the product stays inside BIGINT for any key.
-    """
-    key = F.col(key) if isinstance(key, str) else key
-    folded = F.pmod(key.cast("bigint"), F.lit(2**31).cast("bigint"))
-    return F.pmod(folded * F.lit(2654435761).cast("bigint") + F.lit(seed * 97).cast("bigint"),
-                  F.lit(HASH_RANGE).cast("bigint"))
+def _long(value: int) -> Column:
+    return F.lit(value).cast("bigint")
 
 
-def text_key(*columns: str) -> Column:
-    """An integer key for rows that have only text columns to tell them apart."""
-    return F.xxhash64(*[F.col(c) for c in columns])
+def portable_hash(key: Column | str, seed: int = 0) -> Column:
+    """A seeded number in [0, 2^32) for an integer key; plain SQL can compute the same."""
+    key = F.col(key) if isinstance(key, str) else key
+    mixed = F.pmod(key.cast("bigint"), _long(FOLD)) * _long(FIRST_FACTOR) + _long(seed * SEED_STEP % HASH_RANGE)
+    mixed = F.pmod(mixed, _long(HASH_RANGE))
+    mixed = mixed.bitwiseXOR(F.shiftright(mixed, FIRST_SHIFT))
+    mixed = F.pmod(mixed * _long(SECOND_FACTOR) + _long(seed), _long(HASH_RANGE))
+    return mixed.bitwiseXOR(F.shiftright(mixed, SECOND_SHIFT))

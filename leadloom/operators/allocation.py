@@ -178,17 +178,20 @@ def allocate(options: DataFrame, limits: Limits | None = None, rounds: int = 20)
 
     Without binding limits this is one aggregate by customer. ``options`` comes from :func:`customer_options`.
     """
-    chosen = pick(options)
-    if limits and limits.bounds:
-        options = cut_lineage(options)
-        chosen = cut_lineage(pick(options))
-        if _over(_totals(chosen), limits):
-            chosen = _close_full(options, limits, _raise_prices(options, limits, rounds))
-        filled = _fill_least(options, chosen, limits)
-        if filled is None or _over(_totals(filled), limits):
-            filled = chosen.limit(0)
-        chosen = filled
-    return chosen.select(*RESULT_COLUMNS)
+    if not limits or not limits.bounds:
+        return pick(options).select(*RESULT_COLUMNS)
+    chosen = cut_lineage(pick(options))
+    totals = _totals(chosen)
+    if not _over(totals, limits) and all(totals.get(p, 0) >= limits.least(p) for p in limits.bounds):
+        return chosen.select(*RESULT_COLUMNS)
+    # Only limits that bind need the options again, so they are written only then.
+    options = cut_lineage(options)
+    if _over(totals, limits):
+        chosen = _close_full(options, limits, _raise_prices(options, limits, rounds))
+    filled = _fill_least(options, chosen, limits)
+    if filled is None or _over(_totals(filled), limits):
+        filled = chosen.limit(0)
+    return filled.select(*RESULT_COLUMNS)
 
 
 def upper_bound(options: DataFrame, limits: Limits, rounds: int = 20) -> float:

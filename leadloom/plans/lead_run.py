@@ -43,9 +43,11 @@ def run_allocation(leads: DataFrame, customers: DataFrame, agents: DataFrame, wa
                    limits: al.Limits | None = None, capacity: dict[str, int] | None = None,
                    rates: DataFrame | None = None, priorities: DataFrame | None = None,
                    age_rule: str = "as_coded", digits: int | None = None) -> LeadRun:
-    """Domains, scores, allocation and warming in order. The lead table, read by every step, is written once."""
+    """Domains, scores, allocation and warming in order.
+
+    Every step reads ``leads``: pass a stored table, and write a costly query to one first.
+    """
     spark = leads.sparkSession
-    leads = cut_lineage(leads)
     d = build_domains(leads)
     helpers = build_helpers(leads, d, customers, agents, rates, age_rule)
     chosen = cut_lineage(al.allocate(helpers.options, limits))
