@@ -7,13 +7,14 @@ are computed from the sides. Each result equals the one over all pairs.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.functions.scalars import flag, one_value
 from leadloom.operators.relate import semi_rows
+from leadloom.session import cut_lineage
 
 # Codes in the lead table.
 ATTACHED_TYPES = ("notorphan", "partialorphan")
@@ -38,6 +39,10 @@ class Domains:
     warm: DataFrame
     channels: DataFrame
 
+    def stored(self) -> Domains:
+        """The factors written once, for runs that read them many times."""
+        return Domains(**{f.name: cut_lineage(getattr(self, f.name)) for f in fields(self)})
+
     @property
     def n_optin(self) -> Column:
         return one_value(self.optin.agg(F.count(F.lit(1)).alias("n")), "n")

@@ -11,6 +11,7 @@ from leadloom.functions.scalars import flag, matches
 from leadloom.operators.domains import A, C, P, Domains
 from leadloom.operators.ranks import QuantileBins
 from leadloom.operators.relate import look_up, small_side, unique_by
+from leadloom.session import cut_lineage
 
 # Conversion rate, weighted premium and priority per use case. Expected value and warming use
 # different conversion rates for one use case, so they are two tables.
@@ -83,11 +84,11 @@ def _age_points(rule: str) -> Column:
 
 def household_pairs(pairs: DataFrame, customers: DataFrame, agents: DataFrame) -> DataFrame:
     """Per (customer, agent) pair, 1 when the agent serves one of the customer's households."""
-    homes = customers.select(C, F.col("customer_hid").alias("hid")).filter("hid is not null").distinct()
-    served = agents.select(A, F.col("agent_hid").alias("hid")).filter("hid is not null").distinct()
-    hits = pairs.join(homes, C).join(served, [A, "hid"], "left_semi").select(C, A).distinct()
-    return pairs.join(hits.withColumn("_h", F.lit(True)), [C, A], "left").select(
-        C, A, flag(F.col("_h")).alias("hh_service"))
+    homes = customers.select(C, F.col("customer_hid").alias("hid")).distinct()
+    served = agents.select(A, F.col("agent_hid").alias("hid"), F.lit(1).alias("_h")).distinct()
+    # Rows stay placed by customer through both joins where the agent side is small, so the aggregate moves nothing.
+    return pairs.join(homes, C, "left").join(served, [A, "hid"], "left").groupBy(C, A).agg(
+        F.coalesce(F.max("_h"), F.lit(0)).alias("hh_service"))
 
 
 def affinity(pairs: DataFrame, customers: DataFrame, agents: DataFrame, age_rule: str = "as_coded") -> DataFrame:
@@ -135,6 +136,8 @@ def best_optin_agent(d: Domains, customers: DataFrame, agents: DataFrame, age_ru
     else:
         people, team, given = people.drop("age"), team.drop("age"), 1
 
+    # Both are read once per trait set. They are written first: agents by households, and one row per orphan.
+    team, people = cut_lineage(team), cut_lineage(people)
     found = people.select(*traits).distinct()
     by_size: dict[int, list[str]] = {}
     for size in range(1, len(traits) + 1):

@@ -48,7 +48,7 @@ def run_allocation(leads: DataFrame, customers: DataFrame, agents: DataFrame, wa
     Every step reads ``leads``: pass a stored table, and write a costly query to one first.
     """
     spark = leads.sparkSession
-    d = build_domains(leads)
+    d = build_domains(leads).stored()
     helpers = build_helpers(leads, d, customers, agents, rates, age_rule)
     chosen = cut_lineage(al.allocate(helpers.options, limits))
     scores = warming_score(leads, chosen.select("customerseqid", "agentseqid", "usecase"),
