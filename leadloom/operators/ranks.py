@@ -16,8 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from leadloom.functions.scalars import one_value
-
 MAX_BUCKETS = 2048
 
 
@@ -256,41 +254,52 @@ def cumulative_by_score(df: DataFrame, score: str, label: str | None = None, des
     return cumulative_by_scores(df, {"": score}, label, descending, buckets).drop("model")
 
 
-def exact_quantiles(df: DataFrame, column: str, parts: int, digits: int | None = None) -> list[float]:
-    """The ``parts + 1`` linear-interpolation quantiles of a column; empty when it has no values.
+def exact_quantiles_of(df: DataFrame, columns: list[str], parts: int,
+                       digits: int | None = None) -> dict[str, list[float]]:
+    """The ``parts + 1`` linear-interpolation quantiles of each column; no values where a column has none.
 
-    Only the order statistics next to a quantile (at most two per quantile) reach the driver.
+    All columns share their passes. Only the order statistics next to a quantile (at most two per quantile) reach the
+    driver.
     """
-    known = df.select(_clean(column).alias("value")).filter("value is not null")
-    total = known.count()
-    if total == 0:
-        return []
-    span = total - 1
-    if span == 0:
-        return [known.first()["value"]] * (parts + 1)
-    ordered = cumulative_by_score(known, "value", descending=False)
-    before, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
-
-    def covered(side: str, first: Column, final: Column) -> Column:
-        first, final = first.cast("bigint"), final.cast("bigint")
-        entries = F.transform(F.sequence(first, final), lambda i: F.struct(F.lit(side).alias("side"), i.alias("i")))
-        return F.when(first <= final, entries).otherwise(F.array().cast("array<struct<side:string,i:bigint>>"))
-
+    names = {column: f"c{i}" for i, column in enumerate(columns)}
+    values = df.select(*[_clean(column).alias(name) for column, name in names.items()])
+    totals = values.agg(*[F.count(name).alias(name) for name in names.values()]).first()
+    filled = {name: name for name in names.values() if totals[name]}
+    if not filled:
+        return {column: [] for column in columns}
     # A row of equal values covers positions before..last; quantile i sits at position span * i / parts.
-    low_side = covered("low", F.expr(f"((cum_n - n) * {parts} + {span - 1}) div {span}"),
-                       F.least(F.lit(parts), F.expr(f"(cum_n * {parts} + {span - 1}) div {span} - 1")))
+    span = F.create_map(*[F.lit(x) for name in filled for x in (name, totals[name] - 1)])[F.col("model")]
+    ordered = cumulative_by_scores(values, filled, descending=False).select(
+        "model", "threshold", "n", "cum_n", span.alias("span"), F.lit(parts).alias("parts"))
+
+    def covered(side: str, first: str, final: str) -> Column:
+        first_index, final_index = F.expr(first).cast("bigint"), F.expr(final).cast("bigint")
+        entries = F.transform(F.sequence(first_index, final_index),
+                              lambda i: F.struct(F.lit(side).alias("side"), i.alias("i")))
+        none = F.array().cast("array<struct<side:string,i:bigint>>")
+        return F.when(first_index <= final_index, entries).otherwise(none)
+
+    low_side = covered("low", "IF(span = 0, 0, ((cum_n - n) * parts + span - 1) DIV greatest(span, 1))",
+                       "IF(span = 0, parts, least(parts, (cum_n * parts + span - 1) DIV greatest(span, 1) - 1))")
     high_side = covered(
-        "high", F.when(before == 0, F.lit(0)).otherwise(F.expr(f"((cum_n - n - 1) * {parts}) div {span} + 1")),
-        F.when(last == span, F.lit(parts)).otherwise(F.expr(f"((cum_n - 1) * {parts}) div {span}")))
-    rows = ordered.select("threshold", F.inline(F.concat(low_side, high_side))).collect()
-    found = {(row["side"], row["i"]): row["threshold"] for row in rows}
-    edges = []
-    for i in range(parts + 1):
-        low, high = found["low", i], found["high", i]
-        share = (span * i % parts) / parts
-        edge = low + (high - low) * share if share < 0.5 else high - (high - low) * (1 - share)
-        edges.append(edge if digits is None else round(edge, digits))
-    return edges
+        "high", "IF(cum_n = n, 0, ((cum_n - n - 1) * parts) DIV greatest(span, 1) + 1)",
+        "IF(cum_n - 1 = span, parts, ((cum_n - 1) * parts) DIV greatest(span, 1))")
+    rows = ordered.select("model", "threshold", F.inline(F.concat(low_side, high_side))).collect()
+    found = {(row["model"], row["side"], row["i"]): row["threshold"] for row in rows}
+    quantiles: dict[str, list[float]] = {}
+    for column, name in names.items():
+        quantiles[column] = []
+        for i in range(parts + 1 if name in filled else 0):
+            low, high = found[name, "low", i], found[name, "high", i]
+            share = ((totals[name] - 1) * i % parts) / parts
+            edge = low + (high - low) * share if share < 0.5 else high - (high - low) * (1 - share)
+            quantiles[column].append(edge if digits is None else round(edge, digits))
+    return quantiles
+
+
+def exact_quantiles(df: DataFrame, column: str, parts: int, digits: int | None = None) -> list[float]:
+    """:func:`exact_quantiles_of` for one column."""
+    return exact_quantiles_of(df, [column], parts, digits)[column]
 
 
 @dataclass(frozen=True)
@@ -302,7 +311,13 @@ class QuantileBins:
 
     @classmethod
     def fit(cls, df: DataFrame, column: str, parts: int, digits: int | None = None) -> QuantileBins:
-        return cls(column, tuple(sorted(set(exact_quantiles(df, column, parts, digits)))))
+        return cls.fit_many(df, [column], parts, digits)[column]
+
+    @classmethod
+    def fit_many(cls, df: DataFrame, columns: list[str], parts: int,
+                 digits: int | None = None) -> dict[str, QuantileBins]:
+        edges = exact_quantiles_of(df, columns, parts, digits)
+        return {column: cls(column, tuple(sorted(set(edges[column])))) for column in columns}
 
     def transform(self, df: DataFrame, out: str = "bin") -> DataFrame:
         """Bin number from 0 (lowest); null where the value is null or all values are the same."""

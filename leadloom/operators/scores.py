@@ -184,8 +184,8 @@ def warming_bins(leads: DataFrame, digits: int | None) -> DataFrame:
     """Decile of premium and of days underserved per (customer, agent) pair of the lead table."""
     filled = leads.select(C, A, F.coalesce("wpi", F.lit(0.0)).alias("wpi"),
                           F.coalesce("days_underserved", F.lit(float(MISSING_DAYS))).alias("days"))
-    binned = QuantileBins.fit(filled, "wpi", 10, digits).transform(filled, "wpi_score")
-    binned = QuantileBins.fit(filled, "days", 10, digits).transform(binned, "serving_score")
+    bins = QuantileBins.fit_many(filled, ["wpi", "days"], 10, digits)
+    binned = bins["days"].transform(bins["wpi"].transform(filled, "wpi_score"), "serving_score")
     # Several leads of one pair: the greatest scores count.
     return binned.groupBy(C, A).agg(F.max("wpi_score").alias("wpi_score"), F.max("serving_score").alias("serving_score"))
 
