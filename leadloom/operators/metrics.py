@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from leadloom.functions.scalars import flag, one_value, ratio, ratio_or
+from leadloom.functions.scalars import one_value, ratio, ratio_or
 from leadloom.operators.ranks import QuantileBins, cumulative_by_scores, cut_counts, cut_counts_of
 
 
@@ -217,8 +217,3 @@ def best_model(comparison: DataFrame, reference_percentile: int = 3) -> DataFram
     """The model with the greatest lift at the reference percentage, the first by name among equals."""
     at = comparison.filter(F.col("top_n") == reference_percentile)
     return at.orderBy(F.col("lift").desc(), F.col("model_name")).limit(1).select("model_name", "lift")
-
-
-def confusion_flags(df: DataFrame, condition: Column, out: str = "prediction") -> DataFrame:
-    """Turn a condition into a 0/1 prediction column."""
-    return df.withColumn(out, flag(condition))
