@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Entries a memo may hold before it starts anew; they only save time.
-PIECES, PAIRS = 400_000, 1_000_000
+PIECES, PAIRS = 300_000, 300_000
 #: Characters of a text beyond which its pieces are taken in blocks.
 LONG = 1_000_000
 
@@ -91,9 +91,9 @@ class Codec:
             found.append((part, rank))
         return found[::-1]
 
-    def _compatible(self, pair: tuple[int, int]) -> bool:
+    def _compatible(self, pair: int) -> bool:
         """Whether no merge ever crosses the border of two tokens; of equal ranks the merge further left comes first."""
-        left, right = self.edges[pair[0], 1], self.edges[pair[1], 0]
+        left, right = self.edges[pair >> 32, 1], self.edges[pair & 0xFFFFFFFF, 0]
         i = j = 0
         while True:
             (x, x_ends), (y, y_ends) = left[i], right[j]
@@ -118,7 +118,7 @@ class Codec:
             end += 1
             if last[end] < 0:
                 begin = end - size
-                if begin == 0 or (last[begin] >= 0 and pairs[last[begin], rank]):
+                if begin == 0 or (last[begin] >= 0 and pairs[last[begin] << 32 | rank]):
                     last[end], start[end] = rank, begin
         at, ids = len(data), []
         while at > 0:
@@ -201,7 +201,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str
     def run(batches):
         codec = _codec(shared.value, digest, pattern)
         for whole in batches:
-            for batch in _slices(whole, 8_000_000, text):
+            for batch in _slices(whole, 2_000_000, text):
                 ids = _list([codec.encode(t) for t in batch.column(text).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, out])
 
@@ -217,11 +217,11 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
 
     def run(batches):
         codec = _codec(shared.value, digest, pattern)
-        for batch in batches:
-            lists = batch.column(ids)
-            flat, offsets = lists.values.to_pylist(), lists.offsets.to_pylist()
-            parts = [codec.decode(flat[i:j]) for i, j in zip(offsets, offsets[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parts, type=pa.binary())],
-                                             names=[*batch.schema.names, out])
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                batch = whole.slice(start, 500)
+                parts = [codec.decode(row.values.to_numpy().tolist()) if row.is_valid else b"" for row in batch.column(ids)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parts, type=pa.binary())],
+                                                 names=[*batch.schema.names, out])
 
     return df.mapInArrow(run, schema)

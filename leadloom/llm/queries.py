@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bytebpe, mixing, rollups
+from leadloom.llm import bytebpe, minmax, mixing, rollups
 from leadloom.llm.common import WORD, read_table, word_count
 from leadloom.session import fresh_path
 
@@ -70,6 +70,11 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op9_minmax_dedup")
+def op9_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(read_table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
 #: An address as the redaction batch of op10 takes it.
 MAIL = r"[A-Za-z0-9._]+@[A-Za-z0-9.]+"
 
