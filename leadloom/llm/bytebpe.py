@@ -143,15 +143,24 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-_CODECS: dict[tuple[str, str], Codec] = {}
+class Decoder:
+    """The decoding half alone."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.bytes_of = {rank: token for token, rank in ranks.items()}
+
+    decode = Codec.decode
+
+
+_CODECS: dict[tuple, Codec | Decoder] = {}
 
 
-def _codec(data: bytes, digest: str, pattern: str) -> Codec:
+def _codec(kind: type, data: bytes, digest: str, pattern: str) -> Codec | Decoder:
     """One codec per worker and vocabulary; workers are used for many tasks."""
-    key = (digest, pattern)
+    key = (kind, digest, pattern)
     if key not in _CODECS:
         _CODECS.clear()
-        _CODECS[key] = Codec(load_ranks(data), pattern)
+        _CODECS[key] = kind(load_ranks(data), pattern)
     return _CODECS[key]
 
 
@@ -199,7 +208,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str
     df, schema = _added(df, out, T.ArrayType(T.IntegerType()))
 
     def run(batches):
-        codec = _codec(shared.value, digest, pattern)
+        codec = _codec(Codec, shared.value, digest, pattern)
         for whole in batches:
             for batch in _slices(whole, 2_000_000, text):
                 ids = _list([codec.encode(t) for t in batch.column(text).to_pylist()])
@@ -208,7 +217,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str
     return df.mapInArrow(run, schema)
 
 
-def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
+def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add ``out``, the bytes that an array of token ids stands for; none for a null or empty array."""
     data = read_ranks(df.sparkSession, path)
     shared = df.sparkSession.sparkContext.broadcast(data)  # size of a vocabulary file
@@ -216,7 +225,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
     df, schema = _added(df, out, T.BinaryType())
 
     def run(batches):
-        codec = _codec(shared.value, digest, pattern)
+        codec = _codec(Decoder, shared.value, digest, "")
         for whole in batches:
             for start in range(0, whole.num_rows, 500):
                 batch = whole.slice(start, 500)

@@ -63,7 +63,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = bytebpe.encode(docs, path, pattern).drop("text")
-    both = bytebpe.decode(ids, path, pattern)
+    both = bytebpe.decode(ids, path)
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
