@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leadloom.llm.common import ship_package
+
 #: Entries a memo may hold before it starts anew; they only save time.
 PIECES, PAIRS = 300_000, 300_000
 #: Characters of a text beyond which its pieces are taken in blocks.
@@ -202,6 +204,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str
     Null and empty texts have an empty array. A column already called ``out`` is replaced; all others stay, with as
     many rows as came in (equal rows have equal ids). Special tokens are plain text. Long texts are cut into pieces block by block.
     """
+    ship_package(df.sparkSession)
     data = read_ranks(df.sparkSession, path)
     shared = df.sparkSession.sparkContext.broadcast(data)  # size of a vocabulary file
     digest = hashlib.sha256(data).hexdigest()
@@ -219,6 +222,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add ``out``, the bytes that an array of token ids stands for; none for a null or empty array."""
+    ship_package(df.sparkSession)
     data = read_ranks(df.sparkSession, path)
     shared = df.sparkSession.sparkContext.broadcast(data)  # size of a vocabulary file
     digest = hashlib.sha256(data).hexdigest()

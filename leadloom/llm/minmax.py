@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.llm.bytebpe import _slices
-from leadloom.llm.common import components
+from leadloom.llm.common import components, ship_package
 from leadloom.llm.shingles import mix, shingle_sets
 from leadloom.session import cut_lineage
 
@@ -103,6 +103,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     document; rows whose id is null are told apart by their text, and have a null component only if no linked document
     has an id. Other columns are not read. An empty table gives no rows. Sets are compared as 64-bit hashes.
     """
+    ship_package(docs.sparkSession)
     ids = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.lit("no id"), F.col(text)))
     source = docs.select(ids.alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
 

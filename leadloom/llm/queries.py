@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bytebpe, minmax, mixing, rollups
+from leadloom.llm import bytebpe, langmix, minmax, mixing, rollups
 from leadloom.llm.common import WORD, read_table, word_count
 from leadloom.session import fresh_path
 
@@ -55,6 +55,15 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op2_language_mixture")
+def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    aside = langmix.held_out(F.col("doc_id"), 3, 1)
+    model = langmix.fit(docs.filter(~aside))
+    rows = langmix.predict(docs.select("doc_id", aside.alias("held_out"), "text"), model)
+    return rows.select("doc_id", "held_out", "lang_pred", "score")
+
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
