@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bytebpe, langmix, minmax, mixing, rollups
+from leadloom.llm import bytebpe, langmix, merkle, minmax, mixing, rollups
 from leadloom.llm.common import WORD, read_table, word_count
 from leadloom.session import fresh_path
 
@@ -64,6 +64,39 @@ def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def _sql_tree(text: str) -> str:
+    leaf = f"list_transform(regexp_extract_all(p, '{merkle.PIECE}'), lambda x: substr(sha256(x), 1, 16))"
+    lines = f"list_transform(string_split({text}, chr(10)), lambda p: array_to_string({leaf}, '.'))"
+    ends = f"CASE WHEN substr(sha256(q), 1, 1) IN {tuple(merkle.ENDS)} THEN ';' ELSE ',' END"
+    return f"array_to_string(list_transform({lines}, lambda q: q || {ends}), '')"
+
+
+def _sql_root(tree: str) -> str:
+    section = "sha256(array_to_string(list_transform(string_split(s, ','), lambda p: sha256(p)), ''))"
+    return f"sha256(array_to_string(list_transform(string_split({tree}, ';'), lambda s: {section}), ''))"
+
+
+def _sql_likeness(a: str, b: str) -> str:
+    x, y = (f"list_distinct(string_split_regex({t}, '[.,;]'))" for t in (a, b))
+    return (f"CASE WHEN {a}_root = {b}_root THEN 1.0::DOUBLE ELSE len(list_intersect({x}, {y}))::DOUBLE"
+            f" / greatest(len({x}), len({y})) END")
+
+
+@query("op4_merkle", f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT *, length(text) AS n_chars, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id))
+      AS next_text FROM d),
+e AS (SELECT *, substr(text, 1, n_chars - n_chars // 4) || substr(next_text, 1, n_chars // 4) AS edited FROM n),
+t AS (SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, {_sql_tree("text")} AS a, {_sql_tree("edited")} AS b,
+      {_sql_tree("next_text")} AS c FROM e),
+r AS (SELECT *, {_sql_root("a")} AS a_root, {_sql_root("b")} AS b_root, {_sql_root("c")} AS c_root FROM t)
+SELECT doc_id, n_chars, edited_sha256, a_root || ':' || a AS fingerprint, b_root || ':' || b AS edited_fingerprint,
+  {_sql_likeness("a", "b")} AS near_edited, {_sql_likeness("a", "c")} AS near_next FROM r
+""")
+def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
