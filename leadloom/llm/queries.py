@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from leadloom.llm import bytebpe, langmix, merkle, minmax, mixing, rollups
 from leadloom.llm.common import WORD, read_table, word_count
-from leadloom.session import fresh_path
+from leadloom.session import cut_lineage, fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -133,27 +133,31 @@ SELECT source, lang, tokenizer, CAST(count(*) AS BIGINT) AS docs, CAST(sum(token
 FROM v GROUP BY ALL
 """)
 def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Insert all documents, revise those that hold addresses, delete the toxic ones; the second batch is sent twice."""
+    """Insert all documents, revise those that hold addresses, delete the toxic ones; the second batch is sent twice.
+
+    The counts of both tokenizers, before and after redaction, are taken in one pass over the texts; batches read those.
+    """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    docs = docs.withColumn("clean", F.regexp_replace("text", MAIL, ""))
+    clean = F.regexp_replace("text", MAIL, "")
+    counts = cut_lineage(docs.select(
+        "doc_id", "source", "lang", (F.col("text") != clean).alias("redacted"),
+        *[F.struct(word_count(text).alias("words-1"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes-1"))
+          .alias(name) for text, name in ((F.col("text"), "raw"), (clean, "clean"))]))
     toxic = read_table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id").distinct()
 
-    def sides(text: str, name: str):
-        counts = (("words-1", word_count(F.col(text))),
-                  ("bytes-1", F.coalesce(F.octet_length(text), F.lit(0)).cast("long")))
-        return [F.struct("source", "lang", F.lit(t).alias("tokenizer"), n.alias("tokens")).alias(name) for t, n in counts]
-
     def changes(rows: DataFrame, op: str, old: str | None, new: str | None) -> DataFrame:
-        pairs = [F.struct(*(sides(old, "old")[i:i + 1] if old else []), *(sides(new, "new")[i:i + 1] if new else []))
-                 for i in range(2)]
-        rows = rows.select(F.lit(op).alias("op"), F.explode(F.array(*pairs)).alias("c")).select("op", "c.*")
-        empty = F.lit(None).cast("struct<source:string,lang:string,tokenizer:string,tokens:bigint>")
-        return rows.withColumns({c: empty for c in ("old", "new") if c not in rows.columns})
+        def side(text: str | None, tokenizer: str):
+            tokens = F.col(f"{text}.`{tokenizer}`") if text else F.lit(None).cast("long")
+            full = F.struct("source", "lang", F.lit(tokenizer).alias("tokenizer"), tokens.alias("tokens"))
+            return full if text else F.when(F.lit(False), full)
+
+        pairs = [F.struct(side(old, t).alias("old"), side(new, t).alias("new")) for t in ("words-1", "bytes-1")]
+        return rows.select(F.lit(op).alias("op"), F.explode(F.array(*pairs)).alias("c")).select("op", "c.*")
 
     rollup = rollups.Rollup(spark, fresh_path(spark, "rollup"))
-    rollup.commit("insert", changes(docs, "insert", None, "text"))
-    redacted = changes(docs.filter(F.col("text") != F.col("clean")), "revise", "text", "clean")
+    rollup.commit("insert", changes(counts, "insert", None, "raw"))
+    redacted = changes(counts.filter("redacted"), "revise", "raw", "clean")
     rollup.commit("redact", redacted)
     rollup.commit("redact", redacted)
-    rollup.commit("toxic", changes(docs.join(toxic, "doc_id", "left_semi"), "delete", "clean", None))
+    rollup.commit("toxic", changes(counts.join(toxic, "doc_id", "left_semi"), "delete", "clean", None))
     return rollup.totals()
