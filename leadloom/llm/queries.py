@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bytebpe, langmix, merkle, minmax, mixing, rollups
+from leadloom.llm import bytebpe, langmix, merkle, minmax, mixing, rollups, templates
 from leadloom.llm.common import WORD, read_table, word_count
 from leadloom.session import cut_lineage, fresh_path
 
@@ -97,6 +97,13 @@ def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+@query("op5_line_templates")
+def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = templates.drop_recurring(read_table(spark, sf_dir, "documents").select("doc_id", "text"), dropped="n_dropped")
+    return rows.select("doc_id", "n_dropped", F.char_length("text").cast("long").alias("n_chars_left"),
+                       F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
