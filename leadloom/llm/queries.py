@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bytebpe, langmix, merkle, minmax, mixing, punlearn, rollups, templates
+from leadloom.llm import bytebpe, crosspoly, langmix, merkle, minmax, mixing, punlearn, rollups, templates
 from leadloom.llm.common import WORD, read_table, word_count
 from leadloom.session import cut_lineage, fresh_path
 
@@ -104,6 +104,11 @@ def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op6_cross_polytope")
+def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspoly.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 @query("op7_quality_pu")
 def op7_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
