@@ -24,6 +24,8 @@ PENALTY = 3.0
 #: Neighbouring n-grams overlap; their joint likelihood counts as one part in so many.
 OVERLAP = 4.0
 ROUNDS, SMOOTH = 8, 0.5
+#: Share under which languages leave the full set together.
+TRACE = 0.02
 _LETTER = regex.compile(r"\p{L}")
 _FOLD = np.full(256, 0x20, dtype=np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
@@ -129,21 +131,35 @@ def infer(texts: list[str | None], model: dict) -> tuple[list[str], np.ndarray]:
     sizes = np.add.reduceat(counts, starts)
     log_prior = np.log(prior + 1e-9)
     # Likelihood of each language alone.
-    alone = np.add.reduceat(counts[:, None] * np.log(chances), starts, axis=0) / OVERLAP + log_prior
+    lone = np.add.reduceat(counts[:, None] * np.log(chances), starts, axis=0)
+    alone = lone / OVERLAP + log_prior
     allowed = np.ones((len(filled), len(langs)), dtype=np.float32)
     share, likely = _mixture(counts, rows, starts, sizes, chances, allowed)
     cost = PENALTY * np.log1p(sizes)
     value = likely / OVERLAP - cost * len(langs)
     live = np.arange(len(filled)) if len(langs) > 1 else np.arange(0)
+    first = True
     while len(live):
-        # Drop the smallest member of the set; a text whose value falls keeps its set and is done.
+        # First all that hardly take part leave, then the smallest member of the set, one at a time. A text whose value falls
+        # keeps its set and is done.
         rest = np.where(allowed[live] > 0, share[live], np.inf)
-        fewer = allowed[live].copy()
-        fewer[np.arange(len(live)), rest.argmin(axis=1)] = 0
-        picked = np.isin(rows, live)
-        place = np.searchsorted(live, rows[picked])
-        heads = np.concatenate([[0], np.cumsum(lengths[live])[:-1]])
-        new_share, new_likely = _mixture(counts[picked], place, heads, sizes[live], chances[picked], fewer)
+        small = rest < TRACE if first else np.zeros(rest.shape, dtype=bool)
+        first = False
+        small[np.arange(len(live)), share[live].argmax(axis=1)] = False
+        stuck = ~small.any(axis=1)
+        small[stuck, rest.argmin(axis=1)[stuck]] = True
+        fewer = np.where(small, 0, allowed[live]).astype(np.float32)
+        new_share, new_likely = fewer.copy(), np.empty(len(live))
+        # A set of one needs no search: its likelihood is that of the language alone.
+        one = fewer.sum(axis=1) == 1
+        new_likely[one] = lone[live[one], fewer[one].argmax(axis=1)]
+        more = live[~one]
+        if len(more):
+            picked = np.isin(rows, more)
+            place = np.searchsorted(more, rows[picked])
+            heads = np.concatenate([[0], np.cumsum(lengths[more])[:-1]])
+            new_share[~one], new_likely[~one] = _mixture(
+                counts[picked], place, heads, sizes[more], chances[picked], fewer[~one])
         new_value = new_likely / OVERLAP - cost[live] * fewer.sum(axis=1)
         better = new_value >= value[live]
         won = live[better]

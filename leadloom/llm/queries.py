@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bytebpe, crosspoly, langmix, merkle, minmax, mixing, punlearn, rollups, templates
+from leadloom.llm import bytebpe, crosspoly, langmix, merkle, minmax, mixing, punlearn, rollups, templates, warc
 from leadloom.llm.common import WORD, read_table, word_count
 from leadloom.session import cut_lineage, fresh_path
 
@@ -64,6 +64,22 @@ def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query("op3_warc", f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+f AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest,
+      min(page_id) OVER (PARTITION BY body) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= {warc.REVISIT_FROM} AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= {warc.REVISIT_FROM} AND page_id > first THEN first END AS refers_to FROM f
+""")
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write_records(read_table(spark, sf_dir, "pages"), path)
+    rows = warc.read_records(spark, path)
+    return rows.select(warc.page_number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       warc.page_number(F.col("refers_to")).alias("refers_to"))
+
+
 def _sql_tree(text: str) -> str:
     leaf = f"list_transform(regexp_extract_all(p, '{merkle.PIECE}'), lambda x: substr(sha256(x), 1, 16))"
     lines = f"list_transform(string_split({text}, chr(10)), lambda p: array_to_string({leaf}, '.'))"
