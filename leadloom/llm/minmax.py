@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.llm.bytebpe import _slices
-from leadloom.llm.common import components, ship_package
+from leadloom.llm.common import WORD, components, ship_package
 from leadloom.llm.shingles import mix, shingle_sets
 from leadloom.session import cut_lineage
 
@@ -112,6 +112,25 @@ def _near(low: int, a: str, b: str) -> Column:
     return bits * (100 + low) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - low)
 
 
+def _row_id(id_col: str, text: str) -> Column:
+    return F.coalesce(F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.lit("no id"), F.col(f"`{text}`")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates, that of the smallest id; all columns stay.
+
+    Of rows that share an id, or have no id and one text, one stays. Texts without a word are linked with nothing, so all of their rows stay.
+    """
+    near = grouped(docs, id_col, text, k, percent)
+    winners = cut_lineage(near.filter("n > 0 and rid = winner").groupBy("rid").agg(F.count("*").alias("__n"))
+                          .withColumnRenamed("rid", "__rid"))
+    rows = docs.withColumn("__rid", _row_id(id_col, text))
+    worded = F.coalesce(F.col(f"`{text}`").rlike(WORD), F.lit(False))
+    one = rows.filter(worded).join(winners.filter("__n = 1").select("__rid"), "__rid", "left_semi")
+    more = rows.filter(worded).join(winners.filter("__n > 1").select("__rid"), "__rid", "left_semi").dropDuplicates(["__rid"])
+    return one.unionByName(more).unionByName(rows.filter(~worded)).drop("__rid")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 2, percent: int = 80) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id`` and ``kept``.
 
@@ -121,9 +140,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     document; rows whose id is null are told apart by their text, and have a null component only if no linked document
     has an id. Other columns are not read. An empty table gives no rows. Sets are compared as 64-bit hashes.
     """
+    rows = grouped(docs, id_col, text, k, percent)
+    return rows.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
+                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> DataFrame:
+    """What ``near_duplicates`` tells, as (rid, doc_id, n, component_id, winner): rid and winner also name rows without an id."""
     ship_package(docs.sparkSession)
-    ids = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.lit("no id"), F.col(text)))
-    source = docs.select(ids.alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    source = docs.select(_row_id(id_col, text).alias("rid"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                         F.col(f"`{text}`").alias("text"))
 
     def signed(batches):
         for whole in batches:
@@ -197,10 +223,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         joined = classes.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     # A null stands for a component only when none of its documents has an id.
     named = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = cut_lineage(joined.select(*mark, "root").join(named, "root").select(*mark, "component_id"))
-    out = rows.select("doc_id", *mark)
-    full_rows = out.filter("n > 0").join(labels, mark).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = out.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return full_rows.unionByName(alone).select(
-        F.col("doc_id").alias(id_col), "n_shingles", "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    winner = F.coalesce("component_id", "root")
+    labels = cut_lineage(joined.select(*mark, "root").join(named, "root").select(*mark, "component_id", winner.alias("winner")))
+    out = rows.select("rid", "doc_id", *mark)
+    linked = out.filter("n > 0").join(labels, mark).select("rid", "doc_id", "n", "component_id", "winner")
+    return linked.unionByName(out.filter("n = 0").select(
+        "rid", "doc_id", "n", F.col("doc_id").alias("component_id"), F.col("rid").alias("winner")))
