@@ -8,21 +8,22 @@ result. A score that many rows share gets a bucket of its own, which is split ag
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-MAX_BUCKETS = 2048
+ROWS_PER_BUCKET = 200_000
 
 
-def bucket_count(spark: SparkSession) -> int:
-    """Four buckets per shuffle partition, within fixed limits."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(16, min(MAX_BUCKETS, 4 * partitions))
+def bucket_count(df: DataFrame) -> int:
+    """Four buckets per shuffle partition, or as many as keep a bucket near ``ROWS_PER_BUCKET`` rows."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(16, 4 * partitions, df.count() // ROWS_PER_BUCKET)
 
 
 def _bucketize(df: DataFrame, column: str, edges: list[float], out: str) -> DataFrame:
@@ -39,13 +40,20 @@ def _bucketize(df: DataFrame, column: str, edges: list[float], out: str) -> Data
 
 @dataclass(frozen=True)
 class OrderedBuckets:
-    """Bucket edges for the order (score descending, key ascending)."""
+    """Bucket edges for the order (score descending, key ascending).
+
+    ``hot`` holds the key edges of each score that fills more than one bucket: as many as it fills, so all slots
+    together are at most a few times the buckets asked for.
+    """
 
     score: str
     key: str
     score_edges: tuple[float, ...]
-    hot_scores: tuple[float, ...]
-    key_edges: tuple[float, ...]
+    hot: tuple[tuple[float, tuple[float, ...]], ...]
+
+    @property
+    def hot_scores(self) -> tuple[float, ...]:
+        return tuple(score for score, _ in self.hot)
 
     @classmethod
     def fit(cls, df: DataFrame, score: str, key: str, buckets: int | None = None) -> OrderedBuckets:
@@ -54,60 +62,76 @@ class OrderedBuckets:
     @classmethod
     def fit_many(cls, df: DataFrame, scores: list[str], key: str,
                  buckets: int | None = None) -> dict[str, OrderedBuckets]:
-        """Edges of several score columns from one pass, and one more for the columns with hot scores."""
-        buckets = buckets or bucket_count(df.sparkSession)
+        """Edges of several score columns from one pass, and a few more for the columns with hot scores."""
+        buckets = buckets or bucket_count(df)
         values = {score: f"_s{i}" for i, score in enumerate(scores)}
         table = df.select(F.col(key).cast("double").alias("_k"),
                           *[F.col(score).cast("double").alias(v) for score, v in values.items()])
         shares = [i / buckets for i in range(1, buckets)]
         found = table.approxQuantile(list(values.values()), shares, 1.0 / (4 * buckets))
-        edges = {score: Counter(sorted(e + 0.0 for e in row)) for score, row in zip(values, found)}
-        hot = {score: sorted(s for s, times in counted.items() if times > 1) for score, counted in edges.items()}
-        key_edges = cls._hot_key_edges(table, values, edges, hot)
+        times = {score: Counter(e + 0.0 for e in row) for score, row in zip(values, found)}
+        cuts = cls._hot_key_edges(table, values, times)
         return {
-            score: cls(score, key, tuple(sorted(set(edges[score]) | {math.nextafter(s, math.inf) for s in hot[score]})),
-                       tuple(hot[score]), tuple(key_edges.get(score, ())))
-            for score in scores
+            score: cls(
+                score, key,
+                tuple(sorted(set(counted) | {math.nextafter(s, math.inf) for s, n in counted.items() if n > 1})),
+                tuple((s, cuts.get((score, s), ())) for s, n in sorted(counted.items()) if n > 1))
+            for score, counted in times.items()
         }
 
     @staticmethod
-    def _hot_key_edges(table: DataFrame, values: dict[str, str], edges: dict[str, Counter],
-                       hot: dict[str, list[float]]) -> dict[str, list[float]]:
-        """Key quantiles inside each hot score, as many as the score holds buckets."""
-        most = max((edges[score][s] for score in hot for s in hot[score]), default=0)
-        if not most:
-            return {}
-        rows = [F.struct(F.lit(score).alias("score"), F.when(F.col(values[score]).isin(shared), F.col(values[score]))
-                         .alias("value")) for score, shared in hot.items() if shared]
-        fractions = [i / (most + 1) for i in range(1, most + 1)]
-        cuts = (
-            table.select("_k", F.inline(F.array(*rows))).filter("value is not null")
-            .groupBy("score", "value").agg(F.percentile_approx("_k", fractions, F.lit(10_000)).alias("cuts")).collect()
-        )
-        found: dict[str, set[float]] = {}
-        for row in cuts:
-            found.setdefault(row["score"], set()).update(row["cuts"])
-        return {score: sorted(keys) for score, keys in found.items()}
+    def _hot_key_edges(table: DataFrame, values: dict[str, str],
+                       times: dict[str, Counter]) -> dict[tuple[str, float], tuple[float, ...]]:
+        """Key quantiles inside each hot score, twice as many as it fills buckets at most.
+
+        Hot scores of like weight share a pass, so there are no more passes than binary digits in the bucket number.
+        """
+        found: dict[tuple[str, float], tuple[float, ...]] = {}
+        sizes = {n.bit_length() for counted in times.values() for n in counted.values() if n > 1}
+        for size in sorted(sizes):
+            rows = []
+            for score, counted in times.items():
+                own = [s for s, n in counted.items() if n > 1 and n.bit_length() == size]
+                if own:
+                    value = F.col(values[score])
+                    rows.append(F.struct(F.lit(score).alias("score"), F.when(value.isin(own), value).alias("value")))
+            parts = 1 << size
+            cuts = (
+                table.select("_k", F.inline(F.array(*rows))).filter("value is not null").groupBy("score", "value")
+                .agg(F.percentile_approx("_k", [i / parts for i in range(1, parts)], F.lit(10_000)).alias("cuts")).collect()
+            )
+            for row in cuts:
+                found[row["score"], row["value"] + 0.0] = tuple(sorted(set(row["cuts"])))
+        return found
 
     def place(self, df: DataFrame, out: str = "_slot") -> DataFrame:
-        """Add the bucket number; lower numbers come first in the order."""
-        width = len(self.key_edges) + 1
+        """Add the bucket number; lower numbers come first in the order.
+
+        The number of score edges and of key edges below a row make one whole number that rises with the order; edges
+        on that number are the starts of the score buckets and, inside hot ones, their own key edges.
+        """
         df = df.withColumn("_s", F.col(self.score).cast("double")).withColumn("_k", F.col(self.key).cast("double"))
         df = _bucketize(df, "_s", list(self.score_edges), "_sb")
-        if self.hot_scores:
-            df = _bucketize(df, "_k", list(self.key_edges), "_kb")
-            inner = F.when(F.col("_s").isin(list(self.hot_scores)), F.col("_kb")).otherwise(F.lit(0))
-        else:
-            df, inner = df.withColumn("_kb", F.lit(0)), F.lit(0)
-        slot = (F.lit(len(self.score_edges)) - F.col("_sb")).cast("bigint") * F.lit(width) + inner
-        return df.withColumn(out, slot).drop("_s", "_k", "_sb", "_kb")
+        last = len(self.score_edges)
+        if not self.hot:
+            return df.withColumn(out, F.lit(last).cast("bigint") - F.col("_sb")).drop("_s", "_k", "_sb")
+        keys = sorted({e + 0.0 for _, own in self.hot for e in own})
+        df = _bucketize(df, "_k", keys, "_kb")
+        width = len(keys) + 1
+        df = df.withColumn("_c", ((F.lit(last) - F.col("_sb")) * F.lit(width) + F.col("_kb")).cast("double"))
+        starts = {float(i * width) for i in range(1, last + 1)}
+        for score, own in self.hot:
+            start = (last - bisect_right(self.score_edges, score)) * width
+            starts |= {float(start + bisect_right(keys, e)) for e in own}
+        df = _bucketize(df, "_c", sorted(starts), "_place")
+        return df.withColumn(out, F.col("_place").cast("bigint")).drop("_s", "_k", "_sb", "_kb", "_c", "_place")
 
     def order(self) -> list[Column]:
         return [F.col(self.score).desc(), F.col(self.key).asc()]
 
 
 def _with_offsets(stats: DataFrame, *sums: str) -> DataFrame:
-    """Running totals before each bucket. The input holds one row per bucket, so one task is enough."""
+    """Running totals before each bucket. The input holds one row per bucket, a few per ``ROWS_PER_BUCKET`` rows."""
     before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     return stats.select(
         "*", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}_before") for c in sums]
@@ -122,7 +146,7 @@ def rank_rows(df: DataFrame, score: str, key: str, out: str = "row", buckets: in
     inside = Window.partitionBy("_slot").orderBy(*layout.order())
     return (
         placed.withColumn("_inside", F.row_number().over(inside))
-        .join(F.broadcast(offsets.select("_slot", "_n_before")), "_slot")
+        .join(offsets.select("_slot", "_n_before"), "_slot")
         .withColumn(out, F.col("_n_before") + F.col("_inside"))
         .drop("_slot", "_inside", "_n_before")
     )
@@ -132,23 +156,25 @@ def flag_top(df: DataFrame, score: str, key: str, k: Column | int, out: str = "i
              buckets: int | None = None) -> DataFrame:
     """Mark the first ``k`` rows by (score descending, key ascending).
 
-    Buckets wholly inside or outside the cut are decided by their counts; only the one bucket with the cut is sorted.
+    Buckets wholly inside or outside the cut are decided by their number; only the one bucket with the cut is sorted.
     ``k`` may be a number or a scalar subquery.
     """
     layout = OrderedBuckets.fit(df, score, key, buckets)
     placed = layout.place(df)
     stats = _with_offsets(placed.groupBy("_slot").agg(F.count(F.lit(1)).alias("n")), "n")
     limit = k if isinstance(k, Column) else F.lit(k)
-    limits = stats.select("_slot", (limit - F.col("_n_before")).alias("_room"), F.col("n").alias("_size"))
-    joined = placed.join(F.broadcast(limits), "_slot")
-    cut = (F.col("_room") > 0) & (F.col("_room") < F.col("_size"))
-    whole = joined.filter(~cut).withColumn(out, F.col("_room") > 0)
+    # Slots before the one with the cut are in, those behind it are out: one row tells which it is.
+    cut = stats.filter(F.col("_n_before") < limit).agg(
+        F.max("_slot").alias("_cut"), F.max_by("_n_before", "_slot").alias("_n"))
+    joined = placed.crossJoin(F.broadcast(cut.select("_cut", "_n")))
+    at = F.col("_slot") == F.coalesce("_cut", F.lit(-1))
+    whole = joined.filter(~at).withColumn(out, F.coalesce(F.col("_slot") < F.col("_cut"), F.lit(False)))
     inside = Window.partitionBy("_slot").orderBy(*layout.order())
     split = (
-        joined.filter(cut).withColumn("_inside", F.row_number().over(inside))
-        .withColumn(out, F.col("_inside") <= F.col("_room")).drop("_inside")
+        joined.filter(at).withColumn("_inside", F.row_number().over(inside))
+        .withColumn(out, F.col("_inside") + F.col("_n") <= limit).drop("_inside")
     )
-    return whole.unionByName(split).drop("_slot", "_room", "_size")
+    return whole.unionByName(split).drop("_slot", "_cut", "_n")
 
 
 def top_rows(df: DataFrame, score: str, key: str, k: Column | int, buckets: int | None = None) -> DataFrame:
@@ -216,7 +242,7 @@ def cumulative_by_scores(df: DataFrame, scores: dict[str, str], label: str | Non
     ``scores`` maps a model name to its score column. Columns ``model, threshold, n, pos, cum_n, cum_pos``. Equal
     scores collapse before any ordering, so a score shared by many rows costs one row.
     """
-    buckets = buckets or bucket_count(df.sparkSession)
+    buckets = buckets or bucket_count(df)
     names = list(scores)
     hit = F.col(label).cast("bigint") if label else F.lit(0).cast("bigint")
     values = [f"_v{i}" for i in range(len(names))]
@@ -242,7 +268,7 @@ def cumulative_by_scores(df: DataFrame, scores: dict[str, str], label: str | Non
     inside = Window.partitionBy("model", "_slot").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         counted.withColumn("_n", F.sum("n").over(inside)).withColumn("_pos", F.sum("pos").over(inside))
-        .join(F.broadcast(offsets), ["model", "_slot"])
+        .join(offsets, ["model", "_slot"])
         .select("model", "threshold", "n", "pos", (F.col("_n") + F.col("_n_before")).alias("cum_n"),
                 (F.col("_pos") + F.col("_pos_before")).alias("cum_pos"))
     )

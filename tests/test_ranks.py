@@ -38,6 +38,18 @@ def test_a_hot_score_is_split_over_many_buckets(spark):
     assert largest < 4000 * 0.1
 
 
+def test_many_hot_scores_keep_the_slots_few_and_even(spark):
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"row_id": rng.permutation(6000) + 1, "prob_1": np.where(rng.random(6000) < 0.5, 0.5, rng.integers(0, 20, 6000) / 40)})
+    df = spark.createDataFrame(pdf)
+    layout = ranks.OrderedBuckets.fit(df, "prob_1", "row_id", 64)
+    assert len(layout.hot_scores) > 10
+    sizes = [r["count"] for r in layout.place(df).groupBy("_slot").count().collect()]
+    assert len(sizes) <= 4 * 64 and max(sizes) < 4 * 6000 / 64
+    ranked = ranks.rank_rows(df, "prob_1", "row_id", buckets=64).toPandas().sort_values("row")
+    assert list(ranked["row_id"]) == list(in_order(pdf)["row_id"])
+
+
 def test_hot_score_with_keys_in_a_narrow_range(spark):
     pdf = scored_frame(3000, 3)
     pdf.loc[pdf["row_id"] > 6000, "prob_1"] = 0.5
