@@ -85,7 +85,9 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", tempered: float
     slot, n = counts.column("slot").to_numpy(), counts.column("n").to_numpy()
     table[slot[slot >= 0], column[slot >= 0]] = n[slot >= 0]
     texts[column[slot < 0]] = n[slot < 0]
-    smooth = table + tempered
+    # An n-gram that was never seen is as likely in a language with little text as in one with much.
+    totals = np.maximum(table.sum(axis=0), 1.0)
+    smooth = table + tempered * totals / totals.max(initial=1.0)
     return {"langs": langs, "likelihood": (smooth / smooth.sum(axis=0)).astype(np.float32) if langs else table.astype(np.float32),
             "prior": texts / max(texts.sum(), 1)}
 
