@@ -40,19 +40,26 @@ class _Powers:
 _POWERS = _Powers()
 
 
-def _block_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _block_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     space = np.concatenate([[True], _SPACE[data], [True]])
     change = np.flatnonzero(space[1:] != space[:-1])
     starts, ends = change[::2], change[1::2]
     up, down = _POWERS.get(len(data) + 1)
     sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_CODE[_LOWER[data]] * up[:len(data)])])
-    return starts, mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return starts, ends, mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
 def word_hashes(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Start of every word of ``blob`` (UTF-8, A-Z lower-cased) and its hash."""
+    starts, _, hashes = word_spans(blob)
+    return starts, hashes
+
+
+def word_spans(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of every word of ``blob``."""
     data = np.frombuffer(blob, dtype=np.uint8)
-    starts, hashes, at = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.uint64)], 0
+    starts, ends, at = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)], 0
+    hashes = [np.empty(0, dtype=np.uint64)]
     while at < len(data):
         end = min(at + BLOCK, len(data))
         while end < len(data):
@@ -61,11 +68,12 @@ def word_hashes(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
                 end = at + int(gaps[-1]) + 1
                 break
             end = min(end + BLOCK, len(data))
-        s, h = _block_words(data[at:end])
+        s, e, h = _block_words(data[at:end])
         starts.append(s + at)
+        ends.append(e + at)
         hashes.append(h)
         at = end
-    return np.concatenate(starts), np.concatenate(hashes)
+    return np.concatenate(starts), np.concatenate(ends), np.concatenate(hashes)
 
 
 def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:

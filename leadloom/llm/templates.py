@@ -1,7 +1,7 @@
 """Line dedup with a tree of templates.
 
 Lines are parsed into a tree of fixed depth: the number of tokens, then the leading tokens, where tokens with digits
-are variable fields. The lines of a leaf are generalised: a token stays where it stands in a fifth of the leaf's lines at that place,
+are variable fields; case of A-Z and the kind of space between tokens do not matter. The lines of a leaf are generalised: a token stays where it stands in a fifth of the leaf's lines at that place,
 anything else is a variable field. A template is a line as it is, or a generalised one that keeps most of its tokens.
 Templates that recur across documents are dropped from all of them.
 
@@ -12,37 +12,107 @@ so a template of ``n`` tokens needs ``need / n`` such documents, and two at leas
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.llm.common import WORD
+from leadloom.llm.bytebpe import _slices
+from leadloom.llm.common import ship_package
+from leadloom.llm.shingles import mix, word_spans
 from leadloom.session import cut_lineage
 
 #: Leading tokens in the tree; the share of a leaf's lines that makes a token constant; the share of constant tokens in a
 #: template; the share of a document that may recur if the document is to count; tokens times documents for a template.
 DEPTH, CONSTANT, KEPT, RECURRING, NEED = 3, 0.2, 0.6, 0.5, 100
+#: Bits of the map of leaves that tasks get, 2 MB at any size of the corpus; a full map only lets more lines through.
+SLOTS = 1 << 24
+
+
+def _lines(batch: pa.RecordBatch, wanted: np.ndarray | None) -> pa.RecordBatch:
+    """A row per line that has a token; with ``wanted``, only lines whose leaf has its bit set, and their tokens."""
+    texts = batch.column("text").to_pylist()
+    parts = [t.encode("utf-8", "surrogatepass") for t in texts]
+    blob = b"\n".join(parts)
+    data = np.frombuffer(blob, dtype=np.uint8)
+    begins = np.cumsum([0] + [len(p) + 1 for p in parts])
+    starts, ends, words = word_spans(blob)
+    digits = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57))])
+    fields = digits[ends] > digits[starts]
+    breaks = np.cumsum(data == 10)
+    line = breaks[starts] if len(starts) else np.empty(0, dtype=np.int64)
+    heads = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.empty(0, dtype=np.int64)
+    sizes = np.diff(np.append(heads, len(line)))
+    owner = np.searchsorted(begins, starts[heads], side="right") - 1
+    first = np.concatenate([[0], breaks[np.maximum(begins[1:-1] - 1, 0)]]) if len(parts) else np.empty(0, dtype=np.int64)
+    pos = line[heads] - first[owner]
+    totals = np.bincount(owner, weights=sizes, minlength=len(parts)).astype(np.int64)
+    place = (np.arange(len(line)) - np.repeat(heads, sizes)).astype(np.uint64)
+    keys = np.add.reduceat(mix(words ^ mix(place + np.uint64(1))), heads) if len(heads) else np.empty(0, dtype=np.uint64)
+    masked = np.where(fields, np.uint64(0), words | np.uint64(1))
+    leaf = mix(sizes.astype(np.uint64))
+    for j in range(DEPTH):
+        at = np.minimum(heads + j, max(len(masked) - 1, 0))
+        leaf = mix(leaf * np.uint64(3) + np.where(sizes > j, masked[at], np.uint64(7)))
+    leaf = leaf.view(np.int64)
+    tids = batch.column("tid").to_numpy()
+    keep = np.ones(len(heads), dtype=bool)
+    if wanted is not None:
+        slot = leaf & (SLOTS - 1)
+        keep = (wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+    columns = [pa.array(tids[owner][keep]), pa.array(pos[keep].astype(np.int32)), pa.array(totals[owner][keep]),
+               pa.array(mix(keys).view(np.int64)[keep]), pa.array(sizes[keep].astype(np.int32)), pa.array(leaf[keep])]
+    names = ["tid", "pos", "doc_tokens", "lh", "n", "leaf"]
+    if wanted is not None:
+        own = np.repeat(keep, sizes)
+        flat = np.where(fields, np.int64(0), ((words >> np.uint64(33)) | np.uint64(1)).astype(np.int64)).astype(np.int32)[own]
+        offsets = np.concatenate([[0], np.cumsum(sizes[keep])]).astype(np.int32)
+        columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
+        names.append("toks")
+    return pa.RecordBatch.from_arrays(columns, names=names)
+
+
+LINE = "tid long, pos int, doc_tokens long, lh long, n int, leaf long"
+
+
+def _parsed(docs: DataFrame, text: str, wanted=None) -> DataFrame:
+    """Rows (tid, pos, doc_tokens, lh, n, leaf), one per line that has a token; tid stands for the text, lh for the line.
+
+    ``wanted`` is a broadcast bitmap of leaves; then only their lines come, with ``toks``, a number per token, 0 for a field.
+    """
+    rows = docs.select(F.xxhash64(f"`{text}`").alias("tid"), F.col(f"`{text}`").alias("text")).filter("text is not null")
+
+    def run(batches):
+        for whole in batches:
+            for batch in _slices(whole, 1_000_000, "text"):
+                yield _lines(batch, None if wanted is None else wanted.value)
+
+    return rows.mapInArrow(run, LINE if wanted is None else LINE + ", toks array<int>")
 
 
-def _parsed(docs: DataFrame, text: str) -> DataFrame:
-    """Rows (tid, pos, lh, n, leaf, toks, doc_tokens), one per line that has a token; tid stands for the text."""
-    lines = docs.select(F.xxhash64(text).alias("tid"), F.col(text).alias("text")).filter("text is not null")
-    lines = lines.select("tid", F.regexp_count("text", F.lit(WORD)).alias("doc_tokens"),
-                         F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    words = F.regexp_extract_all("line", F.lit(WORD), F.lit(0))
-    # Words are hashed one by one to 32 bits; a word with a digit is a field.
-    toks = F.transform("words", lambda w: F.when(w.rlike("[0-9]"), F.lit(0)).otherwise(F.hash(w)))
-    lines = lines.select("tid", "pos", "doc_tokens", F.xxhash64("line").alias("lh"), words.alias("words"))
-    lines = lines.select("tid", "pos", "doc_tokens", "lh", F.size("words").alias("n"), toks.alias("toks")).filter("n > 0")
-    return lines.withColumn("leaf", F.xxhash64("n", F.slice("toks", 1, DEPTH)))
+def _bitmap(keys: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of ``SLOTS`` bits with that of every key set, whatever the number of keys."""
+    slot = F.col(column).bitwiseAND(F.lit(SLOTS - 1))
+    parts = keys.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+    # A bucket covers 32768 slots; bucket numbers start at 1 for slots from 1, so slot 0 lies in bucket 0.
+    out = np.zeros(SLOTS, dtype=np.uint8)
+    for b, bits in parts:
+        low = np.unpackbits(np.frombuffer(bytes(bits), dtype=np.uint8), bitorder="little")
+        slots = (b - 1) * 32768 + 1 + np.flatnonzero(low) if b > 0 else -np.flatnonzero(low)
+        out[slots] = 1
+    return np.packbits(out, bitorder="little")
 
 
 def recurring_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """Rows (tid, pos): the lines to drop, by the hash of the text and the number of the line."""
+    ship_package(docs.sparkSession)
     lines = _parsed(docs, text)
     # A leaf matters if two different texts reach it; least and greatest tell that without a list.
     leaves = cut_lineage(lines.groupBy("leaf").agg(F.min("tid").alias("a"), F.max("tid").alias("b"))
                          .filter("a <> b").select("leaf"))
-    met = cut_lineage(lines.join(leaves, "leaf", "left_semi").dropDuplicates(["tid", "pos"]))
+    wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(leaves, "leaf"))  # SLOTS bits
+    met = cut_lineage(_parsed(docs, text, wanted).join(leaves, "leaf", "left_semi").dropDuplicates(["tid", "pos"]))
     places = met.select("leaf", F.posexplode("toks").alias("p", "tok")).groupBy("leaf", "p", "tok").agg(F.count("*").alias("c"))
     sizes = met.groupBy("leaf").agg(F.count("*").alias("lines"))
     kept = F.collect_list(F.when((F.col("c") >= CONSTANT * F.col("lines")) & (F.col("tok") != 0), F.col("tok")))
@@ -82,7 +152,7 @@ def drop_recurring(docs: DataFrame, text: str = "text", dropped: str | None = No
         return F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("__lost", i)), "\n")
 
     rows = docs.select(*[F.col(f"`{c}`") for c in columns], F.xxhash64(text).alias("__tid"))
-    rows = rows.join(lost.withColumnRenamed("tid", "__tid"), "__tid", "left")
+    rows = rows.join(lost.withColumnRenamed("tid", "__tid").hint("merge"), "__tid", "left")
     kept = F.when(F.col("__lost").isNull(), F.col(f"`{text}`")).otherwise(rest(F.split(f"`{text}`", "\n")))
     out = [kept.alias(c) if c == text else F.col(f"`{c}`") for c in columns]
     if dropped:
