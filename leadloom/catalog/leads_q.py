@@ -403,9 +403,14 @@ def d15(src: Source) -> DataFrame:
 # Allocation and warming
 
 
-def run(src: Source, capacity: dict[str, int] | None = None, limits: al.Limits | None = None) -> LeadRun:
+def default_limits() -> al.Limits:
+    """The limits of every run, for each use case with a rate."""
+    return al.Limits({u: al.DEFAULT_LIMITS for u, _cr, _wp in scores.EXPECTED_VALUE_RATES})
+
+
+def run(src: Source, capacity: dict[str, int] | None = None) -> LeadRun:
     return run_allocation(cut_lineage(src("leads_master")), src("cust_master"), src("agent_master"), src("agent_warming"),
-                          limits=limits, capacity=capacity, digits=DIGITS)
+                          limits=default_limits(), capacity=capacity, digits=DIGITS)
 
 
 CHOSEN_SQL = "round(expected_value, 6) AS expected_value, affinity, priority"
@@ -416,8 +421,40 @@ WITH {sqlf.ALLOCATION} SELECT customerseqid, agentseqid, usecase, {CHOSEN_SQL} F
 def o1(src: Source) -> DataFrame:
     leads, d = leads_and_domains(src)
     helpers = build_helpers(leads, d, src("cust_master"), src("agent_master"))
-    limits = al.Limits({u: al.DEFAULT_LIMITS for u, _cr, _wp in scores.EXPECTED_VALUE_RATES})
-    return al.allocate(helpers.options, limits)
+    return al.allocate(helpers.options, default_limits())
+
+
+@query("o1_allocation_status", f"""
+WITH {sqlf.ALLOCATION}
+SELECT 'optimal' AS status, count(*) AS leads, round(sum(expected_value + affinity), 6) AS value,
+  round(sum(expected_value + affinity), 6) AS bound, CAST(0 AS DOUBLE) AS gap FROM chosen""")
+def o1_status(src: Source) -> DataFrame:
+    leads, d = leads_and_domains(src)
+    helpers = build_helpers(leads, d, src("cust_master"), src("agent_master"))
+    chosen = cut_lineage(al.allocate(helpers.options, default_limits()))
+    return al.allocation_status(helpers.options, chosen, default_limits())
+
+
+ONE_LIMIT = 100
+
+
+@query("o1_allocate_one_limit", f"""
+WITH {sqlf.ALLOCATION}, best AS ({BEST_SQL}),
+opt AS (SELECT ev.customerseqid, ev.usecase, ev.expected_value + b.affinity AS score
+  FROM ev JOIN best b ON b.customerseqid = ev.customerseqid),
+two AS (SELECT customerseqid, usecase, score, greatest(coalesce(lead(score) OVER w, 0), 0) AS other,
+  row_number() OVER w AS place FROM opt WINDOW w AS (PARTITION BY customerseqid ORDER BY score DESC, usecase)),
+first AS (SELECT *, row_number() OVER (PARTITION BY usecase ORDER BY score - other DESC, customerseqid) AS turn
+  FROM two WHERE place = 1 AND score >= 0)
+SELECT least(count(*) FILTER (WHERE usecase = 'maturity'), {ONE_LIMIT}) AS maturity,
+  round(sum(CASE WHEN usecase = 'maturity' AND turn > {ONE_LIMIT} THEN other ELSE score END), 6) AS value FROM first""")
+def o1_one_limit(src: Source) -> DataFrame:
+    """A single limit that binds: those who lose least by it give way."""
+    leads, d = leads_and_domains(src)
+    helpers = build_helpers(leads, d, src("cust_master"), src("agent_master"))
+    chosen = al.allocate(helpers.options, al.Limits({"maturity": (0, ONE_LIMIT)}))
+    return chosen.agg(F.count_if(F.col(P) == "maturity").alias("maturity"),
+                      F.round(F.sum(F.col("expected_value") + F.col("affinity")), 6).alias("value"))
 
 
 TIGHT = {"maturity": (0, 100), "hnw": (50, 60), "fpp": (0, 120)}
@@ -445,7 +482,7 @@ SELECT round(gained, 6) AS gained, round(spent, 6) AS spent, round(gained - spen
 def a19(src: Source) -> DataFrame:
     leads, d = leads_and_domains(src)
     helpers = build_helpers(leads, d, src("cust_master"), src("agent_master"))
-    chosen = cut_lineage(al.allocate(helpers.options))
+    chosen = cut_lineage(al.allocate(helpers.options, default_limits()))
     return al.objective(chosen, al.needed_capacity(chosen, src("agent_capacity"), d, leads))
 
 
@@ -455,13 +492,40 @@ SELECT * FROM (VALUES ('one_per_customer', 0), ('usecase_min', 0), ('usecase_max
 def o2(src: Source) -> DataFrame:
     leads, d = leads_and_domains(src)
     helpers = build_helpers(leads, d, src("cust_master"), src("agent_master"))
-    chosen = cut_lineage(al.allocate(helpers.options))
+    chosen = cut_lineage(al.allocate(helpers.options, default_limits()))
     rows = [(u, *al.DEFAULT_LIMITS) for u, _cr, _wp in scores.EXPECTED_VALUE_RATES]
     limits = src.spark.createDataFrame(rows, "usecase string, min int, max int")
     least = dm.projections(d)["AP"].withColumn("capa_min", F.lit(0))
     return al.check_allocation(chosen, d, limits, least)
 
 
+BROKEN_LIMITS = {"maturity": (0, 10), "hnw": (100_000, 200_000)}
+
+
+@query("o2_check_broken", f"""
+WITH {sqlf.ALLOCATION},
+bad AS (SELECT customerseqid, agentseqid, usecase FROM chosen
+  UNION ALL SELECT customerseqid, agentseqid, 'nowhere' FROM chosen WHERE customerseqid % 3 = 0),
+n AS (SELECT usecase, count(*) AS n FROM bad GROUP BY usecase),
+lim AS (SELECT * FROM (VALUES ('maturity', 0, 10), ('hnw', 100000, 200000)) AS t(usecase, low, high)),
+pairs AS (SELECT DISTINCT agentseqid, usecase FROM cap)
+SELECT 'one_per_customer' AS rule, (SELECT count(*) FROM (SELECT customerseqid FROM bad GROUP BY 1 HAVING count(*) > 1)) AS violations
+UNION ALL SELECT 'usecase_min', (SELECT count(*) FROM lim LEFT JOIN n ON n.usecase = lim.usecase WHERE coalesce(n.n, 0) < low)
+UNION ALL SELECT 'usecase_max', (SELECT count(*) FROM lim LEFT JOIN n ON n.usecase = lim.usecase WHERE coalesce(n.n, 0) > high)
+UNION ALL SELECT 'inside_domain', (SELECT count(*) FROM bad WHERE usecase = 'nowhere')
+UNION ALL SELECT 'agent_min', (SELECT count(*) FROM pairs p WHERE NOT EXISTS (SELECT 1 FROM bad b
+  WHERE b.agentseqid = p.agentseqid AND b.usecase = p.usecase))""")
+def o2_broken(src: Source) -> DataFrame:
+    """An allocation that breaks the rules: customers twice, outside the domain, limits and agents unserved."""
+    leads, d = leads_and_domains(src)
+    helpers = build_helpers(leads, d, src("cust_master"), src("agent_master"))
+    chosen = cut_lineage(al.allocate(helpers.options, default_limits()))
+    extra = chosen.filter(F.col(C) % 3 == 0).withColumn(P, F.lit("nowhere"))
+    limits = src.spark.createDataFrame([(u, *b) for u, b in BROKEN_LIMITS.items()], "usecase string, min int, max int")
+    least = dm.projections(d)["AP"].withColumn("capa_min", F.lit(1))
+    return al.check_allocation(cut_lineage(chosen.unionByName(extra)), d, limits, least)
+
+
 @query("o3_allocated_counts", f"""
 WITH {sqlf.ALLOCATION}
 SELECT x.agentseqid, coalesce(g.n, 0) AS allocated, coalesce(g.nw, 0) AS allocated_warm
@@ -477,7 +541,7 @@ def o3(src: Source) -> DataFrame:
 def run_stage_one(src: Source) -> tuple[DataFrame, dm.Domains]:
     leads, d = leads_and_domains(src)
     helpers = build_helpers(leads, d, src("cust_master"), src("agent_master"))
-    return cut_lineage(al.allocate(helpers.options)), d
+    return cut_lineage(al.allocate(helpers.options, default_limits())), d
 
 
 @query("j14_anti_tuple", f"""

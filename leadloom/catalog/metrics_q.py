@@ -133,6 +133,19 @@ HIGH_SQL = PAIRS_SQL + f""",
 high AS (SELECT fea1, fea2, coeff FROM pairs WHERE coeff >= {THRESHOLD} AND coeff < 1 - 1e-12)"""
 
 
+RAW_COLUMNS = ("n_orders", "sum_price", "days_since_prev", "scaled_price", "acctbal")
+KNOWN_SQL = "known AS (SELECT n_orders, sum_price, days_since_prev, acctbal, CASE WHEN isfinite(scaled_price) THEN scaled_price END AS scaled_price FROM raw_panel)"
+RAW_SQL = " UNION ALL ".join(
+    f"SELECT '{a}' AS fea1, '{b}' AS fea2, round(abs(corr({a}, {b})), 6) AS coeff FROM known HAVING isfinite(corr({a}, {b}))"
+    for a in RAW_COLUMNS for b in RAW_COLUMNS if a != b)
+
+
+@query("a17_pearson_raw", f"WITH {KNOWN_SQL} {RAW_SQL}")
+def a17_raw(src: Source) -> DataFrame:
+    """A column with NaN and infinities: both are unknown."""
+    return correlation.pearson_pairs(cols.null_sentinels(src("raw_panel").select(*RAW_COLUMNS)))
+
+
 @query("a17_pearson_matrix", f"WITH {HIGH_SQL} SELECT fea1, fea2, round(coeff, 6) AS coeff FROM high")
 def a17(src: Source) -> DataFrame:
     return correlation.high_pairs(correlation.pearson_pairs(src("panel"), list(CORR_COLUMNS)), THRESHOLD)

@@ -102,17 +102,24 @@ def _over(totals: dict[str, int], limits: Limits) -> dict[str, int]:
 
 
 def _raise_prices(options: DataFrame, limits: Limits, rounds: int) -> dict[str, float]:
-    """Prices that bring each use case near its limit: the margin at the limit is added to its price."""
+    """Prices that bring each use case near its limit.
+
+    The use case that is furthest above is raised by the margin of the first customer beyond its limit, found exactly, so
+    at least the customers beyond it leave. It ends when none is over, or after ``rounds``; the cut that follows keeps the
+    limits at any prices, and the bound holds at any prices, so rounds only cost value, which the gap of
+    :func:`allocation_status` shows.
+    """
     prices: dict[str, float] = {}
     for _ in range(rounds):
-        picked = pick_with_margin(options, prices)
-        totals = _totals(picked)
-        over = _over(totals, limits)
+        picked = cut_lineage(pick_with_margin(options, prices))
+        over = _over(_totals(picked), limits)
         if not over:
-            break
+            return prices
         worst = max(over, key=lambda p: (over[p], p))
-        share = over[worst] / totals[worst]
-        step = picked.filter(F.col(P) == worst).approxQuantile("margin", [share], 0.001)[0]
+        rows = picked.filter(F.col(P) == worst)
+        kept = limits.most(worst)
+        beyond = rows.join(top_rows(rows, "margin", C, kept).select(C), C, "left_anti") if kept else rows
+        step = beyond.agg(F.max("margin")).first()[0]
         prices[worst] = prices.get(worst, 0.0) + max(step, 1e-6)
     return prices
 
@@ -148,29 +155,52 @@ def _use_room(options: DataFrame, chosen: DataFrame, limits: Limits) -> DataFram
     return chosen
 
 
+def _best_path(edges: dict[tuple[str, str], float], sources: set[str], target: str) -> list[str] | None:
+    """The chain of moves with the greatest gain from a source to ``target``; there are as few nodes as use cases."""
+    best = {p: (0.0, [p]) for p in sources}
+    for _ in range(len(edges)):
+        moved = False
+        for (u, v), gain in sorted(edges.items()):
+            if u in best and v not in best[u][1] and v not in sources:
+                total = best[u][0] + gain
+                if v not in best or total > best[v][0] + 1e-12:
+                    best[v], moved = (total, [*best[u][1], v]), True
+        if not moved:
+            break
+    return best[target][1] if target in best else None
+
+
 def _fill_least(options: DataFrame, chosen: DataFrame, limits: Limits) -> DataFrame | None:
-    """Move the customers with the least loss into use cases below their minimum; None when it cannot be met."""
-    for usecase, (least, _most) in sorted(limits.bounds.items()):
+    """Move customers along chains into use cases below their minimum; None when no allocation meets the minimums.
+
+    A chain starts with a customer without a lead, or in a use case above its own minimum, and passes a place on from use
+    case to use case. If no chain reaches the lacking use case, none can: that is the augmenting path of a flow. The
+    driver sees the best gain and the number of moves per pair of use cases.
+    """
+    none = ""
+    while True:
         totals = _totals(chosen)
-        lack = least - totals.get(usecase, 0)
-        if lack <= 0:
-            continue
-        spare = {p: n - limits.least(p) for p, n in totals.items() if p != usecase and n > limits.least(p)}
+        lack = {p: least - totals.get(p, 0) for p, (least, _most) in sorted(limits.bounds.items()) if totals.get(p, 0) < least}
+        if not lack:
+            return chosen
+        usecase = next(iter(lack))
         now = chosen.select(C, F.col(P).alias("_from"), F.col("score").alias("_now"))
-        wanting = (
-            options.filter(F.col(P) == usecase).join(now, C, "left")
-            .filter(differs(F.col("_from"), F.lit(usecase)))
+        moves = cut_lineage(
+            options.join(now, C, "left").filter(differs(F.col("_from"), F.col(P)))
             .withColumn("_gain", F.col("score") - F.coalesce(F.col("_now"), F.lit(0.0)))
-        )
-        wanting = cut_lineage(wanting)
-        groups = [wanting.filter(F.col("_from").isNull())]
-        groups += [top_rows(wanting.filter(F.col("_from") == p), "_gain", C, n) for p, n in sorted(spare.items())]
-        moved = cut_lineage(top_rows(cut_lineage(union_all(*groups)), "_gain", C, lack))
-        if moved.count() < lack:
+            .withColumn("_from", F.coalesce("_from", F.lit(none))))
+        found = moves.groupBy("_from", P).agg(F.max("_gain").alias("gain"), F.count(F.lit(1)).alias("n")).collect()
+        edges, sizes = {(r["_from"], r[P]): r["gain"] for r in found}, {(r["_from"], r[P]): r["n"] for r in found}
+        spare = {p: n - limits.least(p) for p, n in totals.items() if n > limits.least(p)}
+        path = _best_path(edges, {none, *spare}, usecase)
+        if path is None:
             return None
+        steps = list(zip(path, path[1:]))
+        amount = min([lack[usecase], *[sizes[step] for step in steps], *([spare[path[0]]] if path[0] else [])])
+        parts = [top_rows(moves.filter((F.col("_from") == u) & (F.col(P) == v)), "_gain", C, amount) for u, v in steps]
+        moved = cut_lineage(union_all(*parts))
         rest = chosen.join(moved.select(C), C, "left_anti")
         chosen = cut_lineage(rest.unionByName(moved.select(*chosen.columns)))
-    return chosen
 
 
 def allocate(options: DataFrame, limits: Limits | None = None, rounds: int = 20) -> DataFrame:
@@ -201,6 +231,21 @@ def upper_bound(options: DataFrame, limits: Limits, rounds: int = 20) -> float:
     return value + sum(price * limits.most(p) for p, price in prices.items())
 
 
+def allocation_status(options: DataFrame, chosen: DataFrame, limits: Limits) -> DataFrame:
+    """One row: status (optimal, feasible or infeasible), leads, value, bound and gap.
+
+    The value is expected value + affinity; an allocation whose value reaches the bound is optimal in it. An empty
+    allocation of customers who have options is infeasible if a minimum is asked for.
+    """
+    got = chosen.agg(F.count(F.lit(1)).alias("leads"),
+                     F.coalesce(F.sum(F.col("expected_value") + F.col("affinity")), F.lit(0.0)).alias("value"))
+    asked = any(least > 0 for least, _most in limits.bounds.values())
+    bound = F.lit(float(upper_bound(options, limits)))
+    gap = bound - F.col("value")
+    status = F.when((F.col("leads") == 0) & F.lit(asked), "infeasible").when(gap <= 1e-6, "optimal").otherwise("feasible")
+    return got.select(status.alias("status"), "leads", "value", bound.alias("bound"), gap.alias("gap"))
+
+
 def needed_capacity(chosen: DataFrame, capacity: DataFrame, d: Domains, leads: DataFrame) -> DataFrame:
     """Capacity variable per agent: max(0, capa_max - attached leads, orphan leads).
 

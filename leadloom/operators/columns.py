@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,11 @@ def one_row(df: DataFrame, expressions: list[Column], size: int = EXPRESSIONS_PE
     return found
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots, spaces or backticks, as an expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _columns_of(df: DataFrame, kinds: tuple[type, ...]) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
 
@@ -47,9 +53,10 @@ def text_columns(df: DataFrame) -> list[str]:
 
 def _clean_float(df: DataFrame, name: str) -> Column:
     """The column with NaN read as null."""
+    column = F.col(quoted(name))
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(name), F.col(name))
-    return F.col(name)
+        return F.when(~F.isnan(column), column)
+    return column
 
 
 # Names
@@ -90,12 +97,13 @@ def bool_to_flag(df: DataFrame, source: str, out: str) -> DataFrame:
 
 def without_sentinels(df: DataFrame, name: str, words: Iterable[str] = TEXT_SENTINELS) -> Column:
     """The column with infinities, NaN and text sentinels read as null."""
+    column = F.col(quoted(name))
     kind = df.schema[name].dataType
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.when(~(F.isnan(name) | F.abs(name).eqNullSafe(F.lit(float("inf")))), F.col(name))
+        return F.when(~(F.isnan(column) | F.abs(column).eqNullSafe(F.lit(float("inf")))), column)
     if isinstance(kind, T.StringType):
-        return F.when(~F.col(name).isin(list(words)), F.col(name))
-    return F.col(name)
+        return F.when(~column.isin(list(words)), column)
+    return column
 
 
 def null_sentinels(df: DataFrame, words: Iterable[str] = TEXT_SENTINELS) -> DataFrame:
@@ -136,7 +144,7 @@ class StatFill:
         kinds = dict(df.dtypes)
         out = []
         for name in df.columns:
-            column = F.col(name)
+            column = F.col(quoted(name))
             if name in self.values:
                 value = self.values[name]
                 # A mean in an integer column makes the column DOUBLE, so nothing is cut off.
@@ -164,16 +172,24 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None) -> DataFram
 def low_cardinality(df: DataFrame, columns: list[str], limit: int) -> dict[str, int]:
     """Exact distinct counts of the columns that have at most ``limit`` values.
 
-    An approximate count clears the wide columns first; only the rest are counted exactly.
+    All columns are counted exactly, by their distinct (column, value) pairs, which tasks reduce before they are
+    shuffled.
     """
     if not columns:
         return {}
-    rough = one_row(df, [F.approx_count_distinct(_clean_float(df, c), 0.02).alias(c) for c in columns])
-    near = [c for c in columns if rough[c] <= 2 * limit + 10]
-    exact: dict[str, int] = {}
-    for chunk in _chunks(near, 16):
-        exact.update(one_row(df, [F.count_distinct(_clean_float(df, c)).alias(c) for c in chunk]))
-    return {c: n for c, n in exact.items() if n <= limit}
+    values = F.array(*[F.struct(F.lit(c).alias("column"), _clean_float(df, c).cast("string").alias("value")) for c in columns])
+    pairs = df.select(F.explode(values).alias("p")).select("p.*").filter(F.col("value").isNotNull()).distinct()
+    counted = pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= limit).collect()
+    found = {r["column"]: r["n"] for r in counted}
+    return {c: found.get(c, 0) for c in columns if c in found} | _empty_columns(df, [c for c in columns if c not in found])
+
+
+def _empty_columns(df: DataFrame, columns: list[str]) -> dict[str, int]:
+    """Columns without any value, with the count 0."""
+    if not columns:
+        return {}
+    found = one_row(df, [F.count(_clean_float(df, c)).alias(c) for c in columns])
+    return {c: 0 for c in columns if not found[c]}
 
 
 def is_constant(df: DataFrame, name: str) -> Column:
@@ -225,37 +241,50 @@ def drop_null_rows(df: DataFrame, columns: list[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class OneHot:
-    """0/1 columns named ``column_level`` in place of text columns."""
+    """0/1 columns named ``column_level`` in place of text columns.
 
-    levels: dict[str, tuple[str, ...]]
+    Names that would differ in case alone from a column there is, or from one another, get a number behind them.
+    """
 
-    @classmethod
-    def fit(cls, df: DataFrame, columns: list[str], max_levels: int = 1000) -> OneHot:
-        rough = one_row(df, [F.approx_count_distinct(c).alias(c) for c in columns])
-        return cls.from_counts(df, rough, max_levels)
+    levels: dict[str, tuple[str, ...]]
 
     @classmethod
-    def from_counts(cls, df: DataFrame, rough: dict[str, int], max_levels: int = 1000) -> OneHot:
-        """Read the levels of columns whose approximate number of levels is known."""
-        columns = list(rough)
+    def fit(cls, df: DataFrame, columns: list[str], max_levels: int | None = None) -> OneHot:
+        """Read all levels; a ``max_levels`` that a caller sets is an error for columns with more."""
         if not columns:
             return cls({})
-        wide = {c: n for c, n in rough.items() if n > 1.2 * max_levels}
-        if wide:
-            raise ValueError(f"too many levels to encode: {wide}")
         pairs = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in columns])).alias("p")).select("p.*")
+            F.struct(F.lit(c).alias("column"), F.col(quoted(c)).alias("level")) for c in columns])).alias("p")).select("p.*")
         rows = pairs.filter(F.col("level").isNotNull()).distinct().collect()
         levels = {c: tuple(sorted(r["level"] for r in rows if r["column"] == c)) for c in columns}
-        wide = {c: len(v) for c, v in levels.items() if len(v) > max_levels}
+        wide = {c: len(v) for c, v in levels.items() if max_levels is not None and len(v) > max_levels}
         if wide:
             raise ValueError(f"too many levels to encode: {wide}")
         return cls(levels)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        kept = [F.col(c) for c in df.columns if c not in self.levels]
-        added = [flag(F.col(c) == level).alias(f"{c}_{level}") for c, values in self.levels.items() for level in values]
-        return df.select(*kept, *added)
+        kept = [c for c in df.columns if c not in self.levels]
+        taken, added = {c.lower() for c in kept}, []
+        for column, values in self.levels.items():
+            for level in values:
+                name, number = f"{column}_{level}", 1
+                while name.lower() in taken:
+                    number += 1
+                    name = f"{column}_{level}_{number}"
+                taken.add(name.lower())
+                added.append(flag(F.col(quoted(column)) == level).alias(name))
+        return df.select(*[F.col(quoted(c)) for c in kept], *added)
+
+
+def one_hot_sparse(df: DataFrame, column: str, out: str) -> tuple[DataFrame, list[str]]:
+    """A column of any number of levels as one sparse 0/1 vector ``out``, and the levels in the order of its places.
+
+    Levels are in alphabetic order; rows without a level are given the last place, which belongs to none of them.
+    """
+    indexer = StringIndexer(inputCol=column, outputCol=f"{out}_index", stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
+    indexed = indexer.transform(df)
+    encoder = OneHotEncoder(inputCol=f"{out}_index", outputCol=out, dropLast=False).fit(indexed)
+    return encoder.transform(indexed).drop(f"{out}_index"), list(indexer.labels)
 
 
 # Periods

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -143,25 +143,41 @@ def evaluate(df: DataFrame, cols: Scored = Scored()) -> DataFrame:
     )
 
 
-def _bin_labels(edges: tuple[float, ...]) -> list[str]:
-    wide = [edges[0] - 0.0001, *edges[1:-1], edges[-1] + 0.0001]
-    labels = ["%d.(%0.2f,%0.2f]" % (99 - i, low, high) for i, (low, high) in enumerate(zip(wide, wide[1:]))]
-    return [labels[0].replace("(", "["), *labels[1:]]
+# Fixed value: how far the outer bins reach beyond the scores.
+OUTER_REACH = 0.0001
+
+
+def _bin_table(spark: SparkSession, edges: tuple[float, ...], bins: int) -> DataFrame:
+    """One row per bin: its number from the lowest, and its name with rank, bounds and brackets.
+
+    The best bin has the least rank; the lowest bin of a full table has rank ``bins`` - 1. Equal scores make one bin.
+    """
+    last = max(len(edges) - 2, 0)
+    rows = []
+    for number in range(last + 1):
+        low, high = edges[number], edges[min(number + 1, len(edges) - 1)]
+        reach_down = OUTER_REACH if number == 0 else 0.0
+        reach_up = OUTER_REACH if number == last else 0.0
+        rows.append((number, bins - 1 - number, f"{low - reach_down:.2f}", f"{high + reach_up:.2f}", "[" if number == 0 else "("))
+    table = spark.createDataFrame(rows, "bin int, rank int, low string, high string, bracket string")
+    return table.select("bin", F.format_string("%d.%s%s,%s]", "rank", "bracket", "low", "high").alias("decile"))
 
 
 def score_bins(df: DataFrame, cols: Scored = Scored(), bins: int = 100, digits: int | None = None) -> DataFrame:
-    """Population, ones and zeros per quantile bin of the score; at most ``bins`` rows, empty bins included."""
+    """Population, ones and zeros per quantile bin of the score; at most ``bins`` rows, empty bins included.
+
+    Where all scores are equal they share one bin; without scores there are no rows.
+    """
     known = df.filter(F.col(cols.score).isNotNull() & F.col(cols.label).isNotNull())
     fitted = QuantileBins.fit(known, cols.score, bins, digits)
-    schema = "bin int, decile string"
-    if len(fitted.edges) < 2:
-        names = df.sparkSession.createDataFrame([], schema)
-    else:
-        names = df.sparkSession.createDataFrame(list(enumerate(_bin_labels(fitted.edges))), schema)
     label = F.col(cols.label).cast("bigint")
-    sums = fitted.transform(known, "bin").groupBy("bin").agg(
+    placed = fitted.transform(known, "bin")
+    if len(fitted.edges) == 1:
+        placed = placed.withColumn("bin", F.when(~F.isnan(F.col(cols.score).cast("double")), 0))
+    sums = placed.groupBy("bin").agg(
         F.sum(label).alias("ones"), F.sum(1 - label).alias("zeros"), F.count(F.lit(1)).alias("population"))
-    return F.broadcast(names).join(sums, "bin", "left").select(
+    names = _bin_table(df.sparkSession, fitted.edges, bins) if fitted.edges else sums.select("bin", F.lit("").alias("decile")).limit(0)
+    return names.join(sums, "bin", "left").select(
         "bin", "decile", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("ones", "zeros", "population")])
 
 

@@ -37,7 +37,7 @@ class PanelPrep:
 
     @classmethod
     def fit(cls, panel: DataFrame, roles: Roles = Roles(), holdout_periods: int = 2, date_part: str = "days_",
-            strategy: str = "max", max_levels: int = 1000) -> PanelPrep:
+            strategy: str = "max", max_levels: int | None = None) -> PanelPrep:
         """Two passes: one for all statistics, one for the levels of the text columns."""
         panel = panel.drop("hid")
         kept = cols.drop_timestamps(panel).columns
@@ -45,15 +45,14 @@ class PanelPrep:
         dated = [c for c in cols.numeric_columns(panel) if date_part in c]
         candidates = [c for c in panel.columns if c not in roles.protected]
         wanted = [cols.is_constant(panel, c).alias(f"constant {c}") for c in candidates]
-        wanted += [F.approx_count_distinct(cols.without_sentinels(panel, c)).alias(f"levels {c}") for c in text]
         if strategy != "zeroes":
             wanted += [cols.fill_statistic(cols.without_sentinels(panel, c), strategy).alias(f"fill {c}") for c in dated]
         found = cols.one_row(panel, wanted)
         constant = tuple(c for c in candidates if found[f"constant {c}"])
         text = [c for c in text if c not in constant]
         dated = [c for c in dated if c not in constant and c in kept]
-        filled = cols.null_sentinels(panel.select(*text)).fillna(cols.MISSING_LEVEL) if text else panel
-        encoder = cols.OneHot.from_counts(filled, {c: found[f"levels {c}"] for c in text}, max_levels)
+        filled = cols.null_sentinels(panel.select(*[cols.quoted(c) for c in text])).fillna(cols.MISSING_LEVEL) if text else panel
+        encoder = cols.OneHot.fit(filled, text, max_levels)
         values = {c: 0 if strategy == "zeroes" else found[f"fill {c}"] for c in dated}
         fill = cols.StatFill({c: v for c, v in values.items() if v is not None})
         return cls(roles, holdout_periods, constant, encoder, fill)
@@ -62,7 +61,7 @@ class PanelPrep:
         tagged = cols.tag_latest_periods(panel.drop("hid"), self.roles.time, self.holdout_periods)
         clean = cols.drop_timestamps(cols.null_sentinels(tagged.drop(*self.constant)))
         text = list(self.encoder.levels)
-        filled = clean.fillna(cols.MISSING_LEVEL, subset=text) if text else clean
+        filled = clean.fillna(cols.MISSING_LEVEL, subset=[cols.quoted(c) for c in text]) if text else clean
         wide = self.encoder.transform(filled)
         return cols.drop_unexplained(cols.fill_zero(self.fill.transform(wide)), UNEXPLAINED_PARTS)
 

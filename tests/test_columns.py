@@ -62,6 +62,26 @@ def test_one_hot_limits_levels(spark):
         cols.OneHot.fit(df, ["t"], max_levels=1)
 
 
+def test_one_hot_of_awkward_levels(spark):
+    rows = [(i, 202001 + i % 3, i % 2, level) for i, level in enumerate(["U.S.", "a", "A", "x y", "b`c", "U.S.", None])]
+    panel = spark.createDataFrame(rows, "customerseqid long, monthyearid int, target_flag int, `home.land` string")
+    out = prepare_panel(panel).orderBy("customerseqid")
+    added = ["home.land_A", "home.land_U.S.", "home.land_a_2", "home.land_b`c", "home.land_x y"]
+    assert [c for c in out.columns if c.startswith("home.land_")] == added
+    found = [tuple(r)[-5:] for r in out.collect()]
+    assert found == [(0, 1, 0, 0, 0), (0, 0, 1, 0, 0), (1, 0, 0, 0, 0), (0, 0, 0, 0, 1), (0, 0, 0, 1, 0), (0, 1, 0, 0, 0),
+                     (0, 0, 0, 0, 0)]
+
+
+def test_one_hot_of_thousands_of_levels(spark):
+    df = spark.range(6000).select((F.col("id") % 3000).cast("string").alias("t"))
+    encoded, levels = cols.one_hot_sparse(df, "t", "v")
+    assert len(levels) == 3000 and encoded.columns == ["t", "v"]
+    first = encoded.first()
+    assert first["v"].indices.tolist() == [levels.index(first["t"])] and first["v"].size == 3001
+    assert len(cols.OneHot.fit(df, ["t"]).levels["t"]) == 3000
+
+
 def test_scoring_period_is_part_of_the_holdout(spark):
     df = spark.createDataFrame([(202001,), (202002,), (202003,), (None,)], "monthyearid int")
     rows = {r["monthyearid"]: (r["for_scoring"], r["holdout"]) for r in cols.tag_latest_periods(df, "monthyearid", 2).collect()}

@@ -111,7 +111,9 @@ def test_bins_match_qcut(spark):
 def test_single_value_has_no_bins(spark):
     df = spark.createDataFrame([(1, 2.0), (2, 2.0)], "row_id long, x double")
     assert [r["bin"] for r in ranks.QuantileBins.fit(df, "x", 10).transform(df).collect()] == [None, None]
-    assert metrics.score_deciles(df.withColumn("label", F.lit(1)), metrics.Scored(score="x")).count() == 0
+    row = metrics.score_deciles(df.withColumn("label", F.lit(1)), metrics.Scored(score="x")).first()
+    assert (row["bin"], row["ones"], row["population"], row["decile"]) == (0, 2, 2, "99.[2.00,2.00]")
+    assert metrics.score_deciles(df.withColumn("label", F.lit(1)).limit(0), metrics.Scored(score="x")).count() == 0
 
 
 def brute_auc(pdf: pd.DataFrame) -> float:
