@@ -176,6 +176,17 @@ def test_a_minimum_that_cannot_be_met_gives_no_rows(spark):
     assert al.allocate(options_frame(spark, 10, 1), al.Limits({"p": (11, 20)})).count() == 0
 
 
+def test_minimums_are_met_along_a_chain(spark):
+    rows = [(1, "p", 0, 5.0, 0, 1, 5.0), (1, "q", 0, 9.0, 0, 1, 9.0), (2, "q", 0, 1.0, 0, 1, 1.0), (2, "r", 0, 8.0, 0, 1, 8.0)]
+    options = spark.createDataFrame(rows, "customerseqid long, usecase string, agentseqid long, expected_value double, "
+                                          "affinity int, priority int, score double")
+    chosen = al.allocate(options, al.Limits({"p": (1, 9), "q": (1, 9)}))
+    assert {(r["customerseqid"], r["usecase"]) for r in chosen.collect()} == {(1, "p"), (2, "q")}
+    status = al.allocation_status(options, chosen, al.Limits({"p": (1, 9), "q": (1, 9)})).first()
+    assert (status["status"], status["leads"], status["value"], status["bound"]) == ("feasible", 2, 6.0, 17.0)
+    assert al.allocate(options, al.Limits({"p": (2, 9)})).count() == 0
+
+
 def test_negative_options_are_not_taken(spark):
     options = options_frame(spark, 10, 1).withColumn("score", F.lit(-1.0))
     assert al.allocate(options).count() == 0
