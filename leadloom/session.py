@@ -54,9 +54,23 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+MADE_PATHS: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/leadloom-{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, also noted in ``MADE_PATHS``."""
+    path = f"{shared_dir(spark).rstrip('/')}/leadloom-{name}-{uuid.uuid4().hex}"
+    MADE_PATHS.append(path)
+    return path
+
+
+def remove_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete paths that :func:`fresh_path` gave; only once nothing reads them any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        if path in MADE_PATHS:
+            MADE_PATHS.remove(path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
