@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom.llm import bytebpe, langmix, minmax, mixing, templates
-from leadloom.session import cut_lineage
+from leadloom.session import MADE_PATHS, cut_lineage, remove_paths
 
 #: Texts whose main language has a smaller part than this are rejected.
 LEAST_SHARE = 0.3
@@ -18,6 +19,27 @@ WEIGHTS, TILT, REPEATS = [5.0, 2.0, 1.0], 0.5, 3.0
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+_LAST_TABLES: dict[str, list[str]] = {}
+
+
+def stage(work):
+    """A stage that first deletes the working tables of the stage before it.
+
+    What a stage returns is written before the next one is called, so nothing reads those tables any more.
+    """
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        application = spark.sparkContext.applicationId
+        remove_paths(spark, _LAST_TABLES.pop(application, []))
+        before = set(MADE_PATHS)
+        result = work(spark, docs, sf_dir)
+        _LAST_TABLES[application] = [p for p in MADE_PATHS if p not in before]
+        return result
+
+    return run_stage
+
+
+@stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject texts without a letter and those in which no language has a fair part."""
     model = langmix.fit(docs)
@@ -25,17 +47,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.filter((F.col("__lang") != "und") & (F.col("__share") >= LEAST_SHARE)).select(*docs.columns)
 
 
+@stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop lines whose templates recur across documents; the number of characters follows the text."""
     rows = templates.drop_recurring(docs)
     return rows.withColumn("n_chars", F.char_length("text").cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns)
 
 
+@stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, by shingles of five words."""
     return minmax.keep_one(docs, k=5, percent=80).select(*docs.columns)
 
 
+@stage
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take documents to the sources' weights, repeated where a source is short, in training order.
 
@@ -46,6 +71,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.filter(due).select(*docs.columns)
 
 
+@stage
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether decoding them gives its bytes back."""
     path = public_tokenizers.path(VOCABULARY)
@@ -70,8 +96,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage returns is written and read again for the next one."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+    for number, (_, work) in enumerate(STAGES):
+        docs = work(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
             docs = cut_lineage(docs)
     return docs

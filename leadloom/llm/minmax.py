@@ -126,7 +126,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int
                           .withColumnRenamed("rid", "__rid"))
     rows = docs.withColumn("__rid", _row_id(id_col, text))
     worded = F.coalesce(F.col(f"`{text}`").rlike(WORD), F.lit(False))
-    one = rows.filter(worded).join(winners.filter("__n = 1").select("__rid"), "__rid", "left_semi")
+    one = rows.filter(worded).join(winners.filter("__n = 1").select("__rid").hint("merge"), "__rid", "left_semi")
     more = rows.filter(worded).join(winners.filter("__n > 1").select("__rid"), "__rid", "left_semi").dropDuplicates(["__rid"])
     return one.unionByName(more).unionByName(rows.filter(~worded)).drop("__rid")
 
@@ -175,7 +175,7 @@ def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> Da
                          .filter("hub <> most").select("key", "hub"))
     members = cut_lineage(bands.join(shared, "key", "left_semi").dropDuplicates(["key", "cid"]))
     wanted = members.select(F.col("cid").alias("rid")).distinct()
-    sets = cut_lineage(source.select("rid", "text").join(wanted, "rid", "left_semi").mapInArrow(full, "rid long, items array<long>")
+    sets = cut_lineage(source.select("rid", "text").join(wanted.hint("merge"), "rid", "left_semi").mapInArrow(full, "rid long, items array<long>")
                        .withColumnRenamed("rid", "cid").dropDuplicates(["cid"]))
 
     def confirmed(pairs: DataFrame) -> DataFrame:

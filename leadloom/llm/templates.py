@@ -112,7 +112,7 @@ def recurring_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     leaves = cut_lineage(lines.groupBy("leaf").agg(F.min("tid").alias("a"), F.max("tid").alias("b"))
                          .filter("a <> b").select("leaf"))
     wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(leaves, "leaf"))  # SLOTS bits
-    met = cut_lineage(_parsed(docs, text, wanted).join(leaves, "leaf", "left_semi").dropDuplicates(["tid", "pos"]))
+    met = cut_lineage(_parsed(docs, text, wanted).join(leaves.hint("merge"), "leaf", "left_semi").dropDuplicates(["tid", "pos"]))
     places = met.select("leaf", F.posexplode("toks").alias("p", "tok")).groupBy("leaf", "p", "tok").agg(F.count("*").alias("c"))
     sizes = met.groupBy("leaf").agg(F.count("*").alias("lines"))
     kept = F.collect_list(F.when((F.col("c") >= CONSTANT * F.col("lines")) & (F.col("tok") != 0), F.col("tok")))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from leadloom.llm import bytebpe, langmix, merkle, mixing, punlearn, rollups, templates
-from leadloom.session import fresh_path
+from leadloom.session import cut_lineage, fresh_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -265,7 +265,7 @@ def test_stages_on_odd_rows(spark):
     df = clashing(documents(spark, extra), "ids", "__note", "n")
     docs = df
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, "")
+        docs = cut_lineage(stage(spark, docs, ""))
         assert docs.columns == df.columns
         kept = [r["text"] for r in docs.collect()]
         if name == "language ID":
