@@ -5,9 +5,9 @@ are variable fields; case of A-Z and the kind of space between tokens do not mat
 anything else is a variable field. A template is a line as it is, or a generalised one that keeps most of its tokens.
 Templates that recur across documents are dropped from all of them.
 
-Copies of a document repeat each other's lines, which is no reason to drop them: a document counts for a template only
-if at most half of its tokens are in lines whose template occurs in other texts as well. Short lines recur by chance,
-so a template of ``n`` tokens needs ``need / n`` such documents, and two at least.
+Copies of a document repeat each other's lines, which is no reason to drop them: texts that are near copies by their
+shingles of five words, as the near-duplicate stage links them, have one vote together. Short lines recur by chance, so a
+template of ``n`` tokens needs ``need / n`` votes, and two at least.
 """
 
 from __future__ import annotations
@@ -17,14 +17,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadloom.llm import minmax
 from leadloom.llm.bytebpe import _slices
 from leadloom.llm.common import ship_package
 from leadloom.llm.shingles import mix, word_spans
 from leadloom.session import cut_lineage
 
 #: Leading tokens in the tree; the share of a leaf's lines that makes a token constant; the share of constant tokens in a
-#: template; the share of a document that may recur if the document is to count; tokens times documents for a template.
-DEPTH, CONSTANT, KEPT, RECURRING, NEED = 3, 0.2, 0.6, 0.5, 100
+#: template; tokens times votes for a template; words of a shingle and percent of likeness that make two texts copies.
+DEPTH, CONSTANT, KEPT, NEED, SHINGLE, COPY = 3, 0.2, 0.6, 100, 5, 80
+#: Not used here any more: the share above which a text once lost its vote, which the plain rule of the tests still reads.
+RECURRING = 0.5
 #: Bits of the map of leaves that tasks get, 2 MB at any size of the corpus; a full map only lets more lines through.
 SLOTS = 1 << 24
 
@@ -46,7 +49,6 @@ def _lines(batch: pa.RecordBatch, wanted: np.ndarray | None) -> pa.RecordBatch:
     owner = np.searchsorted(begins, starts[heads], side="right") - 1
     first = np.concatenate([[0], breaks[np.maximum(begins[1:-1] - 1, 0)]]) if len(parts) else np.empty(0, dtype=np.int64)
     pos = line[heads] - first[owner]
-    totals = np.bincount(owner, weights=sizes, minlength=len(parts)).astype(np.int64)
     place = (np.arange(len(line)) - np.repeat(heads, sizes)).astype(np.uint64)
     keys = np.add.reduceat(mix(words ^ mix(place + np.uint64(1))), heads) if len(heads) else np.empty(0, dtype=np.uint64)
     masked = np.where(fields, np.uint64(0), words | np.uint64(1))
@@ -60,9 +62,9 @@ def _lines(batch: pa.RecordBatch, wanted: np.ndarray | None) -> pa.RecordBatch:
     if wanted is not None:
         slot = leaf & (SLOTS - 1)
         keep = (wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-    columns = [pa.array(tids[owner][keep]), pa.array(pos[keep].astype(np.int32)), pa.array(totals[owner][keep]),
+    columns = [pa.array(tids[owner][keep]), pa.array(pos[keep].astype(np.int32)),
                pa.array(mix(keys).view(np.int64)[keep]), pa.array(sizes[keep].astype(np.int32)), pa.array(leaf[keep])]
-    names = ["tid", "pos", "doc_tokens", "lh", "n", "leaf"]
+    names = ["tid", "pos", "lh", "n", "leaf"]
     if wanted is not None:
         own = np.repeat(keep, sizes)
         flat = np.where(fields, np.int64(0), ((words >> np.uint64(33)) | np.uint64(1)).astype(np.int64)).astype(np.int32)[own]
@@ -72,11 +74,11 @@ def _lines(batch: pa.RecordBatch, wanted: np.ndarray | None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-LINE = "tid long, pos int, doc_tokens long, lh long, n int, leaf long"
+LINE = "tid long, pos int, lh long, n int, leaf long"
 
 
 def _parsed(docs: DataFrame, text: str, wanted=None) -> DataFrame:
-    """Rows (tid, pos, doc_tokens, lh, n, leaf), one per line that has a token; tid stands for the text, lh for the line.
+    """Rows (tid, pos, lh, n, leaf), one per line that has a token; tid stands for the text, lh for the line.
 
     ``wanted`` is a broadcast bitmap of leaves; then only their lines come, with ``toks``, a number per token, 0 for a field.
     """
@@ -104,6 +106,13 @@ def _bitmap(keys: DataFrame, column: str) -> np.ndarray:
     return np.packbits(out, bitorder="little")
 
 
+def copy_groups(docs: DataFrame, tids: DataFrame, text: str) -> DataFrame:
+    """Rows (tid, voter) for the texts in ``tids``: near copies among them have the same voter."""
+    rows = docs.select(F.xxhash64(f"`{text}`").alias("tid"), F.col(f"`{text}`").alias("text")).filter("text is not null")
+    rows = cut_lineage(rows.join(cut_lineage(tids).hint("merge"), "tid", "left_semi").dropDuplicates(["tid"]))
+    return minmax.grouped(rows, "tid", "text", SHINGLE, COPY).select(F.col("rid").alias("tid"), F.col("winner").alias("voter"))
+
+
 def recurring_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """Rows (tid, pos): the lines to drop, by the hash of the text and the number of the line."""
     ship_package(docs.sparkSession)
@@ -123,17 +132,19 @@ def recurring_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     found = met.join(profile, "leaf").withColumn("general", general)
     constant = F.size(F.filter("general", lambda t: t != 0))
     template = F.when(constant >= KEPT * F.col("n"), F.xxhash64("leaf", "general"))
-    found = cut_lineage(found.select("tid", "pos", "lh", "n", "doc_tokens", template.alias("template")))
+    found = cut_lineage(found.select("tid", "pos", "lh", "n", template.alias("template")))
 
-    keys = found.select("tid", "pos", "n", "doc_tokens", F.explode(F.array_compact(F.array("lh", "template"))).alias("key"))
+    keys = found.select("tid", "pos", "n", F.explode(F.array_compact(F.array("lh", "template"))).alias("key"))
     shared = keys.groupBy("key").agg(F.min("tid").alias("a"), F.max("tid").alias("b")).filter("a <> b").select("key")
     keys = cut_lineage(keys.join(cut_lineage(shared), "key", "left_semi"))
-    copies = (keys.dropDuplicates(["tid", "pos"]).groupBy("tid")
-              .agg(F.sum("n").alias("again"), F.first("doc_tokens").alias("doc_tokens"))
-              .filter(F.col("again") > RECURRING * F.col("doc_tokens")).select("tid"))
-    counted = keys.join(cut_lineage(copies), "tid", "left_anti")
-    support = counted.select("key", "tid", "n").distinct().groupBy("key").agg(F.count("*").alias("docs"), F.min("n").alias("n"))
-    dropped = support.filter(F.col("docs") >= F.greatest(F.lit(2), F.ceil(NEED / F.col("n")))).select("key")
+    votes = keys.select("key", "tid", "n").distinct()
+    # Groups are never more than texts, so only keys that enough texts hold can have the votes.
+    needed = F.greatest(F.lit(2), F.ceil(NEED / F.min("n")))
+    texts = votes.groupBy("key").agg(F.count("*").alias("docs"), needed.alias("need")).filter("docs >= need")
+    votes = cut_lineage(votes.select("key", "tid").join(cut_lineage(texts.select("key", "need")), "key"))
+    voters = copy_groups(docs, votes.select("tid").distinct(), text)
+    dropped = (votes.join(voters, "tid").select("key", "need", "voter").distinct()
+               .groupBy("key", "need").agg(F.count("*").alias("c")).filter("c >= need").select("key"))
     return keys.join(cut_lineage(dropped), "key", "left_semi").select("tid", "pos").distinct()
 
 
