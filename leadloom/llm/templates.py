@@ -8,6 +8,10 @@ Templates that recur across documents are dropped from all of them.
 Copies of a document repeat each other's lines, which is no reason to drop them: texts that are near copies by their
 shingles of five words, as the near-duplicate stage links them, have one vote together. Short lines recur by chance, so a
 template of ``n`` tokens needs ``need / n`` votes, and two at least.
+
+A passage may be wrapped over several lines. Neighbouring recurring lines are therefore also judged together: of every line, the
+shortest run that begins with it and the shortest that ends with it and has ``need / 2`` tokens is a key that needs two
+votes. Whatever longer run texts share is covered by such runs, and their number grows with the lines only.
 """
 
 from __future__ import annotations
@@ -20,12 +24,14 @@ from pyspark.sql import functions as F
 from leadloom.llm import minmax
 from leadloom.llm.bytebpe import _slices
 from leadloom.llm.common import ship_package
-from leadloom.llm.shingles import mix, word_spans
+from leadloom.llm.shingles import _POWERS, mix, word_spans
 from leadloom.session import cut_lineage
 
 #: Leading tokens in the tree; the share of a leaf's lines that makes a token constant; the share of constant tokens in a
 #: template; tokens times votes for a template; words of a shingle and percent of likeness that make two texts copies.
 DEPTH, CONSTANT, KEPT, NEED, SHINGLE, COPY = 3, 0.2, 0.6, 100, 5, 80
+#: Tokens of a run of lines that two votes drop.
+PASSAGE = NEED // 2
 #: Not used here any more: the share above which a text once lost its vote, which the plain rule of the tests still reads.
 RECURRING = 0.5
 #: Bits of the map of leaves that tasks get, 2 MB at any size of the corpus; a full map only lets more lines through.
@@ -49,6 +55,7 @@ def _lines(batch: pa.RecordBatch, wanted: np.ndarray | None) -> pa.RecordBatch:
     owner = np.searchsorted(begins, starts[heads], side="right") - 1
     first = np.concatenate([[0], breaks[np.maximum(begins[1:-1] - 1, 0)]]) if len(parts) else np.empty(0, dtype=np.int64)
     pos = line[heads] - first[owner]
+    order = np.arange(len(heads)) - np.searchsorted(owner, owner)
     place = (np.arange(len(line)) - np.repeat(heads, sizes)).astype(np.uint64)
     keys = np.add.reduceat(mix(words ^ mix(place + np.uint64(1))), heads) if len(heads) else np.empty(0, dtype=np.uint64)
     masked = np.where(fields, np.uint64(0), words | np.uint64(1))
@@ -62,9 +69,9 @@ def _lines(batch: pa.RecordBatch, wanted: np.ndarray | None) -> pa.RecordBatch:
     if wanted is not None:
         slot = leaf & (SLOTS - 1)
         keep = (wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-    columns = [pa.array(tids[owner][keep]), pa.array(pos[keep].astype(np.int32)),
+    columns = [pa.array(tids[owner][keep]), pa.array(pos[keep].astype(np.int32)), pa.array(order[keep].astype(np.int32)),
                pa.array(mix(keys).view(np.int64)[keep]), pa.array(sizes[keep].astype(np.int32)), pa.array(leaf[keep])]
-    names = ["tid", "pos", "lh", "n", "leaf"]
+    names = ["tid", "pos", "ord", "lh", "n", "leaf"]
     if wanted is not None:
         own = np.repeat(keep, sizes)
         flat = np.where(fields, np.int64(0), ((words >> np.uint64(33)) | np.uint64(1)).astype(np.int64)).astype(np.int32)[own]
@@ -74,11 +81,13 @@ def _lines(batch: pa.RecordBatch, wanted: np.ndarray | None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-LINE = "tid long, pos int, lh long, n int, leaf long"
+LINE = "tid long, pos int, ord int, lh long, n int, leaf long"
 
 
 def _parsed(docs: DataFrame, text: str, wanted=None) -> DataFrame:
-    """Rows (tid, pos, lh, n, leaf), one per line that has a token; tid stands for the text, lh for the line.
+    """Rows (tid, pos, ord, lh, n, leaf), one per line that has a token; tid stands for the text, lh for the line.
+
+    pos counts all lines of the text, ord those with a token.
 
     ``wanted`` is a broadcast bitmap of leaves; then only their lines come, with ``toks``, a number per token, 0 for a field.
     """
@@ -106,6 +115,46 @@ def _bitmap(keys: DataFrame, column: str) -> np.ndarray:
     return np.packbits(out, bitorder="little")
 
 
+def _runs(tids: np.ndarray, order: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+    """The runs of whole texts, whose lines come in order; a line that is missing ends a run."""
+    at = np.arange(len(tids))
+    new = np.concatenate([[True], (tids[1:] != tids[:-1]) | (order[1:] != order[:-1] + 1)])[:len(at)]
+    begins = np.flatnonzero(new)
+    run = np.cumsum(new) - 1
+    low, high = begins[run], np.append(begins[1:], len(at))[run]
+    total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    ends = np.searchsorted(total, total[:-1] + PASSAGE)
+    starts = np.searchsorted(total, total[1:] - PASSAGE, side="right") - 1
+    ahead, back = ends <= high, starts >= low
+    first = np.concatenate([at[ahead], starts[back]])
+    end = np.concatenate([ends[ahead], at[back] + 1])
+    up, down = _POWERS.get(len(at) + 1)
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(keys.view(np.uint64)) * up[:len(at)])])
+    marks = mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64)).view(np.int64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(tids[first]), pa.array(marks), pa.array(order[first]), pa.array(order[end - 1])],
+        names=["tid", "key", "first", "last"])
+
+
+def passages(lines: DataFrame) -> DataFrame:
+    """Rows (tid, key, first, last), one per run of neighbouring ``lines`` (tid, ord, n, key) with just enough tokens."""
+    def run(batches):
+        names = ["tid", "ord", "n", "key"]
+        rest = [np.empty(0, dtype=t) for t in (np.int64, np.int32, np.int32, np.int64)]
+        for batch in batches:
+            rest = [np.concatenate([r, batch.column(c).to_numpy()]) for r, c in zip(rest, names)]
+            # The last text of a batch may go on in the next one.
+            whole = np.searchsorted(rest[0], rest[0][-1]) if len(rest[0]) else 0
+            if whole:
+                yield _runs(*[r[:whole] for r in rest])
+                rest = [r[whole:] for r in rest]
+        if len(rest[0]):
+            yield _runs(*rest)
+
+    rows = lines.select("tid", "ord", "n", "key").repartition("tid").sortWithinPartitions("tid", "ord")
+    return rows.mapInArrow(run, "tid long, key long, first int, last int").distinct()
+
+
 def copy_groups(docs: DataFrame, tids: DataFrame, text: str) -> DataFrame:
     """Rows (tid, voter) for the texts in ``tids``: near copies among them have the same voter."""
     rows = docs.select(F.xxhash64(f"`{text}`").alias("tid"), F.col(f"`{text}`").alias("text")).filter("text is not null")
@@ -132,20 +181,30 @@ def recurring_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     found = met.join(profile, "leaf").withColumn("general", general)
     constant = F.size(F.filter("general", lambda t: t != 0))
     template = F.when(constant >= KEPT * F.col("n"), F.xxhash64("leaf", "general"))
-    found = cut_lineage(found.select("tid", "pos", "lh", "n", template.alias("template")))
+    found = cut_lineage(found.select("tid", "pos", "ord", "lh", "n", template.alias("template")))
 
-    keys = found.select("tid", "pos", "n", F.explode(F.array_compact(F.array("lh", "template"))).alias("key"))
+    keys = found.select("tid", "pos", "ord", "n", F.explode(F.array_compact(F.array("lh", "template"))).alias("key"))
     shared = keys.groupBy("key").agg(F.min("tid").alias("a"), F.max("tid").alias("b")).filter("a <> b").select("key")
-    keys = cut_lineage(keys.join(cut_lineage(shared), "key", "left_semi"))
+    shared = cut_lineage(shared)
+    keys = cut_lineage(keys.join(shared, "key", "left_semi"))
+    # Equal lines have equal templates, so runs of templates hold the runs of equal lines.
+    like = found.select("tid", "pos", "ord", "n", F.coalesce("template", "lh").alias("key"))
+    runs = cut_lineage(passages(like.join(shared, "key", "left_semi")))
+    again = runs.groupBy("key").agg(F.min("tid").alias("a"), F.max("tid").alias("b")).filter("a <> b").select("key")
+    runs = cut_lineage(runs.join(cut_lineage(again), "key", "left_semi"))
     votes = keys.select("key", "tid", "n").distinct()
     # Groups are never more than texts, so only keys that enough texts hold can have the votes.
     needed = F.greatest(F.lit(2), F.ceil(NEED / F.min("n")))
     texts = votes.groupBy("key").agg(F.count("*").alias("docs"), needed.alias("need")).filter("docs >= need")
-    votes = cut_lineage(votes.select("key", "tid").join(cut_lineage(texts.select("key", "need")), "key"))
+    votes = votes.select("key", "tid").join(cut_lineage(texts.select("key", "need")), "key")
+    votes = cut_lineage(votes.unionByName(runs.select("key", "tid", F.lit(2).cast("long").alias("need")).distinct()))
     voters = copy_groups(docs, votes.select("tid").distinct(), text)
     dropped = (votes.join(voters, "tid").select("key", "need", "voter").distinct()
                .groupBy("key", "need").agg(F.count("*").alias("c")).filter("c >= need").select("key"))
-    return keys.join(cut_lineage(dropped), "key", "left_semi").select("tid", "pos").distinct()
+    dropped = cut_lineage(dropped)
+    inside = (runs.join(dropped, "key", "left_semi").select("tid", F.explode(F.sequence("first", "last")).alias("ord")).distinct())
+    lines = keys.join(dropped, "key", "left_semi").select("tid", "pos")
+    return lines.unionByName(like.join(inside, ["tid", "ord"], "left_semi").select("tid", "pos")).distinct()
 
 
 def drop_recurring(docs: DataFrame, text: str = "text", dropped: str | None = None) -> DataFrame:

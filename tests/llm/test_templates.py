@@ -37,3 +37,22 @@ def test_twins_with_a_small_edit_have_one_vote_together(spark):
     pages = ["\n".join(words(draw, 60) for _ in range(3)) for _ in range(3)]
     twins = [p for page in pages for p in (page, page + " edited")]
     assert left(spark, [f"{t}\n{passage}" for t in twins]) == twins
+
+
+def test_passages_wrapped_over_lines_need_two_votes(spark):
+    draw = random.Random(4)
+    thin, wide, short = ([words(draw, n) for _ in range(k)] for n, k in ((10, 6), (25, 3), (10, 4)))
+    texts, rest = [], []
+    for own, lines in ((0, thin), (1, thin), (2, wide), (3, wide), (4, short), (5, short)):
+        before, after = words(draw, 90), words(draw, 90)
+        middle = "\n\n".join(lines) if own == 1 else "\n".join(lines)
+        texts.append(f"{before}\n{middle}\n{after}")
+        rest.append(texts[-1] if lines is short else f"{before}\n" + "\n" * (own == 1) * (len(lines) - 1) + after)
+    assert left(spark, texts) == rest
+
+
+def test_lines_of_a_passage_in_another_order_are_no_passage(spark):
+    draw = random.Random(5)
+    lines = [words(draw, 10) for _ in range(6)]
+    texts = [f"{words(draw, 90)}\n" + "\n".join(order) for order in (lines, lines[::-1])]
+    assert left(spark, texts) == texts
