@@ -16,7 +16,7 @@ from leadloom.models.autofit import AutoModel, auto_fit
 from leadloom.operators import metrics, sampling
 from leadloom.plans.cuts import KEY, CutOptions, make_cuts, with_row_key
 from leadloom.plans.prepare import PanelPrep, Roles, prepare_panel
-from leadloom.plans.train_score import TrainConfig, train_score
+from leadloom.plans.train_score import DEFAULT_SPACES, TrainConfig, train_score
 from leadloom.session import cut_lineage, fresh_path
 from leadloom.sources.runlog import RunLog
 from leadloom.sources.store import Store
@@ -58,7 +58,7 @@ def s5(src: Source) -> DataFrame:
 def m5(src: Source) -> DataFrame:
     train, _test = split_table(src, [*FEATURES, "delta_price", "segment_BUILDING", "segment_MACHINERY"])
     pool = [c for c in train.columns if c not in (KEY, LABEL)]
-    return selection.rfe_rank(train, pool, LABEL, step=2, trees=5, depth=4)
+    return selection.rfe_rank(train, pool, LABEL)
 
 
 @query("m6_rfe_select", f"""
@@ -74,13 +74,9 @@ def m6(src: Source) -> DataFrame:
     return src.spark.createDataFrame(rows, "feature string, kind string")
 
 
-SMALL_RFE = {"step": 4, "trees": 5, "depth": 4}
-
-
 @query("m7_make_model_cuts")
 def m7(src: Source) -> DataFrame:
-    options = CutOptions(n_features=6, rfe=SMALL_RFE)
-    cuts = make_cuts(prepare_panel(src("panel")), Roles(), options, Store(src.spark, fresh_path(src.spark, "store")))
+    cuts = make_cuts(prepare_panel(src("panel")), Roles(), CutOptions(), Store(src.spark, fresh_path(src.spark, "store")))
     parts = {"train": cuts.train, "test": cuts.test, "holdout": cuts.holdout, "for_scoring": cuts.for_scoring}
     out = None
     for name, df in parts.items():
@@ -93,15 +89,14 @@ def m7(src: Source) -> DataFrame:
 @query("m8_tune")
 def m8(src: Source) -> DataFrame:
     train, _test = split_table(src)
-    space = {"maxDepth": folds.Span(2, 3, whole=True), "numTrees": [3, 5]}
-    return folds.tune(train, "forest_small", space, FEATURES, LABEL, KEY, iterations=2, cv=2).trials
+    return folds.tune(train, "forest", DEFAULT_SPACES["forest"], FEATURES, LABEL, KEY).trials
 
 
 @query("m9_tune_folds")
 def m9(src: Source) -> DataFrame:
     train, _test = split_table(src)
     space = {"regParam": folds.Span(0.0001, 0.1), "maxIter": folds.Span(5, 20, whole=True)}
-    return folds.tune(train, "logit", space, FEATURES, LABEL, KEY, iterations=3, cv=3, seed=1).trials
+    return folds.tune(train, "logit", space, FEATURES, LABEL, KEY, seed=1).trials
 
 
 @query("m10_calibrate")
@@ -109,7 +104,7 @@ def m10(src: Source) -> DataFrame:
     train, test = split_table(src)
     out = None
     for method in ("sigmoid", "isotonic"):
-        model = folds.calibrate(train, "forest_small", FEATURES, LABEL, KEY, method, cv=2, numTrees=3)
+        model = folds.calibrate(train, "forest", FEATURES, LABEL, KEY, method)
         scored = model.predict(test)
         row = scored.agg(F.min("prob_1").alias("least"), F.max("prob_1").alias("greatest"),
                          (F.avg("prob_1") - F.avg(LABEL)).alias("bias")).select(F.lit(method).alias("method"), "*")
@@ -121,7 +116,7 @@ def m10(src: Source) -> DataFrame:
 def m11(src: Source) -> DataFrame:
     train, test = split_table(src)
     out = None
-    for name in ("gbt_small", "forest_small", "logit"):
+    for name in ("gbt", "forest", "logit"):
         row = measures(learners.fit(train, name, FEATURES, LABEL), test, name)
         out = row if out is None else out.unionByName(row)
     return out
@@ -130,19 +125,19 @@ def m11(src: Source) -> DataFrame:
 @query("m12_soft_vote_fit")
 def m12_fit(src: Source) -> DataFrame:
     train, test = split_table(src)
-    return measures(learners.soft_vote(train, ["forest_small", "logit"], FEATURES, LABEL), test, "vote")
+    return measures(learners.soft_vote(train, ["gbt", "forest", "logit"], FEATURES, LABEL), test, "vote")
 
 
 @query("m13_stack_check")
 def m13(src: Source) -> DataFrame:
     train, test = split_table(src)
-    models = {name: learners.fit(train, name, FEATURES, LABEL) for name in ("forest_small", "logit")}
+    models = {name: learners.fit(train, name, FEATURES, LABEL) for name in ("gbt", "forest", "logit")}
     return selection.stack_check(models, test, LABEL)
 
 
 def auto_model(src: Source) -> tuple[AutoModel, DataFrame]:
     train, test = split_table(src)
-    return auto_fit(train, FEATURES, LABEL, KEY, ("forest_small", "logit"), cv=2, max_fits=8), test
+    return auto_fit(train, FEATURES, LABEL, KEY), test
 
 
 @query("m22_auto_fit")
@@ -197,9 +192,7 @@ def m27(src: Source) -> DataFrame:
 
 @query("m28_train_score")
 def m28(src: Source) -> DataFrame:
-    config = TrainConfig(
-        "demo", estimators=("forest_small",), iterations=2, cv=2, calibration=None,
-        cuts=CutOptions(n_features=6, rfe_test_size=0.75, corr_threshold=0.8, rfe=SMALL_RFE))
+    config = TrainConfig("demo", estimators=("gbt", "forest", "logit"))
     result = train_score(src("panel"), config, Store(src.spark, fresh_path(src.spark, "store")))
     return result.comparison.withColumn("best", F.lit(result.best)).withColumn(
         "n_leads", F.lit(result.leads.count()))
