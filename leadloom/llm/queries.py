@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.llm import bytebpe, crosspoly, langmix, merkle, minmax, mixing, punlearn, rollups, templates, warc
+from leadloom.llm import (bytebpe, crosspoly, divergence, forblocks, langmix, meansearch, merkle, minmax, mixing, punlearn,
+                          rollups, templates, warc)
 from leadloom.llm.common import WORD, read_table, word_count
 from leadloom.session import cut_lineage, fresh_path
 
@@ -196,3 +197,73 @@ def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit("redact", redacted)
     rollup.commit("toxic", changes(counts.join(toxic, "doc_id", "left_semi"), "delete", "clean", None))
     return rollup.totals()
+
+
+def _sql_rounds(rounds: int) -> str:
+    """Tables c1, c2, ... of centroids after each round, from x (vectors by component) and c0; ``own`` is the last assignment."""
+    nearest = """SELECT rid, cluster, distance FROM (SELECT x.rid, c.cluster, CAST(sum((x.x - c.x) * (x.x - c.x)) AS BIGINT) AS distance
+      FROM x JOIN c{0} c ON x.i = c.i GROUP BY x.rid, c.cluster)
+      QUALIFY row_number() OVER (PARTITION BY rid ORDER BY distance, cluster) = 1"""
+    parts = []
+    for r in range(rounds):
+        parts.append(f"""a{r} AS MATERIALIZED ({nearest.format(r)}),
+c{r + 1} AS MATERIALIZED (SELECT c.cluster, c.i, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN (
+  SELECT cluster, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS x FROM (SELECT cluster, i, sum(x) AS s, count(*) AS n
+  FROM a{r} JOIN x USING (rid) GROUP BY cluster, i)) m ON c.cluster = m.cluster AND c.i = m.i)""")
+    return ",\n".join([*parts, f"own AS MATERIALIZED ({nearest.format(rounds)})"])
+
+
+@query("op11_centroids", f"""
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, embedding FROM embeddings WHERE len(embedding) = 64
+  AND len(list_filter(embedding, lambda y: y IS NOT NULL AND isfinite(y))) = 64),
+w AS MATERIALIZED (SELECT rid, vec_id, list_transform(embedding, lambda y: CAST(floor(64 * CAST(y AS DOUBLE)) AS BIGINT)) AS v FROM v),
+x AS MATERIALIZED (SELECT rid, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM w),
+s AS (SELECT v, row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS cluster FROM w),
+c0 AS MATERIALIZED (SELECT CAST(cluster AS INTEGER) AS cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM s WHERE cluster < 16),
+{_sql_rounds(3)},
+h AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c3 GROUP BY cluster)
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256 FROM own JOIN w USING (rid) JOIN h USING (cluster)
+""")
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return meansearch.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_token_blocks")
+def op12_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "ids")
+    forblocks.write_ids(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    rows = forblocks.read_ids(spark, path)
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op13_divergence", r"""
+WITH d AS (SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+w AS MATERIALIZED (SELECT n, lang, source, unnest(terms) AS term FROM d),
+k AS MATERIALIZED (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT n) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS MATERIALIZED (SELECT w.lang, w.source, w.term, count(*) AS c FROM w JOIN k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL),
+t AS (SELECT lang, source, sum(c) AS total FROM c GROUP BY ALL),
+f AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+  1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 1)) // (coalesce(t.total, 0) + v.v) AS p
+  FROM g JOIN k ON g.lang = k.lang JOIN v ON g.lang = v.lang LEFT JOIN t ON g.lang = t.lang AND g.source = t.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+l AS (SELECT c.lang, c.term, 1 + (1000000000::HUGEINT * (sum(c.c) + 1)) // (any_value(s.total) + any_value(v.v)) AS q
+  FROM c JOIN v ON c.lang = v.lang JOIN (SELECT lang, sum(total) AS total FROM t GROUP BY lang) s ON c.lang = s.lang
+  GROUP BY c.lang, c.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM f a JOIN f b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+best AS (SELECT f.lang, f.source, f.term AS item, ((p - q) * (p - q)) // q AS value FROM f JOIN l ON f.lang = l.lang AND f.term = l.term
+  WHERE f.c > 0 AND p > q),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM g a
+  JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL SELECT lang, source, 'term', item, CAST(value AS BIGINT) FROM best)
+SELECT lang, source, part, item, value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM r
+QUALIFY part = 'pair' OR rank <= 200
+""")
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
