@@ -53,12 +53,30 @@ def test_segment_reads_single_blocks_and_sees_damage():
 def test_encoder_equals_library_on_whole_texts():
     library = Tokenizer.from_file(PATH)
     texts = ["", " ", "It's  they'll\tgo\n\nHOME 42 x86!", "é é ́x ΑΣ Σ　 a\x1cb\x85c", "<|endoftext|> a<|startoftext|>b",
-             "word" * 5000, "日本語 テキスト 🙂🙂", "a b\x0bc\x0cd\x00e", "İstanbul ǅ ﬁ"] * 2
+             "word" * 5000, "don't'S 'RE,'s!'ll l'été D'ÉTÉ a\x01b ß×÷ ǆ", "日本語 テキスト 🙂🙂", "a b\x0bc\x0cd\x00e", "İstanbul ǅ ﬁ",
+             "(word) a.b.c ...x... -- x-y! [ÉTÉ]; 'tis' dogs'. 3.14% ½., .½. \u00ad.a <|ENDOFTEXT|> <|x|> ;²; ª! €. .…x…."] * 2
     encoder = Encoder(open(PATH, encoding="utf-8").read(), entries=3)
+    assert encoder.by_part
     got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([t.encode() for t in texts])]
     assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_encoder_equals_library_on_all_characters():
+    library, encoder = Tokenizer.from_file(PATH), Encoder(open(PATH, encoding="utf-8").read())
+    for at in range(0, 0x3100, 7):
+        text = "".join(f"a{chr(c)}b{chr(c)} {chr(c)}\u0301 " for c in range(at, at + 7))
+        for own in (text, text[:9], chr(at) * 3, f"x{chr(at)}'s"):
+            assert np.frombuffer(encoder.encode([own.encode()])[0], "<u4").tolist() == library.encode(own, add_special_tokens=False).ids
+
+
+def test_encoder_takes_whole_texts_by_other_definitions():
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    library, encoder = Tokenizer.from_file(other), Encoder(open(other, encoding="utf-8").read())
+    text = "Two  words\nand 3 more, é"
+    assert not encoder.by_part
+    assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def digest(spark, docs):
     path = fresh_path(spark, "ids")
     forblocks.write_ids(docs, PATH, path)
