@@ -7,7 +7,7 @@ A file is a run of segments, each followed by ``END``. A segment holds whole doc
 - per document its id, whether the id is null, and its number of ids;
 - per block its start (bytes from the first block): the index, through which single blocks are read;
 - the blocks, each for 256 ids: least id, width, number of exceptions; the ids less the least one, packed at ``width``
-  bits; for ids that need more bits, their places and what is left above ``width``.
+  bits (first the lowest bit of all of them, then the next); for ids that need more bits, their places and what is left above ``width``.
 
 The width of a block is the one among a few percentiles of the needed bits that makes the block smallest.
 All numbers are little-endian. Segments sort by (partition, number), partitions hold ascending ranges of document ids.
@@ -18,11 +18,12 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import compress
+from itertools import batched, compress
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from leadloom.llm.common import ship_package
 
@@ -49,6 +50,14 @@ SLICE = 4_000_000
 # Blocks
 
 
+def _needed(x: np.ndarray) -> np.ndarray:
+    """Bits that whole numbers need: the exponent of a double."""
+    return np.frexp(x.astype(np.float64))[1].astype(np.uint8)
+
+
+_BITS = _needed(np.arange(1 << 16))
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
     """Starts and bytes of the blocks that hold ``ids`` (unsigned 32-bit numbers)."""
     blocks = -(-len(ids) // BLOCK)
@@ -59,24 +68,25 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
     full = full.reshape(blocks, BLOCK)
     least = full.min(axis=1)
     delta = full - least[:, None]
-    # The exponent of a whole number as a double is the number of bits it needs.
-    bits = np.frexp(delta.astype(np.float64))[1].astype(np.uint8)
-    ordered = np.sort(bits, axis=1)
+    bits = _BITS[delta] if delta.max() < len(_BITS) else _needed(delta)
+    # Per block and width, how many ids need more bits.
+    beyond = np.stack([np.count_nonzero(bits > w, axis=1) for w in range(int(bits.max()) + 1)], axis=1)
     width, size = np.zeros(blocks, dtype=np.int64), np.full(blocks, np.iinfo(np.int64).max)
     for part in PERCENTILES:
-        w = ordered[:, int(np.ceil(part * BLOCK)) - 1].astype(np.int64)
-        needed = w * BLOCK // 8 + 5 * (bits > w[:, None]).sum(axis=1)
+        w = (beyond > BLOCK - np.ceil(part * BLOCK)).sum(axis=1)
+        needed = w * BLOCK // 8 + 5 * beyond[np.arange(blocks), w]
         width, size = np.where(needed < size, w, width), np.minimum(needed, size)
     over = bits > width[:, None]
-    count = over.sum(axis=1)
+    count = beyond[np.arange(blocks), width]
     packed: list[bytes] = [b""] * blocks
     for w in np.unique(width):
         own = np.flatnonzero(width == w)
         if w:
-            low = np.unpackbits(np.ascontiguousarray(delta[own]).astype("<u4").view(np.uint8).reshape(len(own), BLOCK, 4),
-                                axis=2, bitorder="little")[:, :, :w]
-            low = np.packbits(low.reshape(len(own), BLOCK * w), axis=1, bitorder="little")
-            for i, row in zip(own.tolist(), low):
+            low = delta[own]
+            planes = np.empty((len(own), w, BLOCK // 8), dtype=np.uint8)
+            for bit in range(w):
+                planes[:, bit] = np.packbits((low >> np.uint32(bit)).astype(np.uint8) & 1, axis=1, bitorder="little")
+            for i, row in zip(own.tolist(), planes):
                 packed[i] = row.tobytes()
     places = np.nonzero(over)[1].astype(np.uint8)
     high = (delta[over] >> np.repeat(width, count).astype(np.uint32)).astype("<u4")
@@ -101,10 +111,11 @@ def unpack(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     for w in np.unique(width):
         own = np.flatnonzero(width == w)
         for own in np.array_split(own, -(-len(own) // 1024)) if w else []:
-            packed = data[starts[own][:, None] + 7 + np.arange(w * BLOCK // 8)]
-            bits = np.zeros((len(own), BLOCK, 32), dtype=np.uint8)
-            bits[:, :, :w] = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(own), BLOCK, w)
-            delta[own] = np.packbits(bits, axis=2, bitorder="little").view("<u4")[:, :, 0]
+            planes = data[starts[own][:, None] + 7 + np.arange(w * BLOCK // 8)].reshape(len(own), w, BLOCK // 8)
+            low = np.zeros((len(own), BLOCK), dtype=np.uint32)
+            for bit in range(w):
+                low |= np.unpackbits(planes[:, bit], axis=1, bitorder="little").astype(np.uint32) << np.uint32(bit)
+            delta[own] = low
     if count.any():
         block = np.repeat(np.arange(len(starts)), count)
         nth = np.arange(len(block)) - np.repeat(np.cumsum(count) - count, count)
@@ -193,23 +204,42 @@ class Encoder:
         self.words: dict[str, bytes] = {"": b""}
         read = json.loads(definition)
         mark = self.library.encode(MARK, add_special_tokens=False).ids
-        self.by_part = _shape(read) == _SHAPE and len(mark) == 1
+        self.by_part = _shape(read) == _SHAPE and len(mark) == 1 and all(t["content"].startswith("<|") for t in read["added_tokens"])
         if self.by_part:
             self.mark = mark[0]
             self.special = [t["content"].lower() for t in read["added_tokens"]]
+            self.tokenize = self.library.model.tokenize
+            byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.letters = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(LATIN) if chr(c).isalpha()}
             self.bare = Tokenizer.from_str(json.dumps(read | {"normalizer": None, "added_tokens": []}))
 
     def _spell(self, words: list[str]) -> list[bytes]:
-        """Ids of lower-case Latin words: runs of words with a mark behind each are encoded, and cut at its id."""
-        runs = [f" {MARK} ".join([*words[at:at + 50], ""]) for at in range(0, len(words), 50)]
-        out: list[bytes] = []
-        for run in self.bare.encode_batch_fast(runs, add_special_tokens=False):
+        """Ids of lower-case Latin words.
+
+        Letters alone are one piece, which the library's model takes. Of the others, runs with a mark behind each are
+        encoded, and cut at its id.
+        """
+        flat, ends = [], []
+        rest = []
+        for word in words:
+            if word.isalpha():
+                flat += [t.id for t in self.tokenize(word if word.isascii() else word.translate(self.letters))]
+            else:
+                rest.append(word)
+            ends.append(len(flat))
+        data, at, out = np.array(flat, dtype="<u4").tobytes(), 0, []
+        for end in ends:
+            out.append(data[4 * at:4 * end])
+            at = end
+        found = []
+        for run in self.bare.encode_batch_fast([f" {MARK} ".join([*own, ""]) for own in batched(rest, 50)], add_special_tokens=False):
             ids = np.array(run.ids, dtype="<u4")
             data, at = ids.tobytes(), 0
             for cut in np.flatnonzero(ids == self.mark).tolist():
-                out.append(data[4 * at:4 * cut])
+                found.append(data[4 * at:4 * cut])
                 at = cut + 1
-        return out
+        more = iter(found)
+        return [ids if word.isalpha() else next(more) for word, ids in zip(words, out)]
 
     def _latin(self, text: str) -> bool:
         return text.isprintable() and (text.isascii() or ord(max(text)) < LATIN) and not any(t in text for t in self.special)
@@ -251,9 +281,10 @@ class Encoder:
             self.memo, self.older = {}, self.memo
         if len(self.words) > 2 * self.entries:
             self.words = {"": b""}
-        split = [t.split() for t in texts]
+        # Lower case first makes for fewer parts; only where no letter composes with a mark and no special token is near.
+        split = [(t if BEYOND.search(t) else t.lower()).split() for t in texts]
         memo, older = self.memo, self.older
-        new = {p for parts in split for p in parts if p not in memo}
+        new = set().union(*split).difference(memo)
         memo.update((p, older[p]) for p in new if p in older)
         new = [p for p in new if p not in memo]
         self._learn(new)
@@ -266,6 +297,8 @@ class Encoder:
 
 #: Stands between words that are encoded together; it is no Latin character.
 MARK = "\u2665"
+#: Bytes of characters from U+0240 on, and what special tokens begin with.
+BEYOND = re.compile(rb"[\xc9-\xff]|<\|")
 #: ASCII punctuation without the apostrophe, which begins pieces such as 's.
 OUTER = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Characters below this have no composed or decomposed twin among themselves.
