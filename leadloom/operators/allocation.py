@@ -3,7 +3,7 @@
 Allocation. A customer takes at most one (agent, use case), worth expected value + affinity. The domain is a product of
 agents and use cases per customer, so the best choice is the best agent and the best use case, each found on its own.
 The capacity an agent needs changes by at most 1 per lead, so the choice is within one unit per customer of the
-optimum. Limits on use-case totals that bind are met by prices per use case and a repair step.
+optimum. Limits on use-case totals that bind are met exactly, by optimal prices per use case.
 
 Warming. Each customer holds one allocated row, so the best warming plan has a closed form: all rows of agents who must
 warm, then per channel the best remaining rows up to its cap.
@@ -16,8 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.functions.scalars import differs
 from leadloom.operators.domains import A, C, P, Domains, attached_orphan_sizes, contains, customers_per_agent, warm_sizes
+from leadloom.operators.limited import UNITS, LimitedChoice
 from leadloom.operators.ranks import top_rows
 from leadloom.operators.relate import union_all
 from leadloom.session import cut_lineage
@@ -34,16 +34,9 @@ RESULT_COLUMNS = (C, A, P, "expected_value", "affinity", "priority")
 
 @dataclass(frozen=True)
 class Limits:
-    """Least and greatest number of leads per use case; use cases not named have no limit."""
+    """Least and greatest number of leads per use case (None: no greatest); use cases not named have no limit."""
 
-    bounds: dict[str, tuple[int, int]]
-
-    def least(self, usecase: str) -> int:
-        return self.bounds.get(usecase, (0, 0))[0]
-
-    def most(self, usecase: str) -> int | None:
-        bound = self.bounds.get(usecase)
-        return None if bound is None else bound[1]
+    bounds: dict[str, tuple[int, int | None]]
 
 
 def customer_options(values: DataFrame, best: DataFrame, classes: DataFrame) -> DataFrame:
@@ -52,21 +45,9 @@ def customer_options(values: DataFrame, best: DataFrame, classes: DataFrame) ->
         "score", F.col("expected_value") + F.col("affinity"))
 
 
-def _price(prices: dict[str, float]) -> Column:
-    price = F.lit(0.0)
-    for usecase, value in sorted(prices.items()):
-        if value:
-            price = F.when(F.col(P) == usecase, F.lit(float(value))).otherwise(price)
-    return price
-
-
-def _worth_taking(options: DataFrame, prices: dict[str, float] | None) -> DataFrame:
-    return options.withColumn("_net", F.col("score") - _price(prices or {})).filter("_net >= 0")
-
-
 def _choice() -> Column:
     """Sorts by value, best first, then by use case name."""
-    return F.struct((-F.col("_net")).alias("less"), F.col(P).alias("p"), F.col(A).alias("agent"), "expected_value",
+    return F.struct((-F.col("score")).alias("less"), F.col(P).alias("p"), F.col(A).alias("agent"), "expected_value",
                     "affinity", "priority", "score")
 
 
@@ -75,21 +56,13 @@ def _unpacked(best: Column) -> list[Column]:
             best["affinity"].alias("affinity"), best["priority"].alias("priority"), best["score"].alias("score")]
 
 
-def pick(options: DataFrame, prices: dict[str, float] | None = None) -> DataFrame:
-    """The best option of each customer if it is worth 0 or more, the first use case by name among equals."""
-    best = _worth_taking(options, prices).groupBy(C).agg(F.min(_choice()).alias("best"))
-    return best.select(*_unpacked(F.col("best")))
-
+def _first_choice(options: DataFrame) -> DataFrame:
+    return options.groupBy(C).agg(F.min(_choice()).alias("best")).select(*_unpacked(F.col("best")))
 
-def pick_with_margin(options: DataFrame, prices: dict[str, float]) -> DataFrame:
-    """:func:`pick` with ``margin``, what the customer loses by giving the option up.
 
-    A customer has at most one option per use case, so the sorted list stays as short as the use-case table.
-    """
-    listed = _worth_taking(options, prices).groupBy(C).agg(F.array_sort(F.collect_list(_choice())).alias("o"))
-    second = F.coalesce(-F.try_element_at("o", F.lit(2))["less"], F.lit(0.0))
-    first = F.col("o")[0]
-    return listed.select(*_unpacked(first), (-first["less"] - second).alias("margin"))
+def pick(options: DataFrame) -> DataFrame:
+    """The best option of each customer if it is worth 0 or more, the first use case by name among equals."""
+    return _first_choice(options.filter("score >= 0"))
 
 
 def _totals(rows: DataFrame) -> dict[str, int]:
@@ -97,152 +70,51 @@ def _totals(rows: DataFrame) -> dict[str, int]:
     return {r[P]: r["n"] for r in rows.groupBy(P).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def _over(totals: dict[str, int], limits: Limits) -> dict[str, int]:
-    return {p: n - limits.most(p) for p, n in totals.items() if limits.most(p) is not None and n > limits.most(p)}
-
-
-def _raise_prices(options: DataFrame, limits: Limits, rounds: int) -> dict[str, float]:
-    """Prices that bring each use case near its limit.
-
-    The use case that is furthest above is raised by the margin of the first customer beyond its limit, found exactly, so
-    at least the customers beyond it leave. It ends when none is over, or after ``rounds``; the cut that follows keeps the
-    limits at any prices, and the bound holds at any prices, so rounds only cost value, which the gap of
-    :func:`allocation_status` shows.
-    """
-    prices: dict[str, float] = {}
-    for _ in range(rounds):
-        picked = cut_lineage(pick_with_margin(options, prices))
-        over = _over(_totals(picked), limits)
-        if not over:
-            return prices
-        worst = max(over, key=lambda p: (over[p], p))
-        rows = picked.filter(F.col(P) == worst)
-        kept = limits.most(worst)
-        beyond = rows.join(top_rows(rows, "margin", C, kept).select(C), C, "left_anti") if kept else rows
-        step = beyond.agg(F.max("margin")).first()[0]
-        prices[worst] = prices.get(worst, 0.0) + max(step, 1e-6)
-    return prices
-
-
-def _close_full(options: DataFrame, limits: Limits, prices: dict[str, float]) -> DataFrame:
-    """Cut each use case to its limit by margin; the customers cut off choose again among the rest.
-
-    A use case is closed once it is full, so there are at most as many rounds as use cases.
-    """
-    open_options = options
-    kept: list[DataFrame] = []
-    while True:
-        picked = cut_lineage(pick_with_margin(open_options, prices))
-        over = _over(_totals(picked), limits)
-        if not over:
-            return _use_room(options, union_all(picked, *kept).drop("margin"), limits)
-        worst = max(over, key=lambda p: (over[p], p))
-        full = cut_lineage(top_rows(picked.filter(F.col(P) == worst), "margin", C, limits.most(worst)))
-        kept.append(full)
-        open_options = cut_lineage(
-            open_options.filter(F.col(P) != worst).join(full.select(C), C, "left_anti"))
-
-
-def _use_room(options: DataFrame, chosen: DataFrame, limits: Limits) -> DataFrame:
-    """Give customers left without a lead, because a price was a little too high, the room that is still there."""
-    chosen = cut_lineage(chosen)
-    for usecase in sorted(limits.bounds):
-        room = limits.most(usecase) - _totals(chosen).get(usecase, 0)
-        left = options.filter((F.col(P) == usecase) & (F.col("score") >= 0)).join(chosen.select(C), C, "left_anti")
-        if room > 0 and left.take(1):
-            added = top_rows(left, "score", C, room)
-            chosen = cut_lineage(chosen.unionByName(added.select(*chosen.columns)))
-    return chosen
-
-
-def _best_path(edges: dict[tuple[str, str], float], sources: set[str], target: str) -> list[str] | None:
-    """The chain of moves with the greatest gain from a source to ``target``; there are as few nodes as use cases."""
-    best = {p: (0.0, [p]) for p in sources}
-    for _ in range(len(edges)):
-        moved = False
-        for (u, v), gain in sorted(edges.items()):
-            if u in best and v not in best[u][1] and v not in sources:
-                total = best[u][0] + gain
-                if v not in best or total > best[v][0] + 1e-12:
-                    best[v], moved = (total, [*best[u][1], v]), True
-        if not moved:
-            break
-    return best[target][1] if target in best else None
-
-
-def _fill_least(options: DataFrame, chosen: DataFrame, limits: Limits) -> DataFrame | None:
-    """Move customers along chains into use cases below their minimum; None when no allocation meets the minimums.
-
-    A chain starts with a customer without a lead, or in a use case above its own minimum, and passes a place on from use
-    case to use case. If no chain reaches the lacking use case, none can: that is the augmenting path of a flow. The
-    driver sees the best gain and the number of moves per pair of use cases.
-    """
-    none = ""
-    while True:
-        totals = _totals(chosen)
-        lack = {p: least - totals.get(p, 0) for p, (least, _most) in sorted(limits.bounds.items()) if totals.get(p, 0) < least}
-        if not lack:
-            return chosen
-        usecase = next(iter(lack))
-        now = chosen.select(C, F.col(P).alias("_from"), F.col("score").alias("_now"))
-        moves = cut_lineage(
-            options.join(now, C, "left").filter(differs(F.col("_from"), F.col(P)))
-            .withColumn("_gain", F.col("score") - F.coalesce(F.col("_now"), F.lit(0.0)))
-            .withColumn("_from", F.coalesce("_from", F.lit(none))))
-        found = moves.groupBy("_from", P).agg(F.max("_gain").alias("gain"), F.count(F.lit(1)).alias("n")).collect()
-        edges, sizes = {(r["_from"], r[P]): r["gain"] for r in found}, {(r["_from"], r[P]): r["n"] for r in found}
-        spare = {p: n - limits.least(p) for p, n in totals.items() if n > limits.least(p)}
-        path = _best_path(edges, {none, *spare}, usecase)
-        if path is None:
-            return None
-        steps = list(zip(path, path[1:]))
-        amount = min([lack[usecase], *[sizes[step] for step in steps], *([spare[path[0]]] if path[0] else [])])
-        parts = [top_rows(moves.filter((F.col("_from") == u) & (F.col(P) == v)), "_gain", C, amount) for u, v in steps]
-        moved = cut_lineage(union_all(*parts))
-        rest = chosen.join(moved.select(C), C, "left_anti")
-        chosen = cut_lineage(rest.unionByName(moved.select(*chosen.columns)))
-
-
-def allocate(options: DataFrame, limits: Limits | None = None, rounds: int = 20) -> DataFrame:
+def allocate(options: DataFrame, limits: Limits | None = None) -> DataFrame:
     """Chosen rows (customer, agent, use case, expected value, affinity, priority); no rows when limits cannot be met.
 
-    Without binding limits this is one aggregate by customer. ``options`` comes from :func:`customer_options`.
+    The sum of expected value + affinity is the greatest possible, to :data:`limited.UNITS`. Without binding limits this
+    is one aggregate by customer, otherwise see :mod:`leadloom.operators.limited`. A customer takes an option worth less
+    than 0 only where a minimum asks for it. ``options`` comes from :func:`customer_options`, one row per (customer, use
+    case).
     """
     if not limits or not limits.bounds:
         return pick(options).select(*RESULT_COLUMNS)
     chosen = cut_lineage(pick(options))
     totals = _totals(chosen)
-    if not _over(totals, limits) and all(totals.get(p, 0) >= limits.least(p) for p in limits.bounds):
+    if all(low <= totals.get(p, 0) and (high is None or totals.get(p, 0) <= high) for p, (low, high) in limits.bounds.items()):
         return chosen.select(*RESULT_COLUMNS)
     # Only limits that bind need the options again, so they are written only then.
     options = cut_lineage(options)
-    if _over(totals, limits):
-        chosen = _close_full(options, limits, _raise_prices(options, limits, rounds))
-    filled = _fill_least(options, chosen, limits)
-    if filled is None or _over(_totals(filled), limits):
-        filled = chosen.limit(0)
-    return filled.select(*RESULT_COLUMNS)
+    choice = LimitedChoice(options, C, P, limits.bounds)
+    optimum = choice.solve()
+    if optimum is None:
+        return chosen.limit(0).select(*RESULT_COLUMNS)
+    rows = options.join(choice.deal(optimum), C)
+    rest = ~F.col(P).isin(list(limits.bounds)) & (F.col("score") >= 0)
+    taken = rows.filter(F.when(F.col("target").isNull(), rest).otherwise(F.col(P) == F.col("target")))
+    return _first_choice(taken).select(*RESULT_COLUMNS)
 
 
-def upper_bound(options: DataFrame, limits: Limits, rounds: int = 20) -> float:
-    """An upper bound on expected value + affinity under the maximum limits, from the prices."""
-    prices = _raise_prices(options, limits, rounds)
-    value = pick(options, prices).agg(F.sum(F.col("score") - _price(prices)).alias("v")).first()["v"] or 0.0
-    return value + sum(price * limits.most(p) for p, price in prices.items())
+def upper_bound(options: DataFrame, limits: Limits) -> float | None:
+    """The greatest expected value + affinity under the limits, by prices alone; None if they cannot be met."""
+    optimum = LimitedChoice(options, C, P, limits.bounds).solve()
+    return None if optimum is None else optimum.value
 
 
 def allocation_status(options: DataFrame, chosen: DataFrame, limits: Limits) -> DataFrame:
     """One row: status (optimal, feasible or infeasible), leads, value, bound and gap.
 
-    The value is expected value + affinity; an allocation whose value reaches the bound is optimal in it. An empty
-    allocation of customers who have options is infeasible if a minimum is asked for.
+    The value is expected value + affinity. The bound comes from prices (weak duality holds at any), not from the
+    allocation, so an allocation that reaches it, to the unit of each lead, is optimal. Without a bound no allocation
+    meets the limits.
     """
     got = chosen.agg(F.count(F.lit(1)).alias("leads"),
                      F.coalesce(F.sum(F.col("expected_value") + F.col("affinity")), F.lit(0.0)).alias("value"))
-    asked = any(least > 0 for least, _most in limits.bounds.values())
-    bound = F.lit(float(upper_bound(options, limits)))
+    best = upper_bound(options, limits)
+    bound = F.lit(best).cast("double")
     gap = bound - F.col("value")
-    status = F.when((F.col("leads") == 0) & F.lit(asked), "infeasible").when(gap <= 1e-6, "optimal").otherwise("feasible")
+    status = F.when(bound.isNull(), "infeasible").when(gap <= 1e-6 + F.col("leads") / UNITS, "optimal").otherwise("feasible")
     return got.select(status.alias("status"), "leads", "value", bound.alias("bound"), gap.alias("gap"))
 
 
