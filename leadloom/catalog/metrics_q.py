@@ -13,6 +13,7 @@ from leadloom.models.folds import fold_summary, stratified_folds
 from leadloom.models.learners import average_scores, mean_squared_error
 from leadloom.operators import columns as cols
 from leadloom.operators import correlation, metrics, ranks, relate, sampling, scoring
+from leadloom.session import cut_lineage
 
 DIGITS = 9
 CORR_COLUMNS = ("n_orders", "sum_price", "max_price", "delta_price", "days_since_prev", "acctbal", "target_flag")
@@ -356,7 +357,8 @@ def m3(src: Source) -> DataFrame:
 @query("m4_trim_clusters", f"WITH {CLIQUES_SQL} SELECT feature, 'kept' AS decision FROM keep UNION ALL "
                            "SELECT feature, 'removed' FROM removed")
 def m4(src: Source) -> DataFrame:
-    high = correlation.high_pairs(correlation.pearson_pairs(src("panel"), list(CORR_COLUMNS)), THRESHOLD)
+    high = cut_lineage(correlation.high_pairs(
+        correlation.pearson_pairs(src("panel"), list(CORR_COLUMNS), THRESHOLD), THRESHOLD))
     return relate.union_all(
         correlation.kept_features(high).withColumn("decision", F.lit("kept")),
         correlation.trim_clusters(high).withColumn("decision", F.lit("removed")))

@@ -46,7 +46,17 @@ class Fitted:
 
     def predict(self, df: DataFrame, score: str = "prob_1", prediction: str = "prediction") -> DataFrame:
         """Add the class and the probability of class 1; the input columns stay."""
-        out = self.model.transform(df)
+        return self._named(df, self.model.transform(df), score, prediction)
+
+    def predict_vectors(self, df: DataFrame, score: str = "prob_1", prediction: str = "prediction") -> DataFrame:
+        """:meth:`predict` for rows whose vector :data:`FEATURES` is there already, in the order of ``features``."""
+        out = df
+        for stage in self.model.stages[1:]:
+            out = stage.transform(out)
+        return self._named(df, out, score, prediction)
+
+    @staticmethod
+    def _named(df: DataFrame, out: DataFrame, score: str, prediction: str) -> DataFrame:
         return out.select(
             *df.columns,
             F.col("prediction").cast("int").alias(prediction),
@@ -65,13 +75,19 @@ class SoftVote:
 
     models: list[Fitted]
 
-    def predict(self, df: DataFrame, score: str = "prob_1", prediction: str = "prediction") -> DataFrame:
+    def _vote(self, df: DataFrame, score: str, prediction: str, vectors: bool) -> DataFrame:
         out, scores = df, []
         for i, model in enumerate(self.models):
-            out = model.predict(out, f"_p{i}", f"_c{i}")
+            out = (model.predict_vectors if vectors else model.predict)(out, f"_p{i}", f"_c{i}")
             scores.append(F.col(f"_p{i}"))
         return average_scores(out, scores, score, prediction).select(*df.columns, prediction, score)
 
+    def predict(self, df: DataFrame, score: str = "prob_1", prediction: str = "prediction") -> DataFrame:
+        return self._vote(df, score, prediction, vectors=False)
+
+    def predict_vectors(self, df: DataFrame, score: str = "prob_1", prediction: str = "prediction") -> DataFrame:
+        return self._vote(df, score, prediction, vectors=True)
+
 
 def average_scores(df: DataFrame, scores: list, score: str = "prob_1", prediction: str = "prediction") -> DataFrame:
     """Soft voting over score columns."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from leadloom.functions.scalars import one_value, ratio, ratio_or
-from leadloom.operators.ranks import QuantileBins, cumulative_by_scores, cut_counts, cut_counts_of
+from leadloom.operators.ranks import QuantileBins, cumulative_by_group, cumulative_by_scores, cut_counts, cut_counts_of
 
 
 @dataclass(frozen=True)
@@ -115,7 +115,15 @@ def roc_points(df: DataFrame, cols: Scored = Scored()) -> DataFrame:
 
 def roc_auc_of(df: DataFrame, scores: dict[str, str], label: str) -> DataFrame:
     """Exact area under the curve of every model by the trapezoid rule; null when one class is missing."""
-    steps = cumulative_by_scores(df.filter(F.col(label).isNotNull()), scores, label)
+    return _area(cumulative_by_scores(df.filter(F.col(label).isNotNull()), scores, label))
+
+
+def roc_auc_by(df: DataFrame, group: str, score: str, label: str) -> DataFrame:
+    """:func:`roc_auc_of` for models that stand in rows; columns ``model`` and ``roc_auc``."""
+    return _area(cumulative_by_group(df.filter(F.col(label).isNotNull()), group, score, label))
+
+
+def _area(steps: DataFrame) -> DataFrame:
     pos, neg = F.col("pos").cast("double"), (F.col("n") - F.col("pos")).cast("double")
     area = neg * (F.col("cum_pos").cast("double") - pos / 2)
     return steps.groupBy("model").agg(

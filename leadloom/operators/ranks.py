@@ -259,6 +259,11 @@ def cumulative_by_scores(df: DataFrame, scores: dict[str, str], label: str | Non
         base.select("_hit", F.inline(F.array(*rows))).filter(F.col("threshold").isNotNull())
         .groupBy("model", "_slot", "threshold").agg(F.count(F.lit(1)).alias("n"), F.sum("_hit").alias("pos"))
     )
+    return _running(counted, descending)
+
+
+def _running(counted: DataFrame, descending: bool) -> DataFrame:
+    """Running counts from (model, _slot, threshold, n, pos), one row per model and distinct score."""
     # One row per model and bucket.
     sizes = counted.groupBy("model", "_slot").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
     before = Window.partitionBy("model").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
@@ -274,6 +279,22 @@ def cumulative_by_scores(df: DataFrame, scores: dict[str, str], label: str | Non
     )
 
 
+def cumulative_by_group(df: DataFrame, group: str, score: str, label: str | None = None, descending: bool = True,
+                        buckets: int | None = None) -> DataFrame:
+    """:func:`cumulative_by_scores` for models that stand in rows: ``group`` names the model of a row.
+
+    All groups share bucket edges, which steer the balance alone. ``df`` should be stored, it is read three times.
+    """
+    buckets = buckets or bucket_count(df)
+    hit = F.col(label).cast("bigint") if label else F.lit(0).cast("bigint")
+    base = df.select(F.col(group).alias("model"), hit.alias("_hit"), _clean(score).alias("threshold")).filter(
+        F.col("threshold").isNotNull())
+    edges = base.approxQuantile("threshold", [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))
+    placed = _bucketize(base, "threshold", edges, "_slot").withColumn("_slot", F.col("_slot") * (-1 if descending else 1))
+    return _running(placed.groupBy("model", "_slot", "threshold").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_hit").alias("pos")), descending)
+
+
 def cumulative_by_score(df: DataFrame, score: str, label: str | None = None, descending: bool = True,
                         buckets: int | None = None) -> DataFrame:
     """:func:`cumulative_by_scores` for one score column."""

@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from leadloom.models import folds, learners, selection
@@ -86,6 +87,35 @@ def test_importance_finds_the_strong_feature(data):
     assert abs({r["feature"]: r["importance"] for r in found}["noise"]) < 0.02
 
 
+def test_features_are_ranked_where_no_ranking_is_given(data):
+    given = selection.rfe_rank(data, FEATURES, "y", step=1, keep=1, trees=5, depth=4)
+    by_given = selection.select_features(data, FEATURES, "y", 1, ranking=given, check=["noise", "strong"])
+    computed = selection.select_features(data, FEATURES, "y", 1, check=["noise", "strong"], trees=5, depth=4)
+    assert computed == by_given == selection.Selected(["strong"], ["strong"], ["noise"])
+
+
+def test_areas_of_groups_in_rows_equal_those_of_columns(data, spark):
+    scores = data.select("y", *[(F.col(f) * 1).alias(f) for f in FEATURES])
+    by_column = {r["model"]: r["roc_auc"] for r in metrics.roc_auc_of(scores, {f: f for f in FEATURES}, "y").collect()}
+    rows = scores.select("y", F.inline(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).cast("double").alias("s")) for f in FEATURES])))
+    by_row = {r["model"]: r["roc_auc"] for r in metrics.roc_auc_by(rows, "f", "s", "y").collect()}
+    assert by_row == pytest.approx(by_column)
+
+
+def test_importance_of_many_features_by_one_transform(data):
+    """300 features: the plan does not grow with them, and the strong one stands out."""
+    wide = data.select("k", "y", *[(F.col("strong") if i == 7 else F.rand(i)).alias(f"x{i}") for i in range(300)])
+    names = [f"x{i}" for i in range(300)]
+
+    class OneFeature:
+        def predict_vectors(self, df, score, prediction):
+            return df.select(*df.columns, vector_to_array(learners.FEATURES)[7].alias(score), F.lit(0).alias(prediction))
+
+    found = selection.permutation_importance(OneFeature(), wide, names, "y", "k").collect()
+    assert found[0]["feature"] == "x7" and found[0]["importance"] > 0.2
+    assert all(r["importance"] == 0 for r in found[1:])
+
+
 def test_auto_fit_stacks_and_ranks(data, spark):
     model = auto_fit(data, FEATURES, "y", "k", ("forest_small", "logit"), cv=2, max_fits=8)
     board = model.leaderboard(data).toPandas()
