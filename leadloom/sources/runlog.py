@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from leadloom.sources.store import Store
 
@@ -67,3 +68,11 @@ class RunLog:
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[table]).parquet(f"{self.root.rstrip('/')}/{table}")
+
+    def get_params(self, run_id: str) -> dict[str, str]:
+        """What one run logged as parameters, a few short strings."""
+        return {r["key"]: r["value"] for r in self.read("params").filter(F.col("run_id") == run_id).collect()}
+
+    def get_model(self, run_id: str, name: str) -> tuple[PipelineModel, list[str]]:
+        """A model that a run logged, and the features it reads."""
+        return Store(self.spark, self.root).get_model(self.get_params(run_id)[f"model.{name}"])
