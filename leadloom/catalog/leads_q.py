@@ -460,12 +460,30 @@ def o1_one_limit(src: Source) -> DataFrame:
 TIGHT = {"maturity": (0, 100), "hnw": (50, 60), "fpp": (0, 120)}
 
 
-@query("o1_allocate_tight")
+@query("o1_allocate_tight", f"""
+WITH {sqlf.ALLOCATION},
+wanted AS (SELECT usecase, count(*) AS n FROM ev WHERE customerseqid IN (SELECT customerseqid FROM chosen) GROUP BY usecase)
+SELECT count(*) AS customers, round(sum(expected_value + affinity), 6) AS best_without_limits, 0 AS several, 0 AS outside_limits,
+  CASE WHEN (SELECT coalesce(sum(n), 0) FROM wanted WHERE usecase = 'hnw') >= 50 THEN 'optimal' ELSE 'infeasible' END AS status,
+  0 AS above_best, 0 AS repeated_differs FROM chosen""")
 def o1_tight(src: Source) -> DataFrame:
-    """Limits that bind: prices and repair. Checked by rule counts and a bound in the tests."""
+    """Limits of three use cases that bind: kept, and the value reaches the bound that prices give without the allocation."""
     leads, d = leads_and_domains(src)
     helpers = build_helpers(leads, d, src("cust_master"), src("agent_master"))
-    return al.allocate(helpers.options, al.Limits(TIGHT))
+    options, limits = cut_lineage(helpers.options), al.Limits(TIGHT)
+    free, chosen = cut_lineage(al.allocate(options)), cut_lineage(al.allocate(options, limits))
+    status = al.allocation_status(options, chosen, limits).first()
+    best = free.agg(F.count(F.lit(1)).alias("customers"), F.round(F.sum(F.col("expected_value") + F.col("affinity")), 6).alias("v"))
+    counts = {r[P]: r["n"] for r in chosen.groupBy(P).agg(F.count(F.lit(1)).alias("n")).collect()}
+    met = status["status"] != "infeasible"
+    outside = sum(not low <= counts.get(u, 0) <= high for u, (low, high) in TIGHT.items()) if met else chosen.count()
+    several = chosen.groupBy(C).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").count()
+    again = al.allocate(options, limits)
+    differs = chosen.exceptAll(again).count()
+    return best.select("customers", F.col("v").alias("best_without_limits"), F.lit(several).cast("int").alias("several"),
+                       F.lit(outside).cast("int").alias("outside_limits"), F.lit(status["status"]).alias("status"),
+                       F.when(F.lit(status["value"]) > F.col("v") + 1e-6, 1).otherwise(0).alias("above_best"),
+                       F.lit(differs).cast("int").alias("repeated_differs"))
 
 
 @query("a19_expected_total", f"""
@@ -596,3 +614,29 @@ def o5(src: Source) -> DataFrame:
     capacity = {"rfs": 40, "agency": 100}
     made = run(src, capacity)
     return al.check_warming(cut_lineage(made.result), made.candidates, made.domains, src("agent_warming"), capacity)
+
+
+@query("o5_check_broken", f"""
+WITH {sqlf.ALLOCATION},
+warmed AS (SELECT customerseqid, agentseqid, usecase FROM chosen WHERE customerseqid % 2 = 0
+  UNION ALL SELECT customerseqid, agentseqid, usecase FROM chosen WHERE customerseqid % 6 = 0),
+channels AS (SELECT DISTINCT agentseqid, channel FROM leads_master WHERE channel <> 'orphan'),
+per_channel AS (SELECT channel, count(*) AS n FROM warmed JOIN channels USING (agentseqid) GROUP BY channel),
+due AS (SELECT agentseqid, count(*) AS n FROM chosen WHERE agentseqid IN (SELECT agentseqid FROM agent_warming WHERE compulsory)
+  GROUP BY agentseqid),
+done AS (SELECT agentseqid, count(*) AS n FROM warmed GROUP BY agentseqid)
+SELECT 'one_per_customer' AS rule, (SELECT count(*) FROM (SELECT customerseqid FROM warmed GROUP BY 1 HAVING count(*) > 1)) AS violations
+UNION ALL SELECT 'channel_cap', (SELECT count(*) FROM per_channel WHERE channel IN ('rfs', 'agency') AND n > 1)
+UNION ALL SELECT 'opted_out', (SELECT count(*) FROM warmed WHERE agentseqid IN (SELECT agentseqid FROM agent_warming WHERE opt_out))
+UNION ALL SELECT 'compulsory', (SELECT count(*) FROM due LEFT JOIN done USING (agentseqid) WHERE coalesce(done.n, 0) < due.n)
+UNION ALL SELECT 'warm_customers', (SELECT count(*) FROM warmed WHERE customerseqid NOT IN
+  (SELECT customerseqid FROM leads_master WHERE customertype = 'fullyorphan' OR underservedflag = 'Y'))""")
+def o5_broken(src: Source) -> DataFrame:
+    """A warming plan that breaks the rules: every other customer, some of them twice, whoever the agent is."""
+    leads, d = leads_and_domains(src)
+    helpers = build_helpers(leads, d, src("cust_master"), src("agent_master"))
+    chosen = cut_lineage(al.allocate(helpers.options, default_limits()))
+    warmed = chosen.filter(F.col(C) % 2 == 0).unionByName(chosen.filter(F.col(C) % 6 == 0)).withColumn("warming", F.lit(1))
+    agents = src("agent_warming")
+    due = chosen.join(agents.filter("compulsory").select(A, "compulsory"), A)
+    return al.check_warming(cut_lineage(warmed), due, d, agents, {"rfs": 1, "agency": 1})

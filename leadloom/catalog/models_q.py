@@ -315,4 +315,4 @@ def m28(src: Source) -> DataFrame:
     return result.comparison.select(
         "model_name", F.col("top_n").cast("int").alias("top_n"), shares.alias("shares"),
         holds(F.lit(result.best == best)).alias("best_named"), F.lit(leads["n"]).alias("n_leads"),
-        holds(F.lit(1 <= leads["low"] <= leads["high"] <= 100)).alias("percentiles"))
+        holds(F.lit(leads["n"] == 0 or 1 <= leads["low"] <= leads["high"] <= 100)).alias("percentiles"))

@@ -13,6 +13,8 @@ from check import table
 
 SF_DIR = "/root/testdata/sf0.001"
 ORACLES = oracle_sql()
+#: Whole searches and full runs of minutes each; check.py compares them.
+LONG = {"m22_auto_fit", "m23_predict", "m24_leaderboard", "m28_train_score"}
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +34,7 @@ def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - LONG))
 def test_query_equals_its_sql(spark, duck, name):
     df = queries()[name](spark, SF_DIR)
     ours = table(df.columns, [tuple(r) for r in df.collect()])
