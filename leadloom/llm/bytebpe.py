@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadloom.llm.common import ship_package
+from leadloom.llm.common import held, ship_package
 
 #: Entries a memo may hold before it starts anew; they only save time.
 PIECES, PAIRS = 300_000, 300_000
@@ -154,16 +154,13 @@ class Decoder:
     decode = Codec.decode
 
 
-_CODECS: dict[tuple, Codec | Decoder] = {}
-
-
 def _codec(kind: type, data: bytes, digest: str, pattern: str) -> Codec | Decoder:
     """One codec per worker and vocabulary; workers are used for many tasks."""
-    key = (kind, digest, pattern)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = kind(load_ranks(data), pattern)
-    return _CODECS[key]
+    kept, key = held("bytebpe"), (kind, digest, pattern)
+    if key not in kept:
+        kept.clear()
+        kept[key] = kind(load_ranks(data), pattern)
+    return kept[key]
 
 
 def read_ranks(spark: SparkSession, path: str) -> bytes:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,6 +39,27 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+_HELD: dict[str, dict] = {}
+
+
+def held(owner: str) -> dict:
+    """What one operator keeps in this Python worker from task to task.
+
+    Spark uses workers again for later stages, so a task of another operator first drops what the others keep and hands
+    free memory back to the system. Every task of the text operators asks for its own, also those that keep nothing.
+    """
+    others = [name for name in _HELD if name != owner]
+    for name in others:
+        del _HELD[name]
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+    return _HELD.setdefault(owner, {})
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

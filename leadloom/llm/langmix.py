@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadloom.llm.bytebpe import _slices
-from leadloom.llm.common import ship_package
+from leadloom.llm.common import held, ship_package
 
 #: Hash values an n-gram can have; a model is a table of that many rows and a column per language.
 SLOTS = 1 << 16
@@ -57,6 +57,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", tempered: float
         F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
 
     def count(batches):
+        held("langmix")
         sums: dict[str, np.ndarray] = {}
         seen: dict[str, int] = {}
         for whole in batches:
@@ -193,6 +194,7 @@ def predict(docs: DataFrame, model: dict, text: str = "text", out: str = "lang_p
     shared = docs.sparkSession.sparkContext.broadcast(model)  # SLOTS rows, a column per language
 
     def run(batches):
+        held("langmix")
         for whole in batches:
             for batch in _slices(whole, 1_000_000, text):
                 pred, score = infer(batch.column(text).to_pylist(), shared.value)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.llm.bytebpe import _slices
-from leadloom.llm.common import WORD, components, ship_package
+from leadloom.llm.common import WORD, components, held, ship_package
 from leadloom.llm.shingles import mix, shingle_sets
 from leadloom.session import cut_lineage
 
@@ -152,11 +152,13 @@ def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> Da
                          F.col(f"`{text}`").alias("text"))
 
     def signed(batches):
+        held("minmax")
         for whole in batches:
             for batch in _slices(whole, 2_000_000, "text"):
                 yield _rows(batch, k, False)
 
     def full(batches):
+        held("minmax")
         for whole in batches:
             for batch in _slices(whole, 2_000_000, "text"):
                 yield _rows(batch, k, True)

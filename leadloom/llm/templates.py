@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from leadloom.llm import minmax
 from leadloom.llm.bytebpe import _slices
-from leadloom.llm.common import ship_package
+from leadloom.llm.common import held, ship_package
 from leadloom.llm.shingles import _POWERS, mix, word_spans
 from leadloom.session import cut_lineage
 
@@ -94,6 +94,7 @@ def _parsed(docs: DataFrame, text: str, wanted=None) -> DataFrame:
     rows = docs.select(F.xxhash64(f"`{text}`").alias("tid"), F.col(f"`{text}`").alias("text")).filter("text is not null")
 
     def run(batches):
+        held("templates")
         for whole in batches:
             for batch in _slices(whole, 1_000_000, "text"):
                 yield _lines(batch, None if wanted is None else wanted.value)
