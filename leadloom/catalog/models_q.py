@@ -311,8 +311,10 @@ def m28(src: Source) -> DataFrame:
     result = train_score(src("panel"), config, Store(src.spark, fresh_path(src.spark, "store")))
     leads = result.leads.agg(F.count(F.lit(1)).alias("n"), F.min("percentile").alias("low"), F.max("percentile").alias("high")).first()
     best = metrics.best_model(result.comparison, config.reference_percentile).first()["model_name"]
-    shares = holds(F.col("hit_rate").between(0, 1) & F.col("coverage").between(0, 1) & (F.col("lift") >= 0))
+    # A rate is null where its rows are missing, as on very small tables.
+    rates = [F.col("hit_rate").between(0, 1), F.col("coverage").between(0, 1), F.col("lift") >= 0]
+    shares = holds(F.forall(F.array(*rates), lambda x: F.coalesce(x, F.lit(True))))
     return result.comparison.select(
         "model_name", F.col("top_n").cast("int").alias("top_n"), shares.alias("shares"),
         holds(F.lit(result.best == best)).alias("best_named"), F.lit(leads["n"]).alias("n_leads"),
-        holds(F.lit(leads["n"] == 0 or 1 <= leads["low"] <= leads["high"] <= 100)).alias("percentiles"))
+        holds(F.lit(leads["low"] is None or 1 <= leads["low"] <= leads["high"] <= 100)).alias("percentiles"))
