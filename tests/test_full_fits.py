@@ -31,7 +31,8 @@ def asked(monkeypatch):
         monkeypatch.setattr(models_q, "fresh_path", lambda *_: "")
         monkeypatch.setattr(models_q, "Store", lambda *_: None)
         monkeypatch.setattr(owner, name, stop)
-        source = type("Source", (), {"spark": None, "__call__": lambda *_: None})()
+        session = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="none"))
+        source = type("Source", (), {"spark": session, "sf_dir": "", "__call__": lambda *_: None})()
         with pytest.raises(Asked) as caught:
             query(source)
         return caught.value.args[0]
