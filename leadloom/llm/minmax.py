@@ -33,19 +33,23 @@ PARITY = 4096
 HUB_ROUNDS = 3
 
 _RANDOM = np.random.default_rng(7)
-_MULTIPLY = _RANDOM.integers(0, 2**63, BANDS * ROWS // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _RANDOM.integers(0, 2**64, BANDS * ROWS // 2, dtype=np.uint64)
+_MULTIPLY = _RANDOM.integers(0, 2**31, BANDS * ROWS // 2, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_ADD = _RANDOM.integers(0, 2**32, BANDS * ROWS // 2, dtype=np.uint32)
 _BAND_SEED = _RANDOM.integers(0, 2**64, BANDS, dtype=np.uint64)
 
 
-def signature(items: np.ndarray, block: int = 20_000) -> np.ndarray:
-    """Minimum and maximum of every hash function over the items, side by side."""
+def signature(items: np.ndarray, block: int = 512) -> np.ndarray:
+    """Minimum and maximum of every hash function over the items, side by side.
+
+    The functions work on 32 bits of the items, which only proposes a few more pairs; a block stays in the cache.
+    """
     low = high = None
+    items = mix(items).astype(np.uint32)
     for at in range(0, len(items), block):
         values = items[at:at + block, None] * _MULTIPLY + _ADD
         lo, hi = values.min(axis=0), values.max(axis=0)
         low, high = (lo, hi) if low is None else (np.minimum(low, lo), np.maximum(high, hi))
-    return np.stack([low, high], axis=1).ravel()
+    return np.stack([low, high], axis=1).ravel().astype(np.uint64)
 
 
 def band_keys(values: np.ndarray) -> np.ndarray:
