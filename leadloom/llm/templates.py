@@ -36,6 +36,8 @@ PASSAGE = NEED // 2
 RECURRING = 0.5
 #: Bits of the map of leaves that tasks get, 2 MB at any size of the corpus; a full map only lets more lines through.
 SLOTS = 1 << 24
+#: Tokens of a leaf up to which one task generalises its lines; the lines of larger leaves are summed place by place.
+LEAF = 1 << 20
 
 
 def _lines(batch: pa.RecordBatch, wanted: np.ndarray | None) -> pa.RecordBatch:
@@ -156,6 +158,70 @@ def passages(lines: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "tid long, key long, first int, last int").distinct()
 
 
+def _general(leaf: np.ndarray, sizes: np.ndarray, toks: np.ndarray) -> pa.Array:
+    """The template of every line of whole leaves, or null; lines come in the order of ``leaf``, ``toks`` line by line."""
+    heads = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+    place = np.arange(len(toks)) - np.repeat(heads, sizes)
+    first = np.flatnonzero(np.concatenate([[True], leaf[1:] != leaf[:-1]]))
+    number = np.searchsorted(first, np.arange(len(leaf)), side="right") - 1
+    lines = np.diff(np.append(first, len(leaf)))
+    slots = np.concatenate([[0], np.cumsum(np.maximum.reduceat(sizes, first))[:-1]])
+    keys = ((np.repeat(slots[number], sizes) + place) << 32) | toks
+    _, at, seen = np.unique(keys, return_inverse=True, return_counts=True)
+    constant = (seen[at] >= CONSTANT * np.repeat(lines[number], sizes)) & (toks != 0)
+    marks = mix(np.where(constant, toks, 0).astype(np.uint64) ^ mix(place.astype(np.uint64) + np.uint64(1)))
+    marks = mix(np.add.reduceat(marks, heads) ^ mix(leaf.view(np.uint64))).view(np.int64)
+    return pa.array(marks, mask=np.add.reduceat(constant.astype(np.int64), heads) < KEPT * sizes)
+
+
+def _small_leaves(met: DataFrame) -> DataFrame:
+    """Rows (tid, pos, ord, lh, n, template) of the lines of leaves of up to ``LEAF`` tokens."""
+    names = ["tid", "pos", "ord", "lh", "n", "leaf", "toks"]
+
+    def rows(part: pa.Table) -> pa.RecordBatch:
+        part = part.combine_chunks().to_batches()[0]
+        sizes = part.column("n").to_numpy().astype(np.int64)
+        toks = part.column("toks").flatten().to_numpy().astype(np.int64)
+        template = _general(part.column("leaf").to_numpy(), sizes, toks)
+        return pa.RecordBatch.from_arrays([*[part.column(c) for c in names[:5]], template], names=[*names[:5], "template"])
+
+    def run(batches):
+        held("templates")
+        rest = None
+        for batch in batches:
+            rest = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            if not len(rest):
+                continue
+            leaf, sizes = rest.column("leaf").to_numpy(), rest.column("n").to_numpy()
+            # Whole leaves, about LEAF tokens at a time; the last leaf of a batch may go on in the next one.
+            begins = np.flatnonzero(np.concatenate([[True], leaf[1:] != leaf[:-1]]))
+            portion = (np.cumsum(sizes, dtype=np.int64) // LEAF)[begins]
+            cuts = np.unique(np.append(begins[np.concatenate([[True], portion[1:] != portion[:-1]])], begins[-1]))
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                yield rows(rest.slice(low, high - low))
+            rest = rest.slice(cuts[-1])
+        if rest is not None and len(rest):
+            yield rows(rest)
+
+    return (met.select(*names).repartition("leaf").sortWithinPartitions("leaf")
+            .mapInArrow(run, "tid long, pos int, ord int, lh long, n int, template long"))
+
+
+def _large_leaves(met: DataFrame) -> DataFrame:
+    """The same rows for leaves of any size: tokens are counted by place, and each line meets what stays of its leaf."""
+    places = met.select("leaf", F.posexplode("toks").alias("p", "tok")).groupBy("leaf", "p", "tok").agg(F.count("*").alias("c"))
+    sizes = met.groupBy("leaf").agg(F.count("*").alias("lines"))
+    kept = F.collect_list(F.when((F.col("c") >= CONSTANT * F.col("lines")) & (F.col("tok") != 0), F.col("tok")))
+    profile = (places.join(sizes, "leaf").groupBy("leaf", "p").agg(kept.alias("own"))
+               .groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("p", "own")))["own"].alias("profile")))
+    profile = cut_lineage(profile)
+    general = F.transform("toks", lambda t, i: F.when(F.array_contains(F.get("profile", i), t), t).otherwise(F.lit(0)))
+    found = met.join(profile, "leaf").withColumn("general", general)
+    constant = F.size(F.filter("general", lambda t: t != 0))
+    template = F.when(constant >= KEPT * F.col("n"), F.xxhash64("leaf", "general"))
+    return found.select("tid", "pos", "ord", "lh", "n", template.alias("template"))
+
+
 def copy_groups(docs: DataFrame, tids: DataFrame, text: str) -> DataFrame:
     """Rows (tid, voter) for the texts in ``tids``: near copies among them have the same voter."""
     rows = docs.select(F.xxhash64(f"`{text}`").alias("tid"), F.col(f"`{text}`").alias("text")).filter("text is not null")
@@ -168,21 +234,15 @@ def recurring_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     ship_package(docs.sparkSession)
     lines = _parsed(docs, text)
     # A leaf matters if two different texts reach it; least and greatest tell that without a list.
-    leaves = cut_lineage(lines.groupBy("leaf").agg(F.min("tid").alias("a"), F.max("tid").alias("b"))
-                         .filter("a <> b").select("leaf"))
+    leaves = cut_lineage(lines.groupBy("leaf").agg(F.min("tid").alias("a"), F.max("tid").alias("b"), F.sum("n").alias("tokens"))
+                         .filter("a <> b").select("leaf", "tokens"))
     wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(leaves, "leaf"))  # SLOTS bits
-    met = cut_lineage(_parsed(docs, text, wanted).join(leaves.hint("merge"), "leaf", "left_semi").dropDuplicates(["tid", "pos"]))
-    places = met.select("leaf", F.posexplode("toks").alias("p", "tok")).groupBy("leaf", "p", "tok").agg(F.count("*").alias("c"))
-    sizes = met.groupBy("leaf").agg(F.count("*").alias("lines"))
-    kept = F.collect_list(F.when((F.col("c") >= CONSTANT * F.col("lines")) & (F.col("tok") != 0), F.col("tok")))
-    profile = (places.join(sizes, "leaf").groupBy("leaf", "p").agg(kept.alias("own"))
-               .groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("p", "own")))["own"].alias("profile")))
-    profile = cut_lineage(profile)
-    general = F.transform("toks", lambda t, i: F.when(F.array_contains(F.get("profile", i), t), t).otherwise(F.lit(0)))
-    found = met.join(profile, "leaf").withColumn("general", general)
-    constant = F.size(F.filter("general", lambda t: t != 0))
-    template = F.when(constant >= KEPT * F.col("n"), F.xxhash64("leaf", "general"))
-    found = cut_lineage(found.select("tid", "pos", "ord", "lh", "n", template.alias("template")))
+    met = cut_lineage(_parsed(docs, text, wanted).join(leaves.hint("merge"), "leaf").dropDuplicates(["tid", "pos"]))
+    large = met.filter(F.col("tokens") > LEAF)
+    found = _small_leaves(met.filter(F.col("tokens") <= LEAF))
+    if not large.isEmpty():
+        found = found.unionByName(_large_leaves(large))
+    found = cut_lineage(found)
 
     keys = found.select("tid", "pos", "ord", "n", F.explode(F.array_compact(F.array("lh", "template"))).alias("key"))
     shared = keys.groupBy("key").agg(F.min("tid").alias("a"), F.max("tid").alias("b")).filter("a <> b").select("key")
@@ -215,17 +275,20 @@ def drop_recurring(docs: DataFrame, text: str = "text", dropped: str | None = No
     then empty. Null texts stay null, empty lines stay, and a table without rows gives none. Equal texts lose equal
     lines; a text counts once however many rows have it. Whole texts are parsed, also very long ones.
     """
-    lost = recurring_lines(docs, text).groupBy("tid").agg(F.collect_list("pos").alias("__lost"))
+    lost = recurring_lines(docs, text).groupBy("tid").agg(F.array_sort(F.collect_list("pos")).alias("lost"))
     lost = cut_lineage(lost)
-    columns = [c for c in docs.columns if not dropped or c.lower() != dropped.lower()]
-
-    def rest(lines: Column) -> Column:
-        return F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("__lost", i)), "\n")
-
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns], F.xxhash64(text).alias("__tid"))
-    rows = rows.join(lost.withColumnRenamed("tid", "__tid").hint("merge"), "__tid", "left")
-    kept = F.when(F.col("__lost").isNull(), F.col(f"`{text}`")).otherwise(rest(F.split(f"`{text}`", "\n")))
-    out = [kept.alias(c) if c == text else F.col(f"`{c}`") for c in columns]
+    # The caller's columns go by number, so that no name clashes with a working column.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*names)
+    own = F.col(names[docs.columns.index(text)])
+    rows = rows.withColumn("tid", F.xxhash64(own)).join(lost.hint("merge"), "tid", "left")
+    rows = rows.withColumn("lines", F.when(F.col("lost").isNotNull(), F.split(own, "\n")))
+    # The lines between one lost line and the next are taken as a whole.
+    between = F.transform(F.concat(F.array(F.lit(-1)), "lost"), lambda p, i: F.slice(
+        "lines", p + 2, F.coalesce(F.get("lost", i), F.size("lines")) - p - 1))
+    kept = F.when(F.col("lost").isNull(), own).otherwise(F.array_join(F.flatten(between), "\n"))
+    out = [(kept if c == text else F.col(n)).alias(c) for n, c in zip(names, docs.columns)
+           if not dropped or c.lower() != dropped.lower()]
     if dropped:
-        out.append(F.greatest(F.size("__lost"), F.lit(0)).cast("long").alias(dropped))
+        out.append(F.greatest(F.size("lost"), F.lit(0)).cast("long").alias(dropped))
     return rows.select(*out)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+from leadloom.llm import templates
 from leadloom.llm.templates import drop_recurring
 
 
@@ -56,3 +57,26 @@ def test_lines_of_a_passage_in_another_order_are_no_passage(spark):
     lines = [words(draw, 10) for _ in range(6)]
     texts = [f"{words(draw, 90)}\n" + "\n".join(order) for order in (lines, lines[::-1])]
     assert left(spark, texts) == texts
+
+
+def test_large_leaves_give_what_small_ones_give(spark, monkeypatch):
+    draw = random.Random(6)
+    kinds = [words(draw, 9).split(" ") for _ in range(4)]
+    texts = ["\n".join(" ".join([*k[:4], draw.choice("abc"), *k[4:], str(draw.randrange(99))]) for k in draw.sample(kinds, 3))
+             + "\n" + words(draw, 30) for _ in range(40)]
+    small = left(spark, texts)
+    assert small != texts and all(small)
+    monkeypatch.setattr(templates, "LEAF", 0)
+    assert left(spark, texts) == small
+
+
+def test_columns_named_like_working_ones_and_long_texts_stay(spark):
+    draw = random.Random(7)
+    line = words(draw, 50)
+    own = [words(draw, 30) for _ in range(3)]
+    long = "\n".join([line, *own] * 3000)
+    rows = [(1, long, "x", [1], 7), (2, f"{line}\n{words(draw, 90)}", "y", None, 8), (3, None, "z", [], 9)]
+    df = spark.createDataFrame(rows, "doc_id long, `a.text` string, tid string, lost array<int>, `__lost` int")
+    got = drop_recurring(df, "a.text", dropped="gone").orderBy("doc_id").collect()
+    assert got[0].asDict() == {"doc_id": 1, "a.text": "\n".join(own * 3000), "tid": "x", "lost": [1], "__lost": 7, "gone": 3000}
+    assert [(r["tid"], r["lost"], r["__lost"], r["gone"]) for r in got[1:]] == [("y", None, 8, 1), ("z", [], 9, 0)]
