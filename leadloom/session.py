@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -73,6 +74,30 @@ def remove_paths(spark: SparkSession, paths: list[str]) -> None:
             MADE_PATHS.remove(path)
 
 
+def publish_folder(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename the written folder ``source`` to ``target`` in one step; False, and no change, if ``target`` is there already.
+
+    Of writers that race for one target one is told True. A marker in the folder tells whose it is, since some file
+    systems answer a lost race with a copy inside the target; the copy is hidden and is deleted again.
+    """
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path
+    old, new, mark = place(source), place(target), f"_writer-{uuid.uuid4().hex}"
+    files = old.getFileSystem(settings)
+    files.create(place(old, mark)).close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(old.toUri(), settings).rename(old, new, options)
+    except Py4JJavaError:
+        if not files.exists(new):
+            raise
+    if files.exists(place(new, mark)):
+        return True
+    files.delete(place(new, old.getName()), True)
+    files.delete(old, True)
+    return False
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it from there on.
 
