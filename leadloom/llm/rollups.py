@@ -2,16 +2,20 @@
 
 A batch of changes (inserts, deletes, revised counts) is turned into signed rows, summed by source, language and
 tokenizer version, and added to the totals. Nothing but the batch and the totals is read: the cost follows the change, not
-the corpus. A batch is committed once: its sums and the new totals are one written table whose name is the number of the
-version, and the version names the batches it holds, so a batch that is sent again changes nothing.
+the corpus. A batch is committed once: the new totals are written to a folder of their own, which is then renamed to the number
+of the version in one step. The version names the batches it holds, a row each, so a batch that is sent again changes nothing.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadloom.session import publish_folder
+
 KEYS = ["source", "lang", "tokenizer"]
 TOTALS = "source string, lang string, tokenizer string, docs long, tokens long, batches array<string>, is_log boolean"
 
@@ -39,8 +43,8 @@ def signed(changes: DataFrame) -> DataFrame:
 class Rollup:
     """Totals by source, language and tokenizer version below ``path``, one folder per version.
 
-    A version is complete once Spark's writer has marked it; a write that broke off is written anew. One writer at a
-    time: two that race for the same version fail instead of losing a batch.
+    A version appears whole or not at all: a write that broke off leaves a hidden folder that nothing reads. Of writers that
+    race for a version one wins; the others read the new totals and try again, so each batch is counted once.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -67,28 +71,41 @@ class Rollup:
         return low
 
     def batches(self) -> list[str]:
-        """Names of the committed batches, a short string each."""
+        """Names of the committed batches in order, a short string each."""
         version = self.version()
         if not version:
             return []
-        return [b for row in self._at(version).filter("is_log").select("batches").collect() for b in row[0]]
+        return [b for row in self._at(version).filter("is_log").orderBy("docs").select("batches").collect() for b in row[0]]
 
     def totals(self) -> DataFrame:
         """Rows (source, lang, tokenizer, docs, tokens); groups whose counts are all zero are left out."""
-        version = self.version()
+        return self._totals(self.version())
+
+    def _totals(self, version: int) -> DataFrame:
         if not version:
             return self.spark.createDataFrame([], TOTALS).select(*KEYS, "docs", "tokens")
         return self._at(version).filter("not is_log and (docs <> 0 or tokens <> 0)").select(*KEYS, "docs", "tokens")
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add a batch; False, and no change, if a batch of that name is already in."""
-        done, version = self.batches(), self.version()
-        if batch in done:
-            return False
+        while not (done := self._holds(batch, version := self.version())):
+            if self._publish(batch, changes, version):
+                break
+        return not done
+
+    def _holds(self, batch: str, version: int) -> bool:
+        return bool(version) and not self._at(version).filter("is_log").filter(
+            F.array_contains("batches", F.lit(batch))).isEmpty()
+
+    def _publish(self, batch: str, changes: DataFrame, version: int) -> bool:
+        """Write the version after ``version``; False if another writer was first. The log's docs are version numbers."""
         delta = signed(changes).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-        totals = self.totals().unionByName(delta).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-        totals = totals.select("*", F.lit(None).cast("array<string>").alias("batches"), F.lit(False).alias("is_log"))
-        log = self.spark.createDataFrame([(None, None, None, 0, 0, [*done, batch], True)], TOTALS)
-        target = f"{self.path}/{version + 1:08d}"
-        totals.unionByName(log).write.mode("error" if self._at(version + 1) is not None else "overwrite").parquet(target)
-        return True
+        totals = self._totals(version).unionByName(delta).groupBy(*KEYS).agg(
+            F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+        rows = totals.select("*", F.lit(None).cast("array<string>").alias("batches"), F.lit(False).alias("is_log"))
+        if version:
+            rows = rows.unionByName(self._at(version).filter("is_log"))
+        rows = rows.unionByName(self.spark.createDataFrame([(None, None, None, version + 1, 0, [batch], True)], TOTALS))
+        own = f"{self.path}/.write-{uuid.uuid4().hex}"
+        rows.write.parquet(own)
+        return publish_folder(self.spark, own, f"{self.path}/{version + 1:08d}")
