@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -391,7 +390,5 @@ SELECT CAST(o_custkey AS VARCHAR) AS level, count(*) AS n FROM orders GROUP BY o
 def p15_wide(src: Source) -> DataFrame:
     """A column of thousands of levels as one sparse vector; rows per level."""
     keyed = src("orders").select(F.col("o_custkey").cast("string").alias("customer"))
-    encoded, levels = cols.one_hot_sparse(keyed, "customer", "v")
-    sums = encoded.select(Summarizer.sum(F.col("v")).alias("sums")).first()["sums"].toArray()
-    rows = [(level, int(n)) for level, n in zip(levels, sums)]
-    return src.spark.createDataFrame(rows, "level string, n long")
+    vocabulary = cols.Vocabulary.fit(keyed, "customer")
+    return vocabulary.totals(vocabulary.transform(keyed, "v"), "v")

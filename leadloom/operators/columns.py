@@ -8,13 +8,15 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadloom.functions import names
 from leadloom.functions.scalars import flag, one_value
+from leadloom.session import cut_lineage
 
 # Text that stands for a missing value.
 TEXT_SENTINELS = ("NA", "NaN", "others", "missing")
@@ -172,24 +174,38 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None) -> DataFram
 def low_cardinality(df: DataFrame, columns: list[str], limit: int) -> dict[str, int]:
     """Exact distinct counts of the columns that have at most ``limit`` values.
 
-    All columns are counted exactly, by their distinct (column, value) pairs, which tasks reduce before they are
-    shuffled.
+    A sketch of the least hashes per column first finds the columns that may qualify. It is exact up to its size, which
+    is above the limit, and its size does not grow with the values. Only the (column, value) pairs of those columns are
+    counted then, so what is shuffled is bounded by columns x limit for each task.
     """
-    if not columns:
+    near = few_values(df, columns, limit)
+    if not near:
         return {}
-    values = F.array(*[F.struct(F.lit(c).alias("column"), _clean_float(df, c).cast("string").alias("value")) for c in columns])
+    values = F.array(*[F.struct(F.lit(c).alias("column"), _clean_float(df, c).cast("string").alias("value")) for c in near])
     pairs = df.select(F.explode(values).alias("p")).select("p.*").filter(F.col("value").isNotNull()).distinct()
-    counted = pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= limit).collect()
-    found = {r["column"]: r["n"] for r in counted}
-    return {c: found.get(c, 0) for c in columns if c in found} | _empty_columns(df, [c for c in columns if c not in found])
+    counted = pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()
+    # A column of nulls alone has no pair.
+    found = dict.fromkeys(near, 0) | {r["column"]: r["n"] for r in counted}
+    return {c: n for c, n in found.items() if n <= limit}
 
 
-def _empty_columns(df: DataFrame, columns: list[str]) -> dict[str, int]:
-    """Columns without any value, with the count 0."""
-    if not columns:
-        return {}
-    found = one_row(df, [F.count(_clean_float(df, c)).alias(c) for c in columns])
-    return {c: 0 for c in columns if not found[c]}
+#: Least and greatest size of a sketch, as powers of 2.
+SKETCH_SIZES = (4, 26)
+
+
+def few_values(df: DataFrame, columns: list[str], limit: int) -> list[str]:
+    """The columns with at most ``limit`` distinct values, by sketches; none of them is missed.
+
+    Where hashes of different values agree, or the limit is above the greatest sketch, a column with more values may be
+    among them.
+    """
+    size = max(SKETCH_SIZES[0], limit.bit_length())
+    if not columns or size > SKETCH_SIZES[1]:
+        return list(columns)
+    # The letter in front keeps empty texts, which sketches pass over.
+    sketches = [F.theta_sketch_agg(F.concat(F.lit("v"), _clean_float(df, c).cast("string")), size) for c in columns]
+    found = one_row(df, [F.theta_sketch_estimate(s).alias(f"c{i}") for i, s in enumerate(sketches)])
+    return [c for i, c in enumerate(columns) if (found[f"c{i}"] or 0) <= limit]
 
 
 def is_constant(df: DataFrame, name: str) -> Column:
@@ -276,15 +292,60 @@ class OneHot:
         return df.select(*[F.col(quoted(c)) for c in kept], *added)
 
 
+@dataclass(frozen=True)
+class Vocabulary:
+    """The levels of a column of any number of levels, as a table (level, place, n): places 0, 1, ... in the order of the
+    levels, and the rows of each. Only the number of levels is known to the driver.
+    """
+
+    column: str
+    levels: DataFrame
+    size: int
+
+    @classmethod
+    def fit(cls, df: DataFrame, column: str) -> Vocabulary:
+        """Levels go to ranges, which are stored; a level's place is the levels of earlier ranges and those before it."""
+        counted = df.select(F.col(quoted(column)).cast("string").alias("level")).filter("level IS NOT NULL").groupBy(
+            "level").agg(F.count(F.lit(1)).alias("n"))
+        dealt = cut_lineage(counted.repartitionByRange("level").withColumn("part", F.spark_partition_id()))
+        # One row per range.
+        earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("held")).select(
+            "part", "held", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("start"))
+        inside = F.row_number().over(Window.partitionBy("part").orderBy("level"))
+        placed = dealt.withColumn("inside", inside).join(starts, "part").select(
+            "level", (F.col("start") + F.col("inside") - 1).alias("place"), "n")
+        levels = cut_lineage(placed)
+        return cls(column, levels, levels.count())
+
+    def transform(self, df: DataFrame, out: str) -> DataFrame:
+        """Add the sparse 0/1 vector ``out``, one place longer than the levels: rows without a level that is known have
+        the last place. Columns of the names ``out``_level and ``out``_place must not be in ``df``."""
+        place, level = f"{out}_place", f"{out}_level"
+        known = self.levels.select(F.col("level").alias(level), F.col("place").cast("double").alias(place))
+        joined = df.join(known, F.col(quoted(self.column)).cast("string") == F.col(quoted(level)), "left").drop(level)
+        joined = joined.withColumn(place, F.coalesce(F.col(quoted(place)), F.lit(float(self.size))))
+        if not self.size:
+            return joined.withColumn(out, array_to_vector(F.array(F.lit(1.0)))).drop(place)
+        encoder = OneHotEncoder(inputCol=place, outputCol=out, dropLast=False, handleInvalid="keep").fit(known)
+        # The encoder names each place in the column's metadata, which would be as long as the levels.
+        return encoder.transform(joined).drop(place).withMetadata(out, {})
+
+    def totals(self, encoded: DataFrame, vector: str) -> DataFrame:
+        """Rows (level, n) of a table that holds vectors of this vocabulary; places are read from the vectors."""
+        held = F.explode(F.unwrap_udt(F.col(quoted(vector)))["indices"].cast("array<long>"))
+        counts = encoded.select(held.alias("place")).groupBy("place").agg(F.count(F.lit(1)).alias("n"))
+        return self.levels.select("level", "place").join(counts, "place").select("level", "n")
+
+
 def one_hot_sparse(df: DataFrame, column: str, out: str) -> tuple[DataFrame, list[str]]:
-    """A column of any number of levels as one sparse 0/1 vector ``out``, and the levels in the order of its places.
+    """A :class:`Vocabulary` vector ``out`` in place of a look-up, and the levels in the order of its places as a list.
 
-    Levels are in alphabetic order; rows without a level are given the last place, which belongs to none of them.
+    For columns whose levels the driver can hold; beyond that use the vocabulary itself.
     """
-    indexer = StringIndexer(inputCol=column, outputCol=f"{out}_index", stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
-    indexed = indexer.transform(df)
-    encoder = OneHotEncoder(inputCol=f"{out}_index", outputCol=out, dropLast=False).fit(indexed)
-    return encoder.transform(indexed).drop(f"{out}_index"), list(indexer.labels)
+    vocabulary = Vocabulary.fit(df, column)
+    levels = [r["level"] for r in vocabulary.levels.orderBy("place").select("level").collect()]
+    return vocabulary.transform(df, out), levels
 
 
 # Periods

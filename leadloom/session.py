@@ -74,6 +74,16 @@ def remove_paths(spark: SparkSession, paths: list[str]) -> None:
             MADE_PATHS.remove(path)
 
 
+def folder_numbers(spark: SparkSession, path: str) -> list[int]:
+    """The folders in ``path`` whose names are numbers, in ascending order; none if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    found = [s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()]
+    return sorted(int(name) for name in found if name.isdigit())
+
+
 def publish_folder(spark: SparkSession, source: str, target: str) -> bool:
     """Rename the written folder ``source`` to ``target`` in one step; False, and no change, if ``target`` is there already.
 
