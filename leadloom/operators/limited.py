@@ -4,14 +4,16 @@ Values are whole units, so equal values are equal. Customers with the same value
 has a price: customers choose what is worth most after prices, a limit that binds has a price above 0, a minimum that
 binds one below 0. The total of what customers get and limits cost is convex in the prices, and it can only be lowered by
 raising or lowering the prices of some set of use cases alike. Each round takes the set with the steepest fall, found
-from the number of customers per set of best choices, and moves its prices to where the fall ends, which is an order
-statistic of the classes' margins, found exactly from histograms. Where no set is left the prices are optimal.
+from the number of customers per set of best choices, and moves its prices by one step. The steps begin as wide as the
+values spread, with values rounded down to whole steps, and are halved once no set falls: halving shifts the best prices by
+a few steps only, so the rounds are a few per binary digit of the values, whatever the number of customers and limits. At
+the last width, that divides all values, nothing is rounded; where no set is left there the prices are optimal.
 
 Customers then differ only in which of their equally good choices they take: numbers per set of best choices flow to use
 cases such that each priced use case meets its limit, and the customers of a set are dealt by their key.
 
-A round is a map over the classes and small aggregates. The driver sees prices, at most 2 ** (limited use cases + 1)
-numbers of customers, and histograms.
+A round is a map over the classes and one small aggregate. The driver sees prices and at most 2 ** (limited use cases + 1)
+numbers of customers.
 """
 
 from __future__ import annotations
@@ -29,8 +31,6 @@ from leadloom.session import cut_lineage
 
 #: Units in one of value; values are compared to this precision.
 UNITS = 10 ** 9
-#: Buckets of a histogram.
-BUCKETS = 1024
 #: Sets of use cases are listed, so there may be only so many limited ones.
 MOST_LIMITED = 16
 
@@ -51,6 +51,10 @@ def _bits(mask: int) -> list[int]:
     return [i for i in range(mask.bit_length()) if mask >> i & 1]
 
 
+def _greatest(columns: list[Column]) -> Column:
+    return F.greatest(*columns) if len(columns) > 1 else columns[0]
+
+
 class LimitedChoice:
     """Customers with their value for every limited use case and for the best of the rest.
 
@@ -73,21 +77,22 @@ class LimitedChoice:
             F.greatest(F.coalesce(rest, F.lit(0)), F.lit(0)).alias(FREE)))
         self.classes = cut_lineage(self.customers.groupBy(*self.values, FREE).agg(F.count(F.lit(1)).alias("n")))
 
-    def _net(self, prices: list[int]) -> list[Column]:
-        return [F.col(v) - F.lit(p) for v, p in zip(self.values, prices)]
+    def _net(self, prices: list[int], shift: int = 0) -> list[Column]:
+        """Worth after prices of the limited use cases and of the rest, in steps of ``2 ** shift`` units."""
+        values = [F.shiftright(v, shift) if shift else F.col(v) for v in (*self.values, FREE)]
+        return [v - F.lit(p) for v, p in zip(values, prices)] + values[-1:]
 
-    def _mask(self, prices: list[int]) -> Column:
+    @staticmethod
+    def _mask(net: list[Column]) -> Column:
         """Bits of the limited use cases that are worth most, and a last bit for the rest."""
-        net = self._net(prices) + [F.col(FREE)]
-        best = F.greatest(*net) if len(net) > 1 else net[0]
+        best = _greatest(net)
         return reduce(lambda a, b: a + b, [F.when(x == best, F.lit(1 << i)).otherwise(F.lit(0)) for i, x in enumerate(net)])
 
-    def _masks(self, prices: list[int]) -> tuple[dict[int, int], int]:
+    def _masks(self, prices: list[int], shift: int = 0) -> tuple[dict[int, int], int]:
         """Customers per mask, and the sum of what they get after prices."""
-        net = self._net(prices) + [F.col(FREE)]
-        best = F.greatest(*net) if len(net) > 1 else net[0]
-        worth = F.sum((best * F.col("n")).cast("decimal(38,0)"))
-        rows = self.classes.groupBy(self._mask(prices).alias("mask")).agg(F.sum("n").alias("n"), worth.alias("worth")).collect()
+        net = self._net(prices, shift)
+        worth = F.sum((_greatest(net) * F.col("n")).cast("decimal(38,0)"))
+        rows = self.classes.groupBy(self._mask(net).alias("mask")).agg(F.sum("n").alias("n"), worth.alias("worth")).collect()
         return {r["mask"]: r["n"] for r in rows}, sum(int(r["worth"]) for r in rows)
 
     def feasible(self) -> bool:
@@ -101,78 +106,60 @@ class LimitedChoice:
         return all(sum(n for mask, n in counts.items() if mask & which) >= sum(self.least[i] for i in _bits(which))
                    for which in range(1, 1 << len(self.names)))
 
-    def _nth(self, margin: Column, n: int) -> float:
-        """The ``n``-th smallest margin over all customers (null: none), infinity if there are fewer."""
-        rows = self.classes.select(margin.alias("m"), "n").filter("m IS NOT NULL")
-        ends = rows.agg(F.min("m").alias("low"), F.max("m").alias("high"), F.sum("n").alias("n")).first()
-        if ends["n"] is None or ends["n"] < n:
-            return math.inf
-        low, high = ends["low"], ends["high"]
-        while low < high:
-            width = (high - low) // BUCKETS + 1
-            found = rows.filter(F.col("m").between(low, high)).groupBy(
-                F.expr(f"(m - {low}L) div {width}L").alias("bucket")).agg(
-                F.sum("n").alias("n"), F.min("m").alias("low"), F.max("m").alias("high")).collect()
-            for row in sorted(found, key=lambda r: r["bucket"]):
-                if n <= row["n"]:
-                    low, high = row["low"], row["high"]
-                    break
-                n -= row["n"]
-        return low
-
-    def _reach(self, which: int, prices: list[int], up: bool) -> int:
-        """How far the prices of a set go until the fall ends."""
-        net, own = self._net(prices), set(_bits(which))
-        inside = [net[i] for i in sorted(own)]
-        outside = [F.col(FREE), *[x for i, x in enumerate(net) if i not in own]]
-        inside = F.greatest(*inside) if len(inside) > 1 else inside[0]
-        outside = F.greatest(*outside) if len(outside) > 1 else outside[0]
-        # The limit that counts for a use case changes where its price passes 0.
-        turns = sorted({0, *[abs(prices[i]) for i in own if (prices[i] < 0) == up and prices[i]]})
-        for at, then in zip(turns, [*turns[1:], math.inf]):
-            if up:
-                room = sum(self.most[i] if prices[i] + at >= 0 else self.least[i] for i in own)
-                if room == math.inf:
-                    return at
-                # The margin of the first customer beyond the room: all that are left would lose more.
-                margin = -self._nth(F.when(inside > outside, outside - inside), room + 1)
-                end = at if margin == -math.inf else max(margin, at)
-            else:
-                need = sum(self.most[i] if prices[i] - at > 0 else self.least[i] for i in own)
-                end = max(self._nth(outside - inside, need), at) if need else at
-            if end < then:
-                return end
-        raise ValueError("prices have no end; the minimums cannot be met")
+    def _fall(self, masks: dict[int, int], prices: list[int]) -> tuple[int, int, bool]:
+        """The steepest fall: its slope (0: none), the set whose prices move, and whether they rise."""
+        everyone = (2 << len(self.names)) - 1
+        # Customers all of whose best choices lie in a set, for every set.
+        within = [masks.get(m, 0) for m in range(everyone + 1)]
+        for i in range(len(self.names) + 1):
+            for m in range(everyone + 1):
+                if m >> i & 1:
+                    within[m] += within[m ^ 1 << i]
+        best = (0, 0, 0, True)
+        for which in range(1, 1 << len(self.names)):
+            own = _bits(which)
+            up = sum(self.most[i] if prices[i] >= 0 else self.least[i] for i in own) - within[which]
+            down = within[everyone] - within[everyone ^ which] - sum(
+                self.most[i] if prices[i] > 0 else self.least[i] for i in own)
+            best = min(best, (up, len(own), which, True), (down, len(own), which, False))
+        slope, _, which, up = best
+        return slope, which, up
+
+    def _digits(self) -> tuple[int, int]:
+        """Binary digits of the spread of all values, and how many last digits are 0 in every value."""
+        columns = [F.col(c) for c in (*self.values, FREE)]
+        any_bit = reduce(lambda a, b: a.bitwiseOR(b), [F.coalesce(F.bit_or(c), F.lit(0).cast("long")) for c in columns])
+        row = self.classes.agg(F.min(F.least(*columns)).alias("low"), F.max(F.greatest(*columns)).alias("high"),
+                               any_bit.alias("bits")).first()
+        bits = row["bits"]
+        return int(row["high"] - row["low"]).bit_length(), (bits & -bits).bit_length() - 1 if bits else 0
 
     def solve(self) -> Optimum | None:
         """Optimal prices; None if no choice meets the minimums."""
         if not self.feasible():
             return None
-        sets = range(1, 1 << len(self.names))
         prices = [0] * len(self.names)
-        while True:
-            masks, worth = self._masks(prices)
-            best = (0, 0, 0, True)
-            for which in sets:
-                own = _bits(which)
-                up = sum(self.most[i] if prices[i] >= 0 else self.least[i] for i in own) - sum(
-                    n for mask, n in masks.items() if not mask & ~which)
-                down = sum(n for mask, n in masks.items() if mask & which) - sum(
-                    self.most[i] if prices[i] > 0 else self.least[i] for i in own)
-                best = min(best, (up, len(own), which, True), (down, len(own), which, False))
-            slope, _, which, up = best
-            if slope >= 0:
-                break
-            step = self._reach(which, prices, up)
-            for i in _bits(which):
-                prices[i] += step if up else -step
+        masks, worth = self._masks(prices)
+        # Limits that do not bind leave all prices at 0.
+        if self._fall(masks, prices)[0] < 0:
+            digits, exact = self._digits()
+            for shift in range(max(digits, exact), exact - 1, -1):
+                prices = [2 * p for p in prices]
+                while True:
+                    masks, worth = self._masks(prices, shift)
+                    slope, which, up = self._fall(masks, prices)
+                    if slope >= 0:
+                        break
+                    for i in _bits(which):
+                        prices[i] += 1 if up else -1
+            prices, worth = [p << exact for p in prices], worth << exact
         limits = sum(p * (self.most[i] if p > 0 else self.least[i]) for i, p in enumerate(prices) if p)
         return Optimum(self.names, tuple(prices), (worth + limits) / UNITS, masks)
 
     def deal(self, optimum: Optimum) -> DataFrame:
         """Rows (customer, target): the limited use case each customer takes, null for the best of the rest."""
         flow = _flow(optimum, self.least, self.most)
-        rows = self.customers.select(self.key, self._mask(list(optimum.prices)).alias("mask"))
+        rows = self.customers.select(self.key, self._mask(self._net(list(optimum.prices))).alias("mask"))
         names = [F.lit(n) for n in self.names] + [F.lit(None).cast("string")]
         single = F.lit(None).cast("string")
         for mask, parts in flow.items():

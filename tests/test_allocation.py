@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from leadloom.operators import allocation as al
 from leadloom.operators import domains as dm
 from leadloom.operators import scores
+from leadloom.operators.limited import LimitedChoice
 from leadloom.plans.lead_run import build_helpers, run_allocation
 
 LEADS = ("customerseqid long, agentseqid long, usecase string, customertype string, orphanoptinflag string, "
@@ -228,6 +229,23 @@ def test_large_limits_by_equal_customers(spark):
     rows = al.allocate(options, al.Limits({"p": (0, 2500), "q": (2000, 2000), "r": (0, 700)}))
     assert {r["usecase"]: r["count"] for r in rows.groupBy("usecase").count().collect()} == {"p": 2500, "q": 2000, "r": 700}
 
+def test_rounds_follow_the_digits_of_the_values(spark, monkeypatch):
+    """Eight use cases of like worth that all bind: a few rounds per binary digit, not one per rival price."""
+    rates = {"p": 320, "q": 840, "r": 300, "s": 104, "t": 7, "u": 122, "v": 13, "w": 65}
+    rows = [(c, u, 0, 0.0, 0, 1, round((1 - ((c * 31 + i * 7) % 100 + 1) / 20) * rate * 1000 + c % 5 * 100, 3))
+            for c in range(800) for i, (u, rate) in enumerate(rates.items()) if (c + i) % 3]
+    options = spark.createDataFrame(rows, "customerseqid long, usecase string, agentseqid long, expected_value double, "
+                                          "affinity int, priority int, score double").withColumn("expected_value", F.col("score"))
+    rounds = []
+    masks = LimitedChoice._masks
+    monkeypatch.setattr(LimitedChoice, "_masks", lambda self, *args: rounds.append(args) or masks(self, *args))
+    limits = al.Limits(dict.fromkeys(rates, (20, 30)))
+    chosen = al.allocate(options, limits).cache()
+    counts = {r["usecase"]: r["count"] for r in chosen.groupBy("usecase").count().collect()}
+    assert set(counts) == set(rates) and all(20 <= n <= 30 for n in counts.values())
+    assert len(rounds) <= 4 * 60
+    assert al.allocation_status(options, chosen, limits).first()["status"] == "optimal"
+
 
 def test_a_minimum_that_cannot_be_met_gives_no_rows(spark):
     assert al.allocate(options_frame(spark, 10, 1), al.Limits({"p": (11, 20)})).count() == 0
