@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from leadloom.operators import allocation as al
 from leadloom.operators import domains as dm
-from leadloom.operators import scores
+from leadloom.operators import relate, scores
 from leadloom.operators.limited import LimitedChoice
 from leadloom.plans.lead_run import build_helpers, run_allocation
 
@@ -310,3 +310,23 @@ def test_conflicting_agent_flags_fail(spark):
     flags = spark.createDataFrame([(a, True, True) for a in range(4)], "agentseqid long, opt_out boolean, compulsory boolean")
     with pytest.raises(Exception, match="both opted out and compulsory"):
         run_allocation(leads, people, team, flags).result.collect()
+
+
+@pytest.mark.parametrize("age_rule", ["as_coded", "difference"])
+def test_many_pairs_are_dealt_to_bounded_tasks(spark, partitions, monkeypatch, age_rule):
+    """Affinities stay the same, and no task holds many more rows than are allowed."""
+    people = spark.range(400).select(
+        F.col("id").alias("customerseqid"), (F.col("id") % 9).alias("customer_hid"), F.lit("en").alias("customer_language"),
+        (F.col("id") % 4).alias("customer_postal_sector"), (20 + F.col("id") % 30).cast("int").alias("customer_age"))
+    agents = spark.range(60).select(
+        (F.col("id") % 20).alias("agentseqid"), (F.col("id") % 12).alias("agent_hid"),
+        F.when(F.col("id") % 20 % 2 == 0, "en").alias("agent_language"), (F.col("id") % 20 % 4).alias("agent_postal_sector"),
+        (25 + F.col("id") % 20).cast("int").alias("agent_age"))
+    pairs = people.select("customerseqid", F.explode(F.array(*[(F.col("customerseqid") * 7 + i) % 21 for i in range(5)])).alias("agentseqid"))
+    partitions(4)
+    plain = {tuple(r) for r in scores.affinity(pairs, people, agents, age_rule).collect()}
+    monkeypatch.setattr(relate, "ROWS_PER_TASK", 100)
+    found = scores.affinity(pairs, people, agents, age_rule)
+    assert {tuple(r) for r in found.collect()} == plain and len(plain) == 2000
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 15 and max(sizes) < 300
