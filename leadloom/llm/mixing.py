@@ -124,6 +124,44 @@ def plan(
         F.aggregate("pieces", F.lit(0).cast("long"), lambda s, p: s + p["words"]).alias("taken"), "pieces")
 
 
+MARKS = ["__k0", "__k1"]
+#: Options of tables that are written to be small.
+SMALL = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
+
+
+def _marks(docs: DataFrame, columns: list[str]) -> list[Column]:
+    """Two hashes of a row, as :data:`MARKS`."""
+    return [F.xxhash64(F.lit(i), *[F.col(f"`{c}`") for c in columns]).alias(mark) for i, mark in enumerate(MARKS)]
+
+
+def _plain(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The rows without columns of the stream's names, and the columns that can be hashed."""
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("mix_copy", "mix_position", "mix_words")])
+    return docs, [c for c, kind in docs.dtypes if "map<" not in kind]
+
+
+def _marked_plan(docs: DataFrame, weights: list[float], id_col: str, text: str, source: str, options: dict) -> DataFrame:
+    docs, plain = _plain(docs)
+    keyed = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").alias("__text"), F.col(f"`{source}`").alias("__source"),
+                        *_marks(docs, plain))
+    return plan(keyed, weights, id_col="__id", text="__text", source="__source", keep=MARKS, **options)
+
+
+def _stream(docs: DataFrame, rows: DataFrame, id_col: str) -> DataFrame:
+    docs, plain = _plain(docs)
+    # Equal rows are counted with those that nothing is taken of.
+    rows = rows.groupBy(*MARKS).agg(F.flatten(F.collect_list("pieces")).alias("__pieces"), F.count("*").alias("__n"))
+    rows = cut_lineage(rows.filter(F.size("__pieces") > 0))
+    full = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *_marks(docs, plain))
+    once = full.join(rows.filter("__n = 1").drop("__n"), MARKS)
+    # Of equal rows one stands for all of them.
+    again = full.join(rows.filter("__n > 1").drop("__n"), MARKS).dropDuplicates(MARKS)
+    out = once.unionByName(again).select("__row", F.explode("__pieces").alias("p"))
+    out = out.select("__row.*", F.col("p.copy").alias("mix_copy"), F.col("p.position").alias("mix_position"), F.col("p.words").alias("mix_words"))
+    order = ["mix_position", f"`{id_col}`", "mix_copy"]
+    return out.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def mix(docs: DataFrame, weights: list[float], id_col: str = "doc_id", text: str = "text", source: str = "source",
         **options) -> DataFrame:
     """The training stream: one row per copy that is taken, in order of ``mix_position``.
@@ -133,20 +171,31 @@ def mix(docs: DataFrame, weights: list[float], id_col: str = "doc_id", text: str
     less than all only for the last document of a source. Rows are range-partitioned and sorted by position, ties by id.
     The plan is made on narrow rows and meets the texts once, by a hash of the row; equal rows share their copies.
     """
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("mix_copy", "mix_position", "mix_words")])
-    plain = [c for c, kind in docs.dtypes if "map<" not in kind]
-    marks = [F.xxhash64(F.lit(i), *[F.col(f"`{c}`") for c in plain]) for i in range(2)]
-    keyed = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").alias("__text"), F.col(f"`{source}`").alias("__source"),
-                        marks[0].alias("__k0"), marks[1].alias("__k1"))
-    key = ["__k0", "__k1"]
-    rows = plan(keyed, weights, id_col="__id", text="__text", source="__source", keep=key, **options)
-    rows = rows.filter(F.size("pieces") > 0).groupBy(*key).agg(F.flatten(F.collect_list("pieces")).alias("__pieces"), F.count("*").alias("__n"))
-    rows = cut_lineage(rows)
-    full = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), marks[0].alias("__k0"), marks[1].alias("__k1"))
-    once = full.join(rows.filter("__n = 1").drop("__n"), key)
-    # Of equal rows one stands for all of them.
-    again = full.join(rows.filter("__n > 1").drop("__n"), key).dropDuplicates(key)
-    out = once.unionByName(again).select("__row", F.explode("__pieces").alias("p"))
-    out = out.select("__row.*", F.col("p.copy").alias("mix_copy"), F.col("p.position").alias("mix_position"), F.col("p.words").alias("mix_words"))
-    order = ["mix_position", f"`{id_col}`", "mix_copy"]
-    return out.repartitionByRange(*order).sortWithinPartitions(*order)
+    return _stream(docs, _marked_plan(docs, weights, id_col, text, source, options), id_col)
+
+
+def mix_counted(docs: DataFrame, weights: list[float], id_col: str = "doc_id", text: str = "text", source: str = "source",
+                **options) -> tuple[DataFrame, DataFrame]:
+    """The stream of :func:`mix`, written in its order, and a row per document with the words of it that stand there.
+
+    Columns of the second: id, ``size``, ``source_size``, ``target``, ``taken``. Equal rows share their copies in the stream: all have
+    the full ones, and the words of the last are dealt to them in turn.
+    """
+    planned = cut_lineage(_marked_plan(docs, weights, id_col, text, source, options).drop("taken"), **SMALL)
+    # Texts are shuffled twice on the way, so that the stream is written small.
+    stream = cut_lineage(_stream(docs, planned, id_col), **SMALL)
+    plain, columns = _plain(stream)
+    words = stream.select("mix_words", *_marks(plain, columns)).groupBy(*MARKS).agg(F.sum("mix_words").alias("words"))
+    # Rows without words are never taken; hashes pass over nulls, so they are told by their size.
+    rows = planned.select(F.col("__id").alias(id_col), *MARKS, "size", "source_size", "target")
+    turn = W.partitionBy(*MARKS)
+    filled = rows.filter("size > 0").select(
+        "*", (F.row_number().over(turn.orderBy(id_col)) - 1).alias("turn"), F.count(F.lit(1)).over(turn).alias("equal"))
+    filled = filled.join(words, MARKS, "left").withColumn("words", F.coalesce("words", F.lit(0)))
+    full = F.expr("words div (equal * size)") * F.col("size")
+    rest = F.col("words") - full * F.col("equal") - F.col("turn") * F.col("size")
+    taken = full + F.greatest(F.least(rest, F.col("size")), F.lit(0))
+    kept = [id_col, "size", "source_size", "target"]
+    counted = filled.select(*kept, taken.cast("long").alias("taken")).unionByName(
+        rows.filter("size <= 0").select(*kept, F.lit(0).cast("long").alias("taken")))
+    return stream, counted

@@ -52,7 +52,9 @@ SELECT doc_id, size, source_size, target, CAST(greatest(least(goal - before, siz
   AS BIGINT) AS taken FROM p
 """)
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mixing.plan(read_table(spark, sf_dir, "documents"), [5.0, 2.0, 1.0], 3.0)
+    """The whole training stream is written in order of position; the words taken are those that stand in it."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    _stream, rows = mixing.mix_counted(docs, [5.0, 2.0, 1.0], max_repeats=3.0)
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
