@@ -330,3 +330,10 @@ def test_many_pairs_are_dealt_to_bounded_tasks(spark, partitions, monkeypatch, a
     assert {tuple(r) for r in found.collect()} == plain and len(plain) == 2000
     sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) > 15 and max(sizes) < 300
+
+
+def test_a_result_without_a_warming_plan_has_nothing_warmed(spark):
+    from leadloom.catalog.leads_q import with_flag
+
+    assert [r["warming"] for r in with_flag(spark.range(2)).collect()] == [0, 0]
+    assert [r["warming"] for r in with_flag(spark.range(1).withColumn("warming", F.lit(1))).collect()] == [1]
