@@ -9,11 +9,15 @@ values spread, with values rounded down to whole steps, and are halved once no s
 a few steps only, so the rounds are a few per binary digit of the values, whatever the number of customers and limits. At
 the last width, that divides all values, nothing is rounded; where no set is left there the prices are optimal.
 
+Prices move little from round to round, and only choices near a customer's best one can become it. So customers are counted
+once by what those choices are worth, relative to each other, and the counts serve all rounds until a price leaves their
+reach: several widths of steps, and in the end all that are left, as few customers still have several choices that near.
+
 Customers then differ only in which of their equally good choices they take: numbers per set of best choices flow to use
 cases such that each priced use case meets its limit, and the customers of a set are dealt by their key.
 
-A round is a map over the classes and one small aggregate. The driver sees prices and at most 2 ** (limited use cases + 1)
-numbers of customers.
+A count is a map over the classes and one small aggregate. The driver sees prices, at most 2 ** (limited use cases + 1)
+numbers of customers, and at most ``MOST_NEAR`` numbers by worth.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import chain
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +38,9 @@ from leadloom.session import cut_lineage
 UNITS = 10 ** 9
 #: Sets of use cases are listed, so there may be only so many limited ones.
 MOST_LIMITED = 16
+#: Most rows of counts by worth that reach the driver, and steps that a price may move before customers are counted again.
+MOST_NEAR = 20_000
+REACH = 2
 
 FREE = "free"
 
@@ -47,6 +55,39 @@ class Optimum:
     masks: dict[int, int]
 
 
+@dataclass(frozen=True)
+class Near:
+    """Customers by the worth of the choices near their best, in steps of ``2 ** fine`` units after ``prices``.
+
+    ``worth`` has a row per kind of customers and a column per choice, ``near`` tells which choices may become the best while
+    prices stay within ``reach`` steps of these. The worth of a kind is given up to a multiple of ``2 ** (wide - fine)``, as
+    are the prices, so that it can be rounded down to any step from ``2 ** fine`` to ``2 ** wide``.
+    """
+
+    wide: int
+    fine: int
+    reach: int
+    prices: list[int]
+    worth: np.ndarray
+    near: np.ndarray
+    n: np.ndarray
+
+    def holds(self, prices: list[int], shift: int) -> bool:
+        return self.fine <= shift <= self.wide and all(
+            abs((p << shift - self.fine) - own) <= self.reach for p, own in zip(prices, self.prices))
+
+    def masks(self, prices: list[int], shift: int) -> dict[int, int]:
+        """Customers per mask at prices in steps of ``2 ** shift`` units, as by a count of all classes."""
+        finer = shift - self.fine
+        moved = np.array([(own >> finer) - p for p, own in zip(prices, self.prices)] + [0], dtype=np.int64)
+        net = np.where(self.near, (self.worth >> finer) + moved, np.iinfo(np.int64).min)
+        mask = (net == net.max(axis=1, keepdims=True)) @ (1 << np.arange(net.shape[1], dtype=np.int64))
+        found, place = np.unique(mask, return_inverse=True)
+        counts = np.zeros(len(found), dtype=np.int64)
+        np.add.at(counts, place, self.n)
+        return dict(zip(found.tolist(), counts.tolist()))
+
+
 def _bits(mask: int) -> list[int]:
     return [i for i in range(mask.bit_length()) if mask >> i & 1]
 
@@ -76,6 +117,8 @@ class LimitedChoice:
             *[F.max(F.when(F.col(usecase) == n, units)).alias(v) for n, v in zip(self.names, self.values)],
             F.greatest(F.coalesce(rest, F.lit(0)), F.lit(0)).alias(FREE)))
         self.classes = cut_lineage(self.customers.groupBy(*self.values, FREE).agg(F.count(F.lit(1)).alias("n")))
+        #: Widths beyond the present one that a count by worth is to serve.
+        self.depth = 0
 
     def _net(self, prices: list[int], shift: int = 0) -> list[Column]:
         """Worth after prices of the limited use cases and of the rest, in steps of ``2 ** shift`` units."""
@@ -95,6 +138,29 @@ class LimitedChoice:
         rows = self.classes.groupBy(self._mask(net).alias("mask")).agg(F.sum("n").alias("n"), worth.alias("worth")).collect()
         return {r["mask"]: r["n"] for r in rows}, sum(int(r["worth"]) for r in rows)
 
+    def _near(self, prices: list[int], shift: int, last: int, most: int = MOST_NEAR) -> Near | None:
+        """Counts that serve from steps of ``2 ** shift`` units on, to ``2 ** last`` at the finest; None if they are too many."""
+        fine = max(last, shift - self.depth)
+        width = 1 << shift - fine
+        reach, own = REACH * width, [p * width for p in prices]
+        net = self._net(own, fine)
+        best = _greatest(net)
+        # Rounding and two prices that move against each other can make up for this much.
+        close = [F.coalesce(best - x <= 2 * reach + width - 1, F.lit(False)) for x in net]
+        several = reduce(lambda a, b: a + b, [c.cast("int") for c in close]) > 1
+        start = best - F.pmod(best, F.lit(width))
+        worth = [F.when(c, F.when(several, x - start).otherwise(0)) for c, x in zip(close, net)]
+        kinds = self.classes.select("n", *[w.cast("long").alias(f"w{i}") for i, w in enumerate(worth)])
+        keys = kinds.columns[1:]
+        rows = kinds.groupBy(*keys).agg(F.sum("n").alias("n")).limit(most + 1).collect()
+        if len(rows) > most:
+            return None
+        if 16 * len(rows) <= most:
+            self.depth = 2 * self.depth + 1
+        near = np.array([[r[k] is not None for k in keys] for r in rows])
+        return Near(shift, fine, reach, own, np.array([[r[k] or 0 for k in keys] for r in rows], dtype=np.int64), near,
+                    np.array([r["n"] for r in rows], dtype=np.int64))
+
     def feasible(self) -> bool:
         """Whether some choice meets all minimums: every set of use cases must be wanted by as many customers as it needs."""
         if any(low > high for low, high in zip(self.least, self.most)):
@@ -143,15 +209,21 @@ class LimitedChoice:
         # Limits that do not bind leave all prices at 0.
         if self._fall(masks, prices)[0] < 0:
             digits, exact = self._digits()
+            near = None
             for shift in range(max(digits, exact), exact - 1, -1):
                 prices = [2 * p for p in prices]
+                crowded = False
                 while True:
-                    masks, worth = self._masks(prices, shift)
+                    while not crowded and (near is None or not near.holds(prices, shift)):
+                        near = self._near(prices, shift, exact)
+                        crowded, self.depth = near is None and not self.depth, self.depth if near else self.depth // 2
+                    masks = near.masks(prices, shift) if near else self._masks(prices, shift)[0]
                     slope, which, up = self._fall(masks, prices)
                     if slope >= 0:
                         break
                     for i in _bits(which):
                         prices[i] += 1 if up else -1
+            masks, worth = self._masks(prices, exact)
             prices, worth = [p << exact for p in prices], worth << exact
         limits = sum(p * (self.most[i] if p > 0 else self.least[i]) for i, p in enumerate(prices) if p)
         return Optimum(self.names, tuple(prices), (worth + limits) / UNITS, masks)

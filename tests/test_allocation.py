@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from itertools import product
 
 import numpy as np
@@ -229,6 +230,27 @@ def test_large_limits_by_equal_customers(spark):
     rows = al.allocate(options, al.Limits({"p": (0, 2500), "q": (2000, 2000), "r": (0, 700)}))
     assert {r["usecase"]: r["count"] for r in rows.groupBy("usecase").count().collect()} == {"p": 2500, "q": 2000, "r": 700}
 
+@pytest.mark.parametrize("most", [5, 300, 20_000])
+def test_counts_by_worth_lead_to_the_prices_of_plain_rounds(spark, monkeypatch, most):
+    """Counts that serve many rounds give the masks, and so the prices, of one job per round, with far fewer jobs."""
+    rng = random.Random(most)
+    for limited, n, spread in ((3, 400, 10 ** 6), (6, 300, 10 ** 4), (2, 200, 8)):
+        names = [chr(97 + i) for i in range(limited + 1)]
+        rows = [(c, u, rng.randrange(-spread // 4, spread) / 10 ** 5) for c in range(n) for u in names if rng.random() < 0.7]
+        bounds = {u: (rng.choice([0, 5, n // 10]), n // 8 + i) for i, u in enumerate(names[:-1])}
+        found, jobs = [], []
+        for limit in (0, most):
+            calls = []
+            choice = LimitedChoice(spark.createDataFrame(rows, "c int, usecase string, score double"), "c", "usecase", bounds)
+            near, masks = choice._near, choice._masks
+            monkeypatch.setattr(choice, "_near", lambda *a: calls.append("near") or near(*a, most=limit) if limit else None)
+            monkeypatch.setattr(choice, "_masks", lambda *a: calls.append("masks") or masks(*a))
+            found.append(choice.solve())
+            jobs.append(len(calls))
+        assert found[0] == found[1] and any(found[0].prices)
+        assert most < 20_000 or jobs[1] <= 10 < jobs[0] or spread < 10 ** 4
+
+
 def test_rounds_follow_the_digits_of_the_values(spark, monkeypatch):
     """Eight use cases of like worth that all bind: a few rounds per binary digit, not one per rival price."""
     rates = {"p": 320, "q": 840, "r": 300, "s": 104, "t": 7, "u": 122, "v": 13, "w": 65}
