@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -179,3 +181,36 @@ def test_train_and_score_end_to_end(spark, tmp_path):
     assert result.comparison.count() == 15
     holdout = store.get("holdout_df_demo")
     assert holdout.select("monthyearid").distinct().count() == 2
+
+
+@pytest.mark.parametrize("part", ["tune", "calibrate"])
+def test_fits_have_tasks_by_rows_and_not_by_shuffle_partitions(spark, partitions, monkeypatch, part):
+    """Rows in folds come from a shuffle; each of its partitions would send statistics of all nodes of a level."""
+    partitions(64)
+    rows = spark.range(3000).selectExpr("id k", "cast(hash(id) % 2 <> 0 as int) y", "cast(id as double) a")
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def stop(df, *_args, **_named):
+        seen.append((df.rdd.getNumPartitions(), df.count()))
+        raise Stop
+
+    monkeypatch.setattr(folds.CrossValidator, "fit", lambda _self, df: stop(df))
+    monkeypatch.setattr(folds, "fit", stop)
+    with pytest.raises(Stop):
+        if part == "tune":
+            folds.tune(rows, "forest", {"maxDepth": folds.Span(2, 3, whole=True)}, ["a"], "y", "k")
+        else:
+            folds.calibrate(rows, "forest", ["a"], "y", "k")
+    found, n = seen[0]
+    assert found == 1 and n in (2000, 3000)
+
+
+def test_tasks_of_fits_follow_rows_and_cores(monkeypatch):
+    def tasks(rows: int, cores: int = 12) -> int:
+        session = SimpleNamespace(sparkContext=SimpleNamespace(defaultParallelism=cores))
+        return learners.fit_tasks(SimpleNamespace(count=lambda: rows, sparkSession=session))
+
+    assert [tasks(n) for n in (0, 1, 50_001, 600_000, 5_000_000, 50_000_000)] == [1, 1, 2, 12, 24, 100]
