@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import threading
 from types import SimpleNamespace
 
 import numpy as np
@@ -8,7 +9,8 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from leadloom.models import folds, learners, selection
+from leadloom.catalog import models_q
+from leadloom.models import autofit, folds, learners, selection
 from leadloom.models.autofit import auto_fit
 from leadloom.operators import metrics
 from leadloom.plans.cuts import CutOptions
@@ -135,6 +137,55 @@ def test_budget_drops_the_stacked_level(data):
         auto_fit(data, FEATURES, "y", "k", ("logit",), cv=3, max_fits=2)
 
 
+def test_fits_of_a_level_run_side_by_side(data, monkeypatch):
+    folded = data.withColumn("fold", (F.col("k") % 2).cast("int"))
+    plain, meet = folds.fit, threading.Barrier(2)
+
+    def fit(*args, **named):
+        meet.wait(60)  # broken unless two fits are under way
+        return plain(*args, **named)
+
+    monkeypatch.setattr(folds, "fit", fit)
+    scored, models, seconds = folds.out_of_fold(folded, {"a": "logit", "b": "forest_small"}, FEATURES, "y", 2, at_once=2)
+    assert {name: [m.name for m in own] for name, own in models.items()} == {"a": ["logit"] * 2, "b": ["forest_small"] * 2}
+    assert all(s > 0 for s in seconds.values())
+    rows = {r["k"]: r for r in scored.collect()}
+    assert len(rows) == data.count() and scored.columns == [*folded.columns, "a", "b"]
+    # Each row has the score of the model that did not see its fold.
+    for k in range(2):
+        for name in "ab":
+            own = models[name][k].predict(folded.filter(F.col("fold") == k)).collect()
+            assert all(rows[r["k"]][name] == r["prob_1"] for r in own)
+
+
+def test_large_fits_run_alone(data, monkeypatch):
+    assert learners.side_by_side(data) == learners.FITS_SIDE_BY_SIDE
+    monkeypatch.setattr(learners, "ROWS_PER_CORE_SIDE_BY_SIDE", 1)
+    assert learners.side_by_side(data) == 1
+
+
+def test_weights_reuse_the_areas_of_single_models(data, monkeypatch):
+    calls, plain = [], autofit._auc_of
+    monkeypatch.setattr(autofit, "_auc_of", lambda df, mixes, label: calls.append(1) or plain(df, mixes, label))
+    names = ["strong", "weak"]
+    single = plain(data, {n: F.col(n) for n in names}, "y")
+    whole = autofit.greedy_weights(data, names, "y")
+    turns = len(calls)
+    assert autofit.greedy_weights(data, names, "y", single) == whole
+    assert len(calls) == 2 * turns - 1
+
+
+def test_automatic_fit_prepares_the_panel_once(data, spark, monkeypatch):
+    made = []
+    board = spark.createDataFrame([("weighted_ensemble", "weighted", 1, 0.9)],
+                                  "model string, kind string, stack_level int, score_val double")
+    monkeypatch.setattr(models_q, "_AUTO", {})
+    monkeypatch.setattr(models_q, "split_table", lambda src: made.append(src) or (data, data.limit(1)))
+    monkeypatch.setattr(models_q, "auto_fit", lambda *_: SimpleNamespace(fit_summary=lambda _: board))
+    found = models_q.m22(SimpleNamespace(spark=spark, sf_dir="own")).first()
+    assert len(made) == 1 and found["n_train"] == data.count()
+
+
 def test_store_and_run_log_round_trip(data, spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     model = learners.fit(data, "logit", FEATURES, "y")
