@@ -175,6 +175,15 @@ def test_weights_reuse_the_areas_of_single_models(data, monkeypatch):
     assert len(calls) == 2 * turns - 1
 
 
+def test_prepared_panel_is_read_from_a_stored_one(spark, monkeypatch):
+    panel = spark.createDataFrame([(i, 199801 + j, j % 2, float(i)) for i in range(4) for j in range(3)],
+                                  "customerseqid long, monthyearid int, target_flag int, price double")
+    seen, plain = [], models_q.prepare_panel
+    monkeypatch.setattr(models_q, "prepare_panel", lambda df: seen.append(df) or plain(df))
+    assert models_q.model_table(lambda name: panel).count() == 12
+    assert seen[0].inputFiles() and sorted(seen[0].collect()) == sorted(panel.collect())
+
+
 def test_automatic_fit_prepares_the_panel_once(data, spark, monkeypatch):
     made = []
     board = spark.createDataFrame([("weighted_ensemble", "weighted", 1, 0.9)],
@@ -186,6 +195,13 @@ def test_automatic_fit_prepares_the_panel_once(data, spark, monkeypatch):
     assert len(made) == 1 and found["n_train"] == data.count()
 
 
+def test_areas_side_by_side_read_stored_scores(data, monkeypatch):
+    model, seen, plain = learners.fit(data, "logit", FEATURES, "y"), [], selection.roc_auc_of
+    monkeypatch.setattr(selection, "roc_auc_of", lambda df, *rest: seen.append(df) or plain(df, *rest))
+    areas = {r["classifier"]: r["roc_auc"] for r in selection.stack_check({"a": model, "b": model}, data, "y").collect()}
+    assert areas["a"] == areas["b"] == auc(model, data) and seen[0].inputFiles()
+
+
 def test_store_and_run_log_round_trip(data, spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     model = learners.fit(data, "logit", FEATURES, "y")
