@@ -184,6 +184,25 @@ def test_prepared_panel_is_read_from_a_stored_one(spark, monkeypatch):
     assert seen[0].inputFiles() and sorted(seen[0].collect()) == sorted(panel.collect())
 
 
+def test_rows_of_a_fit_lie_next_to_their_neighbours(spark, monkeypatch):
+    # No task holds more than one file, so a task shows the order in which its file was written.
+    rows = [(i, 199801 + j, (i + j) % 2, float(i * 7919 % 1000)) for i in range(500) for j in range(2)]
+    panel = spark.createDataFrame(rows, "customerseqid long, monthyearid int, target_flag int, price double")
+    train, test = models_q.split_table(lambda name: panel, ["price"])
+    found = train.select("price", models_q.KEY, F.input_file_name().alias("file")).collect()
+    files = {}
+    for r in found:
+        files.setdefault(r["file"], []).append((r["price"], r[models_q.KEY]))
+    assert len(found) == 800 and test.count() == 200 and all(own == sorted(own) for own in files.values())
+    frames, plain = [], autofit.out_of_fold
+    monkeypatch.setattr(autofit, "out_of_fold", lambda frame, *rest: frames.append(frame) or plain(frame, *rest))
+    auto_fit(train, ["price"], "target_flag", models_q.KEY, ("logit",), cv=2, max_fits=2)
+    files = {}
+    for r in frames[0].select("price", models_q.KEY, F.input_file_name().alias("file")).collect():
+        files.setdefault(r["file"], []).append((r["price"], r[models_q.KEY]))
+    assert sum(map(len, files.values())) == 800 and all(own == sorted(own) for own in files.values())
+
+
 def test_automatic_fit_prepares_the_panel_once(data, spark, monkeypatch):
     made = []
     board = spark.createDataFrame([("weighted_ensemble", "weighted", 1, 0.9)],
