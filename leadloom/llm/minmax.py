@@ -38,70 +38,94 @@ _ADD = _RANDOM.integers(0, 2**32, BANDS * ROWS // 2, dtype=np.uint32)
 _BAND_SEED = _RANDOM.integers(0, 2**64, BANDS, dtype=np.uint64)
 
 
-def signature(items: np.ndarray, block: int = 512) -> np.ndarray:
-    """Minimum and maximum of every hash function over the items, side by side.
+def signatures(items: np.ndarray, bounds: np.ndarray, block: int = 512) -> np.ndarray:
+    """A row per set with minimum and maximum of every hash function over its items, side by side.
 
-    The functions work on 32 bits of the items, which only proposes a few more pairs; a block stays in the cache.
+    ``items`` are the mixed items of all sets, none of them empty, and ``bounds`` where each begins, with the end. The
+    functions work on 32 bits of the items, which only proposes a few more pairs; a block stays in the cache.
     """
-    low = high = None
-    items = mix(items).astype(np.uint32)
-    for at in range(0, len(items), block):
-        values = items[at:at + block, None] * _MULTIPLY + _ADD
-        lo, hi = values.min(axis=0), values.max(axis=0)
-        low, high = (lo, hi) if low is None else (np.minimum(low, lo), np.maximum(high, hi))
-    return np.stack([low, high], axis=1).ravel().astype(np.uint64)
+    items = items.astype(np.uint32)[:, None]
+    out = np.empty((len(bounds) - 1, len(_MULTIPLY), 2), dtype=np.uint64)
+    room = np.empty((block, len(_MULTIPLY)), dtype=np.uint32)
+    for i, (begin, end) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+        low = high = None
+        for at in range(begin, end, block):
+            part = items[at:min(at + block, end)]
+            values = np.multiply(part, _MULTIPLY, out=room[:len(part)])
+            values += _ADD
+            lo, hi = values.min(axis=0), values.max(axis=0)
+            low, high = (lo, hi) if low is None else (np.minimum(low, lo), np.maximum(high, hi))
+        out[i, :, 0], out[i, :, 1] = low, high
+    return out.reshape(len(out), 2 * len(_MULTIPLY))
 
 
 def band_keys(values: np.ndarray) -> np.ndarray:
-    """One key per band of a signature."""
-    grid, keys = values.reshape(BANDS, ROWS), _BAND_SEED.copy()
+    """One key per band of every signature."""
+    grid = values.reshape(len(values), BANDS, ROWS)
+    keys = np.broadcast_to(_BAND_SEED, grid.shape[:2])
     for j in range(ROWS):
-        keys = mix(keys * np.uint64(3) + grid[:, j])
+        keys = mix(keys * np.uint64(3) + grid[:, :, j])
     return keys.view(np.int64)
 
 
-def sketch(values: np.ndarray) -> np.ndarray:
-    """One bit of every value, packed into four numbers."""
-    bits = np.zeros(256, dtype=bool)
-    bits[:len(values)] = (mix(values) & np.uint64(1)).astype(bool)
-    return np.packbits(bits).view(np.int64)
+def sketches(values: np.ndarray) -> np.ndarray:
+    """One bit of every value, packed into four numbers per signature."""
+    bits = np.zeros((len(values), 256), dtype=bool)
+    bits[:, :values.shape[1]] = mix(values) & np.uint64(1)
+    return np.packbits(bits, axis=1).view(np.int64)
 
 
-def parity(items: np.ndarray) -> np.ndarray:
-    """Bitmap in which every element has flipped one bit."""
+def parities(items: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A bitmap per set in which every element has flipped one bit."""
     places = (mix(items ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(PARITY)).astype(np.int64)
-    return np.packbits(np.bincount(places, minlength=PARITY).astype(np.uint8) & 1).view(np.int64)
+    bits = np.empty((len(bounds) - 1, PARITY), dtype=np.uint8)
+    for i, (begin, end) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+        bits[i] = np.bincount(places[begin:end], minlength=PARITY)
+    return np.packbits(bits & 1, axis=1).view(np.int64)
 
 
 def _rows(batch: pa.RecordBatch, k: int, full: bool) -> pa.RecordBatch:
-    sets = shingle_sets(batch.column("text").to_pylist(), k)
+    sets = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist(), k)
     ids = batch.column("rid")
-    if full:
-        offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-        items = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64)))
-        return pa.RecordBatch.from_arrays([ids, items], names=["rid", "items"])
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    items = np.concatenate(sets)
+    if full:
+        offsets = np.concatenate([[0], np.cumsum(sizes * 8)]).astype(np.int32)
+        packed = pa.Array.from_buffers(pa.binary(), len(sets), [None, pa.py_buffer(offsets), pa.py_buffer(items)])
+        return pa.RecordBatch.from_arrays([ids, packed], names=["rid", "items"])
+    filled = sizes > 0
+    bounds = np.concatenate([[0], np.cumsum(sizes[filled])])
     marks = np.zeros((len(sets), 2), dtype=np.uint64)
-    bands, sketches, parities, filled = [], [], [], sizes > 0
-    for i in np.flatnonzero(filled):
-        spread = mix(sets[i])
-        marks[i] = spread.sum(dtype=np.uint64), (spread * spread).sum(dtype=np.uint64)
-        values = signature(sets[i])
-        bands.append(band_keys(values))
-        sketches.append(sketch(values))
-        parities.append(parity(sets[i]))
-
-    def lists(parts, width):
+    if len(items):
+        spread = mix(items)
+        marks[filled, 0] = np.add.reduceat(spread, bounds[:-1])
+        marks[filled, 1] = np.add.reduceat(spread * spread, bounds[:-1])
+    else:
+        spread = items
+    values = signatures(spread, bounds)
+
+    def lists(flat, width):
         offsets = np.concatenate([[0], np.cumsum(filled * width)]).astype(np.int32)
-        flat = np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.ravel()))
 
     columns = [ids, batch.column("doc_id"), pa.array(sizes), pa.array(marks[:, 0].view(np.int64)),
-               pa.array(marks[:, 1].view(np.int64)), lists(bands, BANDS), lists(sketches, 4),
-               lists(parities, PARITY // 64)]
+               pa.array(marks[:, 1].view(np.int64)), lists(band_keys(values), BANDS), lists(sketches(values), 4),
+               lists(parities(items, bounds), PARITY // 64)]
     return pa.RecordBatch.from_arrays(columns, names=["rid", "doc_id", "n", "m0", "m1", "bands", "sketch", "parity"])
 
 
+def _overlaps(batch: pa.RecordBatch, percent: int) -> pa.RecordBatch:
+    """The pairs of a batch that 100 * intersection >= ``percent`` * union of their full sets confirms."""
+    keep = np.empty(len(batch), dtype=bool)
+    for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
+        one, two = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
+        # Items of a set are distinct, so one that comes twice is in both.
+        both = np.sort(np.concatenate([one, two]))
+        common = int(np.count_nonzero(both[1:] == both[:-1]))
+        keep[i] = 100 * common >= percent * (len(one) + len(two) - common)
+    return batch.select(["a", "b"]).filter(pa.array(keep))
+
+
 def _similar(low: int, a: str, b: str) -> Column:
     """What two sizes and two sketches say: False only for pairs that cannot, or all but surely do not, reach ``low`` %."""
     sizes = (100 * F.least(f"{a}.n", f"{b}.n") >= low * F.greatest(f"{a}.n", f"{b}.n"))
@@ -167,6 +191,11 @@ def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> Da
             for batch in _slices(whole, 2_000_000, "text"):
                 yield _rows(batch, k, True)
 
+    def overlapping(batches):
+        held("minmax")
+        for batch in batches:
+            yield _overlaps(batch, percent)
+
     rows = cut_lineage(source.mapInArrow(
         signed, "rid long, doc_id long, n long, m0 long, m1 long, bands array<long>, sketch array<long>, "
         "parity array<long>"))
@@ -181,14 +210,13 @@ def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> Da
                          .filter("hub <> most").select("key", "hub"))
     members = cut_lineage(bands.join(shared, "key", "left_semi").dropDuplicates(["key", "cid"]))
     wanted = members.select(F.col("cid").alias("rid")).distinct()
-    sets = cut_lineage(source.select("rid", "text").join(wanted.hint("merge"), "rid", "left_semi").mapInArrow(full, "rid long, items array<long>")
-                       .withColumnRenamed("rid", "cid").dropDuplicates(["cid"]))
+    sets = cut_lineage(source.select("rid", "text").join(wanted.hint("merge"), "rid", "left_semi").dropDuplicates(["rid"])
+                       .mapInArrow(full, "rid long, items binary").withColumnRenamed("rid", "cid"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         joined = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("items").alias("x")), "a")
                   .join(sets.select(F.col("cid").alias("b"), F.col("items").alias("y")), "b"))
-        both = F.size(F.array_intersect("x", "y"))
-        return joined.filter(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
+        return joined.select("a", "b", "x", "y").mapInArrow(overlapping, "a long, b long")
 
     open_rows = members.withColumn("root", F.col("cid"))
     links = None

@@ -12,8 +12,9 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C15 | 5
 _BACK = pow(_BASE, -1, 2**64)
-#: Bytes that are hashed in one go; a longer word makes its block longer.
-BLOCK = 1 << 20
+_LOWER_CODE = _CODE[_LOWER]
+#: Bytes that are hashed in one go, few enough for a cache; a longer word makes its block longer.
+BLOCK = 1 << 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,12 +41,19 @@ class _Powers:
 _POWERS = _Powers()
 
 
-def _block_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    space = np.concatenate([[True], _SPACE[data], [True]])
+def word_edges(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word of the bytes ``data``."""
+    space = np.ones(len(data) + 2, dtype=bool)
+    np.take(_SPACE, data, out=space[1:-1])
     change = np.flatnonzero(space[1:] != space[:-1])
-    starts, ends = change[::2], change[1::2]
+    return change[::2], change[1::2]
+
+
+def _block_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    starts, ends = word_edges(data)
     up, down = _POWERS.get(len(data) + 1)
-    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_CODE[_LOWER[data]] * up[:len(data)])])
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_LOWER_CODE[data] * up[:len(data)], out=sums[1:])
     return starts, ends, mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
@@ -63,9 +71,13 @@ def word_spans(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     while at < len(data):
         end = min(at + BLOCK, len(data))
         while end < len(data):
-            gaps = np.flatnonzero(_SPACE[data[at:end]])
+            # Words are short as a rule, so the last space is looked for near the end first.
+            near = max(at, end - 256)
+            gaps = np.flatnonzero(_SPACE[data[near:end]])
+            if not len(gaps):
+                near, gaps = at, np.flatnonzero(_SPACE[data[at:end]])
             if len(gaps):
-                end = at + int(gaps[-1]) + 1
+                end = near + int(gaps[-1]) + 1
                 break
             end = min(end + BLOCK, len(data))
         s, e, h = _block_words(data[at:end])
@@ -76,9 +88,9 @@ def word_spans(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(starts), np.concatenate(ends), np.concatenate(hashes)
 
 
-def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
-    """Per text its distinct ``k``-word shingles, sorted; fewer words are one shingle, no word is none."""
-    parts = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+def shingle_sets(texts: list[bytes | str | None], k: int) -> list[np.ndarray]:
+    """Per text (as is, or its UTF-8) its distinct ``k``-word shingles, sorted; fewer words are one shingle, no word is none."""
+    parts = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else t or b"" for t in texts]
     edges = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])]).astype(np.int64)
     starts, words = word_hashes(b" ".join(parts))
     bounds = np.searchsorted(starts, edges)
@@ -88,7 +100,10 @@ def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
     sets = []
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         if hi - lo >= k:
-            sets.append(np.unique(rolled[lo:hi - k + 1]))
+            one = np.sort(rolled[lo:hi - k + 1])
+            new = np.ones(len(one), dtype=bool)
+            np.not_equal(one[1:], one[:-1], out=new[1:])
+            sets.append(one[new])
         elif hi > lo:
             one = np.full(1, hi - lo, dtype=np.uint64)
             for w in words[lo:hi]:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from leadloom.llm import minmax
 from leadloom.llm.bytebpe import _slices
 from leadloom.llm.common import held, ship_package
-from leadloom.llm.shingles import _POWERS, mix, word_spans
+from leadloom.llm.shingles import _POWERS, mix, word_edges, word_spans
 from leadloom.session import cut_lineage
 
 #: Leading tokens in the tree; the share of a leaf's lines that makes a token constant; the share of constant tokens in a
@@ -40,58 +40,62 @@ SLOTS = 1 << 24
 LEAF = 1 << 20
 
 
+def _tokens(data: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every token between the places, each part with the space that ends it, and whether it has a digit."""
+    if not len(low):
+        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=bool)
+    edges = np.stack([low, high], axis=1).ravel()
+    own = data[:high[-1]][np.repeat(np.tile([False, True], len(low)), np.diff(edges, prepend=0))]
+    starts, ends, words = word_spans(own.tobytes())
+    digits = np.concatenate([[0], np.cumsum((own >= 48) & (own <= 57))])
+    return words, digits[ends] > digits[starts]
+
+
 def _lines(batch: pa.RecordBatch, wanted: np.ndarray | None) -> pa.RecordBatch:
-    """A row per line that has a token; with ``wanted``, only lines whose leaf has its bit set, and their tokens."""
-    texts = batch.column("text").to_pylist()
-    parts = [t.encode("utf-8", "surrogatepass") for t in texts]
-    blob = b"\n".join(parts)
-    data = np.frombuffer(blob, dtype=np.uint8)
-    begins = np.cumsum([0] + [len(p) + 1 for p in parts])
-    starts, ends, words = word_spans(blob)
-    digits = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57))])
-    fields = digits[ends] > digits[starts]
-    breaks = np.cumsum(data == 10)
-    line = breaks[starts] if len(starts) else np.empty(0, dtype=np.int64)
-    heads = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.empty(0, dtype=np.int64)
-    sizes = np.diff(np.append(heads, len(line)))
-    owner = np.searchsorted(begins, starts[heads], side="right") - 1
-    first = np.concatenate([[0], breaks[np.maximum(begins[1:-1] - 1, 0)]]) if len(parts) else np.empty(0, dtype=np.int64)
-    pos = line[heads] - first[owner]
-    order = np.arange(len(heads)) - np.searchsorted(owner, owner)
-    place = (np.arange(len(line)) - np.repeat(heads, sizes)).astype(np.uint64)
-    keys = np.add.reduceat(mix(words ^ mix(place + np.uint64(1))), heads) if len(heads) else np.empty(0, dtype=np.uint64)
+    """A row per line that has a token, by its leading tokens alone; with ``wanted``, whole lines, if their leaf has its bit set."""
+    parts = batch.column("text").cast(pa.binary()).to_pylist()
+    data = np.frombuffer(b"\n".join([*parts, b""]), dtype=np.uint8)
+    begins = np.cumsum([0] + [len(p) + 1 for p in parts])[:-1]
+    starts, ends = word_edges(data)
+    breaks = np.flatnonzero(data == 10)
+    bounds = np.concatenate([[0], np.searchsorted(starts, breaks), [len(starts)]])
+    line = np.flatnonzero(bounds[1:] > bounds[:-1])
+    heads, sizes = bounds[line], (bounds[1:] - bounds[:-1])[line]
+    lead = np.minimum(sizes, DEPTH)
+    words, fields = _tokens(data, starts[heads], ends[heads + lead - 1] + 1)
     masked = np.where(fields, np.uint64(0), words | np.uint64(1))
+    at = np.cumsum(lead) - lead
     leaf = mix(sizes.astype(np.uint64))
     for j in range(DEPTH):
-        at = np.minimum(heads + j, max(len(masked) - 1, 0))
-        leaf = mix(leaf * np.uint64(3) + np.where(sizes > j, masked[at], np.uint64(7)))
+        own = masked[np.minimum(at + j, max(len(masked) - 1, 0))]
+        leaf = mix(leaf * np.uint64(3) + np.where(sizes > j, own, np.uint64(7)))
     leaf = leaf.view(np.int64)
-    tids = batch.column("tid").to_numpy()
-    keep = np.ones(len(heads), dtype=bool)
-    if wanted is not None:
-        slot = leaf & (SLOTS - 1)
-        keep = (wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-    columns = [pa.array(tids[owner][keep]), pa.array(pos[keep].astype(np.int32)), pa.array(order[keep].astype(np.int32)),
-               pa.array(mix(keys).view(np.int64)[keep]), pa.array(sizes[keep].astype(np.int32)), pa.array(leaf[keep])]
-    names = ["tid", "pos", "ord", "lh", "n", "leaf"]
-    if wanted is not None:
-        own = np.repeat(keep, sizes)
-        flat = np.where(fields, np.int64(0), ((words >> np.uint64(33)) | np.uint64(1)).astype(np.int64)).astype(np.int32)[own]
-        offsets = np.concatenate([[0], np.cumsum(sizes[keep])]).astype(np.int32)
-        columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
-        names.append("toks")
-    return pa.RecordBatch.from_arrays(columns, names=names)
-
-
-LINE = "tid long, pos int, ord int, lh long, n int, leaf long"
+    first = np.searchsorted(breaks, begins)
+    owner = np.searchsorted(first, line, side="right") - 1
+    tids = batch.column("tid").to_numpy()[owner]
+    if wanted is None:
+        return pa.RecordBatch.from_arrays([pa.array(tids), pa.array(sizes.astype(np.int32)), pa.array(leaf)], names=["tid", "n", "leaf"])
+    slot = leaf & (SLOTS - 1)
+    keep = (wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+    pos, order = line - first[owner], np.arange(len(line)) - np.searchsorted(owner, owner)
+    tids, pos, order, heads, sizes, leaf = (c[keep] for c in (tids, pos, order, heads, sizes, leaf))
+    words, fields = _tokens(data, starts[heads], ends[heads + sizes - 1] + 1)
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    place = (np.arange(len(words)) - np.repeat(offsets[:-1], sizes)).astype(np.uint64)
+    keys = np.add.reduceat(mix(words ^ mix(place + np.uint64(1))), offsets[:-1]) if len(heads) else np.empty(0, dtype=np.uint64)
+    flat = np.where(fields, np.int64(0), ((words >> np.uint64(33)) | np.uint64(1)).astype(np.int64)).astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(tids), pa.array(pos.astype(np.int32)), pa.array(order.astype(np.int32)), pa.array(mix(keys).view(np.int64)),
+         pa.array(sizes.astype(np.int32)), pa.array(leaf), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+        names=["tid", "pos", "ord", "lh", "n", "leaf", "toks"])
 
 
 def _parsed(docs: DataFrame, text: str, wanted=None) -> DataFrame:
-    """Rows (tid, pos, ord, lh, n, leaf), one per line that has a token; tid stands for the text, lh for the line.
-
-    pos counts all lines of the text, ord those with a token.
+    """Rows (tid, n, leaf), one per line that has a token; tid stands for the text.
 
-    ``wanted`` is a broadcast bitmap of leaves; then only their lines come, with ``toks``, a number per token, 0 for a field.
+    ``wanted`` is a broadcast bitmap of leaves; then only their lines come, as (tid, pos, ord, lh, n, leaf, toks): lh stands for
+    the line, pos counts all lines of the text, ord those with a token, and toks has a number per token, 0 for a field. Only
+    those lines are hashed as a whole.
     """
     rows = docs.select(F.xxhash64(f"`{text}`").alias("tid"), F.col(f"`{text}`").alias("text")).filter("text is not null")
 
@@ -101,7 +105,8 @@ def _parsed(docs: DataFrame, text: str, wanted=None) -> DataFrame:
             for batch in _slices(whole, 1_000_000, "text"):
                 yield _lines(batch, None if wanted is None else wanted.value)
 
-    return rows.mapInArrow(run, LINE if wanted is None else LINE + ", toks array<int>")
+    whole = "tid long, pos int, ord int, lh long, n int, leaf long, toks array<int>"
+    return rows.mapInArrow(run, "tid long, n int, leaf long" if wanted is None else whole)
 
 
 def _bitmap(keys: DataFrame, column: str) -> np.ndarray:

@@ -5,6 +5,10 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+
+from leadloom.llm import minmax, shingles as words_of
 from leadloom.llm.minmax import near_duplicates
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -86,3 +90,39 @@ def test_one_very_long_text(spark):
     got = result(spark, rows)
     assert got[1][1:] == (1, True) and got[2][1:] == (1, False)
     assert got[3] == (1, 3, True) and got[4] == (1, 4, True)
+
+
+def test_links_are_confirmed_on_packed_sets():
+    one, two, far = " ".join("abcdefghi"), " ".join("abcdefgh"), " ".join("abcxefghi")
+    ids = pa.array(range(4), pa.int64())
+    batch = pa.RecordBatch.from_pydict({"rid": ids, "doc_id": ids, "text": [one, two, far, None]})
+    sets = minmax._rows(batch, 1, True)
+    assert sets.column("items").type == pa.binary() and len(sets.column("items")[3].as_py()) == 0
+    items = sets.column("items").to_pylist()
+    pairs = pa.RecordBatch.from_pydict({"a": [0, 0, 1, 0], "b": [1, 2, 2, 0], "x": [items[i] for i in (0, 0, 1, 0)],
+                                        "y": [items[i] for i in (1, 2, 2, 0)]})
+    # 8 of 9, 8 of 10 and 7 of 10 items are common.
+    assert minmax._overlaps(pairs, 80).to_pydict() == {"a": [0, 0, 0], "b": [1, 2, 0]}
+    assert minmax._overlaps(pairs, 81).to_pydict() == {"a": [0, 0], "b": [1, 0]}
+
+
+def test_rows_of_a_batch_are_those_of_its_texts():
+    draw = random.Random(5)
+    texts = [" ".join(str(draw.randrange(2000)) for _ in range(n)) for n in (0, 1, 3, 700, 0, 1500, 40)]
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_pydict({"rid": ids, "doc_id": ids, "text": texts})
+    whole = minmax._rows(batch, 2, False).to_pylist()
+    assert whole == [minmax._rows(batch.slice(i, 1), 2, False).to_pylist()[0] for i in range(len(texts))]
+    assert [len(r["bands"]) for r in whole] == [minmax.BANDS * bool(t) for t in texts]
+
+
+def test_words_do_not_depend_on_blocks(monkeypatch):
+    draw = random.Random(6)
+    blob = " ".join("w" * draw.choice([1, 3, 5, 300, 900]) + draw.choice(["", "\t ", "\n\n"]) for _ in range(300)).encode()
+    whole = words_of.word_spans(blob)
+    assert whole[0].tolist() == [m.start() for m in re.finditer(rb"w+", blob)]
+    for block in (1, 7, 256, 1000):
+        monkeypatch.setattr(words_of, "BLOCK", block)
+        assert all((a == b).all() for a, b in zip(words_of.word_spans(blob), whole))
+    for part, items in zip(blob.split(b"\n"), words_of.shingle_sets(blob.split(b"\n"), 2)):
+        assert items.tolist() == np.unique(items).tolist() == words_of.shingle_sets([part.decode()], 2)[0].tolist()

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from leadloom.llm import templates
 from leadloom.llm.templates import drop_recurring
 
@@ -80,3 +83,28 @@ def test_columns_named_like_working_ones_and_long_texts_stay(spark):
     got = drop_recurring(df, "a.text", dropped="gone").orderBy("doc_id").collect()
     assert got[0].asDict() == {"doc_id": 1, "a.text": "\n".join(own * 3000), "tid": "x", "lost": [1], "__lost": 7, "gone": 3000}
     assert [(r["tid"], r["lost"], r["__lost"], r["gone"]) for r in got[1:]] == [("y", None, 8, 1), ("z", [], 9, 0)]
+
+
+def test_only_leading_tokens_and_wanted_lines_are_hashed(monkeypatch):
+    draw = random.Random(8)
+    lines = ["", "one 2", *(words(draw, 40) for _ in range(50)), "  \t", f"{words(draw, 9)}\r"]
+    texts = ["\n".join(lines), "", "\n".join(lines[::-1]), "ein wort"]
+    batch = pa.RecordBatch.from_pydict({"tid": pa.array(range(4), pa.int64()), "text": texts})
+    hashed, spans = [], templates.word_spans
+    monkeypatch.setattr(templates, "word_spans", lambda blob: hashed.append(len(blob)) or spans(blob))
+    first = templates._lines(batch, None).to_pydict()
+    assert sum(hashed) < len("".join(texts)) / 8
+    assert list(zip(first["tid"], first["n"])) == [(t, len(x.split())) for t, text in enumerate(texts)
+                                                  for x in text.split("\n") if x.split()]
+    hashed.clear()
+    wanted = np.zeros(templates.SLOTS // 8, dtype=np.uint8)
+    slot = first["leaf"][7] & (templates.SLOTS - 1)
+    wanted[slot >> 3] |= 1 << (slot & 7)
+    some = templates._lines(batch, wanted).to_pydict()
+    assert sum(hashed) < len("".join(texts)) / 6
+    at = len(texts[0].split("\n")) - 1 - 8
+    assert (some["tid"], some["pos"], some["ord"]) == ([0, 2], [8, at], [7, at - 1])
+    assert some["lh"][0] == some["lh"][1] and some["toks"][0] == some["toks"][1] and len(some["toks"][0]) == 40
+    every = templates._lines(batch, ~np.zeros_like(wanted)).to_pydict()
+    assert [every[c] for c in ("tid", "n", "leaf")] == [first[c] for c in ("tid", "n", "leaf")]
+    assert every["lh"][7] == some["lh"][0] and every["toks"][0][1] == 0 and every["toks"][0][0] != 0
