@@ -8,6 +8,7 @@ import os
 import tempfile
 import zipfile
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -110,6 +111,30 @@ def running_before(
             .withColumn(out, F.col("__base") + F.col("__own")).drop("__base", "__own"))
 
 
+#: Bits of a map of keys that tasks get, 2 MB at any size of the corpus; a full map only lets more rows through.
+SLOTS = 1 << 24
+
+
+def bitmap(keys: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of ``SLOTS`` bits with that of every key set, whatever the number of keys."""
+    slot = F.col(column).bitwiseAND(F.lit(SLOTS - 1))
+    parts = keys.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+    # A bucket covers 32768 slots; bucket numbers start at 1 for slots from 1, so slot 0 lies in bucket 0.
+    out = np.zeros(SLOTS, dtype=np.uint8)
+    for b, bits in parts:
+        low = np.unpackbits(np.frombuffer(bytes(bits), dtype=np.uint8), bitorder="little")
+        slots = (b - 1) * 32768 + 1 + np.flatnonzero(low) if b > 0 else -np.flatnonzero(low)
+        out[slots] = 1
+    return np.packbits(out, bitorder="little")
+
+
+def has_bit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the bit of each key is set in a :func:`bitmap`."""
+    slot = keys & (SLOTS - 1)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of ``edges`` (two columns of ids): rows (node, component), component the smallest id.
 

@@ -15,11 +15,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.llm.bytebpe import _slices
-from leadloom.llm.common import WORD, components, held, ship_package
+from leadloom.llm.common import WORD, bitmap, components, has_bit, held, ship_package
 from leadloom.llm.shingles import mix, shingle_sets
 from leadloom.session import cut_lineage
 
@@ -75,13 +76,10 @@ def sketches(values: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1).view(np.int64)
 
 
-def parities(items: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A bitmap per set in which every element has flipped one bit."""
+def parity(items: np.ndarray) -> np.ndarray:
+    """Bitmap in which every element has flipped one bit."""
     places = (mix(items ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(PARITY)).astype(np.int64)
-    bits = np.empty((len(bounds) - 1, PARITY), dtype=np.uint8)
-    for i, (begin, end) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
-        bits[i] = np.bincount(places[begin:end], minlength=PARITY)
-    return np.packbits(bits & 1, axis=1).view(np.int64)
+    return np.packbits(np.bincount(places, minlength=PARITY).astype(np.uint8) & 1).view(np.int64)
 
 
 def _rows(batch: pa.RecordBatch, k: int, full: bool) -> pa.RecordBatch:
@@ -109,9 +107,27 @@ def _rows(batch: pa.RecordBatch, k: int, full: bool) -> pa.RecordBatch:
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.ravel()))
 
     columns = [ids, batch.column("doc_id"), pa.array(sizes), pa.array(marks[:, 0].view(np.int64)),
-               pa.array(marks[:, 1].view(np.int64)), lists(band_keys(values), BANDS), lists(sketches(values), 4),
-               lists(parities(items, bounds), PARITY // 64)]
-    return pa.RecordBatch.from_arrays(columns, names=["rid", "doc_id", "n", "m0", "m1", "bands", "sketch", "parity"])
+               pa.array(marks[:, 1].view(np.int64)), lists(band_keys(values), BANDS), lists(sketches(values), 4)]
+    return pa.RecordBatch.from_arrays(columns, names=["rid", "doc_id", "n", "m0", "m1", "bands", "sketch"])
+
+
+def _parities(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The parity sketch of every set of a batch (cid, items)."""
+    flips = [parity(np.frombuffer(v.as_buffer(), dtype=np.uint64)) for v in batch.column("items")]
+    offsets = np.arange(len(batch) + 1, dtype=np.int32) * (PARITY // 64)
+    flat = np.concatenate(flips) if flips else np.empty(0, dtype=np.int64)
+    return pa.RecordBatch.from_arrays([batch.column("cid"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                                      names=["cid", "parity"])
+
+
+def _met(batch: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch:
+    """A row per band key that has its bit set, with the other columns of its row."""
+    bands = batch.column("bands")
+    keys = bands.flatten().to_numpy()
+    keep = has_bit(bits, keys)
+    owner = np.repeat(np.arange(len(batch)), pc.list_value_length(bands).to_numpy(zero_copy_only=False))[keep]
+    own = batch.drop_columns(["bands"]).take(pa.array(owner))
+    return pa.RecordBatch.from_arrays([*own.columns, pa.array(keys[keep])], names=[*own.schema.names, "key"])
 
 
 def _overlaps(batch: pa.RecordBatch, percent: int) -> pa.RecordBatch:
@@ -196,18 +212,31 @@ def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> Da
         for batch in batches:
             yield _overlaps(batch, percent)
 
+    def flipped(batches):
+        held("minmax")
+        for batch in batches:
+            yield _parities(batch)
+
     rows = cut_lineage(source.mapInArrow(
-        signed, "rid long, doc_id long, n long, m0 long, m1 long, bands array<long>, sketch array<long>, "
-        "parity array<long>"))
+        signed, "rid long, doc_id long, n long, m0 long, m1 long, bands array<long>, sketch array<long>"))
     mark = ["n", "m0", "m1"]
     classes = cut_lineage(rows.filter("n > 0").groupBy(*mark).agg(
         F.min("doc_id").alias("least"), F.coalesce(F.min("doc_id"), F.min("rid")).alias("cid")))
     # The row that stands for a class has its number, so bands are only taken from those rows.
     heads = rows.filter("n > 0").join(classes.select(*mark, F.col("cid").alias("rid")), [*mark, "rid"], "left_semi")
-    bits = [F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(4)]
-    bands = heads.select(F.col("rid").alias("cid"), "n", *bits, F.explode("bands").alias("key"))
+    bands = heads.select(F.col("rid").alias("cid"), F.explode("bands").alias("key"))
     shared = cut_lineage(bands.groupBy("key").agg(F.min("cid").alias("hub"), F.max("cid").alias("most"))
-                         .filter("hub <> most").select("key", "hub"))
+                         .filter("hub <> most").select("key"))
+    met = docs.sparkSession.sparkContext.broadcast(bitmap(shared, "key"))  # SLOTS bits
+
+    def meeting(batches):
+        held("minmax")
+        for batch in batches:
+            yield _met(batch, met.value)
+
+    bits = [F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(4)]
+    bands = heads.select(F.col("rid").alias("cid"), "n", *bits, "bands").mapInArrow(
+        meeting, "cid long, n long, s0 long, s1 long, s2 long, s3 long, key long")
     members = cut_lineage(bands.join(shared, "key", "left_semi").dropDuplicates(["key", "cid"]))
     wanted = members.select(F.col("cid").alias("rid")).distinct()
     sets = cut_lineage(source.select("rid", "text").join(wanted.hint("merge"), "rid", "left_semi").dropDuplicates(["rid"])
@@ -224,8 +253,7 @@ def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> Da
         if open_rows.isEmpty():
             break
         if turn == HUB_ROUNDS:
-            marks = rows.join(open_rows.select(F.col("cid").alias("rid")).distinct(), "rid", "left_semi")
-            marks = marks.select(F.col("rid").alias("cid"), "parity").dropDuplicates(["cid"])
+            marks = sets.join(open_rows.select("cid").distinct(), "cid", "left_semi").mapInArrow(flipped, "cid long, parity array<long>")
             open_rows = cut_lineage(open_rows.join(marks, "cid"))
         m, h = open_rows.alias("m"), open_rows.alias("h")
         if turn < HUB_ROUNDS:
@@ -250,6 +278,9 @@ def grouped(docs: DataFrame, id_col: str, text: str, k: int, percent: int) -> Da
                                 .withColumn("root", F.coalesce("new_root", "cid")).drop("new_root"))
         mixed = open_rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
         open_rows = cut_lineage(open_rows.join(cut_lineage(mixed.select("key")), "key", "left_semi"))
+        if turn == 0:
+            # Few rows stay open as a rule, so later rounds need not read all sets.
+            sets = cut_lineage(sets.join(open_rows.select("cid").distinct(), "cid", "left_semi"))
     if links is None:
         joined = classes.withColumn("root", F.col("cid"))
     else:

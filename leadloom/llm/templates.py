@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from leadloom.llm import minmax
 from leadloom.llm.bytebpe import _slices
-from leadloom.llm.common import held, ship_package
+from leadloom.llm.common import bitmap, has_bit, held, ship_package
 from leadloom.llm.shingles import _POWERS, mix, word_edges, word_spans
 from leadloom.session import cut_lineage
 
@@ -34,8 +34,6 @@ DEPTH, CONSTANT, KEPT, NEED, SHINGLE, COPY = 3, 0.2, 0.6, 100, 5, 80
 PASSAGE = NEED // 2
 #: Not used here any more: the share above which a text once lost its vote, which the plain rule of the tests still reads.
 RECURRING = 0.5
-#: Bits of the map of leaves that tasks get, 2 MB at any size of the corpus; a full map only lets more lines through.
-SLOTS = 1 << 24
 #: Tokens of a leaf up to which one task generalises its lines; the lines of larger leaves are summed place by place.
 LEAF = 1 << 20
 
@@ -75,8 +73,7 @@ def _lines(batch: pa.RecordBatch, wanted: np.ndarray | None) -> pa.RecordBatch:
     tids = batch.column("tid").to_numpy()[owner]
     if wanted is None:
         return pa.RecordBatch.from_arrays([pa.array(tids), pa.array(sizes.astype(np.int32)), pa.array(leaf)], names=["tid", "n", "leaf"])
-    slot = leaf & (SLOTS - 1)
-    keep = (wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+    keep = has_bit(wanted, leaf)
     pos, order = line - first[owner], np.arange(len(line)) - np.searchsorted(owner, owner)
     tids, pos, order, heads, sizes, leaf = (c[keep] for c in (tids, pos, order, heads, sizes, leaf))
     words, fields = _tokens(data, starts[heads], ends[heads + sizes - 1] + 1)
@@ -109,20 +106,6 @@ def _parsed(docs: DataFrame, text: str, wanted=None) -> DataFrame:
     return rows.mapInArrow(run, "tid long, n int, leaf long" if wanted is None else whole)
 
 
-def _bitmap(keys: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of ``SLOTS`` bits with that of every key set, whatever the number of keys."""
-    slot = F.col(column).bitwiseAND(F.lit(SLOTS - 1))
-    parts = keys.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("b")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
-    # A bucket covers 32768 slots; bucket numbers start at 1 for slots from 1, so slot 0 lies in bucket 0.
-    out = np.zeros(SLOTS, dtype=np.uint8)
-    for b, bits in parts:
-        low = np.unpackbits(np.frombuffer(bytes(bits), dtype=np.uint8), bitorder="little")
-        slots = (b - 1) * 32768 + 1 + np.flatnonzero(low) if b > 0 else -np.flatnonzero(low)
-        out[slots] = 1
-    return np.packbits(out, bitorder="little")
-
-
 def _runs(tids: np.ndarray, order: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
     """The runs of whole texts, whose lines come in order; a line that is missing ends a run."""
     at = np.arange(len(tids))
@@ -185,6 +168,9 @@ def _small_leaves(met: DataFrame) -> DataFrame:
 
     def rows(part: pa.Table) -> pa.RecordBatch:
         part = part.combine_chunks().to_batches()[0]
+        # Lines of rows with equal texts follow each other.
+        tid, pos = part.column("tid").to_numpy(), part.column("pos").to_numpy()
+        part = part.filter(pa.array(np.concatenate([[True], (tid[1:] != tid[:-1]) | (pos[1:] != pos[:-1])])))
         sizes = part.column("n").to_numpy().astype(np.int64)
         toks = part.column("toks").flatten().to_numpy().astype(np.int64)
         template = _general(part.column("leaf").to_numpy(), sizes, toks)
@@ -208,7 +194,7 @@ def _small_leaves(met: DataFrame) -> DataFrame:
         if rest is not None and len(rest):
             yield rows(rest)
 
-    return (met.select(*names).repartition("leaf").sortWithinPartitions("leaf")
+    return (met.select(*names).repartition("leaf").sortWithinPartitions("leaf", "tid", "pos")
             .mapInArrow(run, "tid long, pos int, ord int, lh long, n int, template long"))
 
 
@@ -235,21 +221,24 @@ def copy_groups(docs: DataFrame, tids: DataFrame, text: str) -> DataFrame:
 
 
 def recurring_lines(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Rows (tid, pos): the lines to drop, by the hash of the text and the number of the line."""
+    """Rows (tid, pos): the lines to drop, by the hash of the text and the number of the line; a line may come more than once."""
     ship_package(docs.sparkSession)
     lines = _parsed(docs, text)
     # A leaf matters if two different texts reach it; least and greatest tell that without a list.
     leaves = cut_lineage(lines.groupBy("leaf").agg(F.min("tid").alias("a"), F.max("tid").alias("b"), F.sum("n").alias("tokens"))
-                         .filter("a <> b").select("leaf", "tokens"))
-    wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(leaves, "leaf"))  # SLOTS bits
-    met = cut_lineage(_parsed(docs, text, wanted).join(leaves.hint("merge"), "leaf").dropDuplicates(["tid", "pos"]))
-    large = met.filter(F.col("tokens") > LEAF)
-    found = _small_leaves(met.filter(F.col("tokens") <= LEAF))
-    if not large.isEmpty():
-        found = found.unionByName(_large_leaves(large))
-    found = cut_lineage(found)
-
-    keys = found.select("tid", "pos", "ord", "n", F.explode(F.array_compact(F.array("lh", "template"))).alias("key"))
+                         .filter((F.col("a") != F.col("b")) | (F.col("tokens") > LEAF)))
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(leaves.filter("a <> b"), "leaf"))  # SLOTS bits
+    # The map also lets lines of a few other leaves through; with one text each, they share no key.
+    met, large = _parsed(docs, text, wanted), leaves.filter(F.col("tokens") > LEAF).select("leaf")
+    if large.isEmpty():
+        found = cut_lineage(_small_leaves(met))
+    else:
+        met = cut_lineage(met)
+        found = _small_leaves(met.join(large, "leaf", "left_anti"))
+        more = cut_lineage(met.join(large, "leaf", "left_semi").dropDuplicates(["tid", "pos"]))
+        found = cut_lineage(found.unionByName(_large_leaves(more)))
+
+    keys = found.select("tid", "pos", "n", F.explode(F.array_compact(F.array("lh", "template"))).alias("key"))
     shared = keys.groupBy("key").agg(F.min("tid").alias("a"), F.max("tid").alias("b")).filter("a <> b").select("key")
     shared = cut_lineage(shared)
     keys = cut_lineage(keys.join(shared, "key", "left_semi"))
@@ -268,9 +257,9 @@ def recurring_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     dropped = (votes.join(voters, "tid").select("key", "need", "voter").distinct()
                .groupBy("key", "need").agg(F.count("*").alias("c")).filter("c >= need").select("key"))
     dropped = cut_lineage(dropped)
-    inside = (runs.join(dropped, "key", "left_semi").select("tid", F.explode(F.sequence("first", "last")).alias("ord")).distinct())
+    inside = runs.join(dropped, "key", "left_semi").select("tid", F.explode(F.sequence("first", "last")).alias("ord"))
     lines = keys.join(dropped, "key", "left_semi").select("tid", "pos")
-    return lines.unionByName(like.join(inside, ["tid", "ord"], "left_semi").select("tid", "pos")).distinct()
+    return lines.unionByName(like.join(inside, ["tid", "ord"], "left_semi").select("tid", "pos"))
 
 
 def drop_recurring(docs: DataFrame, text: str = "text", dropped: str | None = None) -> DataFrame:
@@ -280,7 +269,7 @@ def drop_recurring(docs: DataFrame, text: str = "text", dropped: str | None = No
     then empty. Null texts stay null, empty lines stay, and a table without rows gives none. Equal texts lose equal
     lines; a text counts once however many rows have it. Whole texts are parsed, also very long ones.
     """
-    lost = recurring_lines(docs, text).groupBy("tid").agg(F.array_sort(F.collect_list("pos")).alias("lost"))
+    lost = recurring_lines(docs, text).groupBy("tid").agg(F.array_sort(F.collect_set("pos")).alias("lost"))
     lost = cut_lineage(lost)
     # The caller's columns go by number, so that no name clashes with a working column.
     names = [f"c{i}" for i in range(len(docs.columns))]

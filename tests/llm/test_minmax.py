@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 from leadloom.llm import minmax, shingles as words_of
+from leadloom.llm.common import SLOTS, has_bit
 from leadloom.llm.minmax import near_duplicates
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -126,3 +127,16 @@ def test_words_do_not_depend_on_blocks(monkeypatch):
         assert all((a == b).all() for a, b in zip(words_of.word_spans(blob), whole))
     for part, items in zip(blob.split(b"\n"), words_of.shingle_sets(blob.split(b"\n"), 2)):
         assert items.tolist() == np.unique(items).tolist() == words_of.shingle_sets([part.decode()], 2)[0].tolist()
+
+
+def test_only_keys_with_a_bit_are_met():
+    keys = np.array([5, -7, 5 + SLOTS, 9, -7], dtype=np.int64)
+    bits = np.zeros(SLOTS // 8, dtype=np.uint8)
+    for key in (5, -7):
+        bits[(key & (SLOTS - 1)) >> 3] |= 1 << (key & 7)
+    assert has_bit(bits, keys).tolist() == [True, True, True, False, True]
+    lists = pa.ListArray.from_arrays(pa.array([0, 2, 2, 5], pa.int32()), pa.array(keys))
+    batch = pa.RecordBatch.from_arrays([pa.array([10, 11, 12]), lists], names=["cid", "bands"])
+    for part, cids in ((batch, [10, 10, 12, 12]), (batch.slice(1), [12, 12])):
+        met = minmax._met(part, bits).to_pydict()
+        assert met["cid"] == cids and met["key"] == [5, -7, 5 + SLOTS, -7][-len(cids):]

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 from leadloom.llm import templates
+from leadloom.llm.common import SLOTS
 from leadloom.llm.templates import drop_recurring
 
 
@@ -97,8 +98,8 @@ def test_only_leading_tokens_and_wanted_lines_are_hashed(monkeypatch):
     assert list(zip(first["tid"], first["n"])) == [(t, len(x.split())) for t, text in enumerate(texts)
                                                   for x in text.split("\n") if x.split()]
     hashed.clear()
-    wanted = np.zeros(templates.SLOTS // 8, dtype=np.uint8)
-    slot = first["leaf"][7] & (templates.SLOTS - 1)
+    wanted = np.zeros(SLOTS // 8, dtype=np.uint8)
+    slot = first["leaf"][7] & (SLOTS - 1)
     wanted[slot >> 3] |= 1 << (slot & 7)
     some = templates._lines(batch, wanted).to_pydict()
     assert sum(hashed) < len("".join(texts)) / 6
