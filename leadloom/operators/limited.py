@@ -134,7 +134,8 @@ class LimitedChoice:
     def _masks(self, prices: list[int], shift: int = 0) -> tuple[dict[int, int], int]:
         """Customers per mask, and the sum of what they get after prices."""
         net = self._net(prices, shift)
-        worth = F.sum((_greatest(net) * F.col("n")).cast("decimal(38,0)"))
+        # A large class of high values passes 64 bits, so the product is made in decimals.
+        worth = F.sum(_greatest(net).cast("decimal(20,0)") * F.col("n").cast("decimal(18,0)"))
         rows = self.classes.groupBy(self._mask(net).alias("mask")).agg(F.sum("n").alias("n"), worth.alias("worth")).collect()
         return {r["mask"]: r["n"] for r in rows}, sum(int(r["worth"]) for r in rows)
 

@@ -230,6 +230,19 @@ def test_large_limits_by_equal_customers(spark):
     rows = al.allocate(options, al.Limits({"p": (0, 2500), "q": (2000, 2000), "r": (0, 700)}))
     assert {r["usecase"]: r["count"] for r in rows.groupBy("usecase").count().collect()} == {"p": 2500, "q": 2000, "r": 700}
 
+
+def test_a_large_class_of_high_values(spark):
+    """What a class gets in all, in units, passes 64 bits: 30,000 customers of 840,000 * 10 ** 9."""
+    one = spark.range(30_000).select(
+        F.col("id").alias("customerseqid"), F.lit("p").alias("usecase"), F.lit(0).alias("agentseqid"),
+        F.lit(840_000.0).alias("expected_value"), F.lit(0).alias("affinity"), F.lit(1).alias("priority"), F.lit(840_000.0).alias("score"))
+    limits = al.Limits({"p": (0, 20_000)})
+    chosen = al.allocate(one, limits)
+    assert chosen.count() == 20_000
+    status = al.allocation_status(one, chosen, limits).first()
+    assert (status["status"], status["value"], status["bound"]) == ("optimal", 1.68e10, 1.68e10)
+
+
 @pytest.mark.parametrize("most", [5, 300, 20_000])
 def test_counts_by_worth_lead_to_the_prices_of_plain_rounds(spark, monkeypatch, most):
     """Counts that serve many rounds give the masks, and so the prices, of one job per round, with far fewer jobs."""
