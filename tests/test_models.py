@@ -300,3 +300,18 @@ def test_tasks_of_fits_follow_rows_and_cores(monkeypatch):
         return learners.fit_tasks(SimpleNamespace(count=lambda: rows, sparkSession=session))
 
     assert [tasks(n) for n in (0, 1, 50_001, 600_000, 5_000_000, 50_000_000)] == [1, 1, 2, 12, 24, 100]
+
+
+def test_searched_forests_keep_nodes_and_are_the_same(data, monkeypatch):
+    """Of few rows the forests of a search keep the node of every row, which does not change a tree."""
+    asked = []
+    real = folds.make
+    monkeypatch.setattr(folds, "make", lambda *args, **params: asked.append(real(*args, **params)) or asked[-1])
+    space, found = {"maxDepth": folds.Span(3, 6, whole=True), "numTrees": folds.Span(3, 5, whole=True)}, []
+    for rows_per_core in (learners.ROWS_PER_CORE_SIDE_BY_SIDE, 0):
+        monkeypatch.setattr(learners, "ROWS_PER_CORE_SIDE_BY_SIDE", rows_per_core)
+        found.append(folds.tune(data, "forest", space, FEATURES, "y", "k", iterations=2, cv=2))
+    assert [estimator.getCacheNodeIds() for estimator in asked] == [True, False]
+    kept, plain = [(t.best.model.stages[-1].toDebugString.split("\n", 1)[1], t.best_params, t.trials.collect()) for t in found]
+    assert kept == plain
+    assert learners.node_options("logit", data) == {}
